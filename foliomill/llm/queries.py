@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut, read_table, small_arrow_batches
-from . import media, packing, sharding, token_planes, topk, trie_bpe
+from . import language_id, media, ngram_join, packing, quality, sharding, substring_dedup, token_planes, topk, trie_bpe
 
 
 def tokenizer_path(name: str) -> str:
@@ -16,6 +16,31 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, the text that stays, and what was removed, for every document."""
+    small_arrow_batches(spark)
+    return substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents")).select("doc_id", "text", "removed_units", "removed_chars")
+
+
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_arrow_batches(spark)
+    found = ngram_join.near_duplicates(read_table(spark, sf_dir, "documents"), width=3, num=90, den=100)
+    return found.select("doc_id", "n_shingles", "component_id", "class_id", "links")
+
+
+def crc_mod(n: int) -> Column:
+    """crc32 of doc_id as text, modulo n."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_arrow_batches(spark)
+    docs = read_table(spark, sf_dir, "documents")
+    model = language_id.fit(docs, learn=F.coalesce(crc_mod(4) != 2, F.lit(False)))
+    found = language_id.predict(docs, model)
+    return found.select("doc_id", F.coalesce(crc_mod(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op4_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_arrow_batches(spark)
     docs = read_table(spark, sf_dir, "documents")
@@ -56,6 +81,15 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"), 24).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_arrow_batches(spark)
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels, learn=crc_mod(5) != 0)
+    found = quality.score(docs, model)
+    held = F.coalesce(crc_mod(5) == 0, F.lit(False)).alias("held_out")
+    return found.select("doc_id", held, "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op10_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_arrow_batches(spark)
     coded = trie_bpe.encode_decode(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
@@ -68,7 +102,10 @@ def op10_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    named = (op4_token_planes, op5_media_columns, op6_exact_topk, op7_packing, op8_sharding, op10_trie_bpe)
+    named = (
+        op1_substring_dedup, op2_ngram_jaccard_join, op3_language_id, op4_token_planes, op5_media_columns,
+        op6_exact_topk, op7_packing, op8_sharding, op9_quality_classifier, op10_trie_bpe,
+    )
     return {f.__name__: f for f in named}
 
 
