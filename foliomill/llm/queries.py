@@ -50,7 +50,8 @@ def op4_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_arrow_batches(spark)
-    read = media.read_media(media.encode_media(read_table(spark, sf_dir, "documents")))
+    stored = cut(media.encode_media(read_table(spark, sf_dir, "documents")), "media", compression="zstd")
+    read = media.read_media(stored)
     frames = F.transform("keyframes", lambda k: F.concat_ws("+", k["offset"], k["size"]))
     facts = [F.col("codec"), F.concat_ws("x", "width", "height"), F.concat_ws("/", "duration", "timescale"), F.col("n_samples"), F.size("keyframes"), F.crc32(F.concat_ws(",", frames).cast("binary"))]
     return read.select(

@@ -48,7 +48,7 @@ class _Remembered(dict):
 class WordEncoder:
     """Text to little-endian unsigned 32-bit ids. At most ``most`` words of each kind are remembered."""
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 120_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -56,7 +56,7 @@ class WordEncoder:
         self.id_bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.pieces = _Remembered(self._piece, most)
         self.plain = _Remembered(self._plain, most)
-        self.other = _Remembered(self._other, most // 2)
+        self.other = _Remembered(self._other, most // 4)
 
     def _piece(self, piece: str) -> bytes:
         symbols = piece if piece.isascii() else piece.encode().decode("latin-1").translate(byte_symbols())
