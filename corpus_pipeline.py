@@ -34,7 +34,7 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The least document of each group of near duplicates."""
-    small_arrow_batches(spark)
+    small_arrow_batches(spark, 64)
     found = ngram_join.near_duplicates(docs, SHINGLE_WORDS, SHARED, OF)
     others = cut(found.where("component_id <> doc_id").select("doc_id").distinct(), "near-duplicates")
     return docs.select(*COLUMNS).join(others, "doc_id", "left_anti")

@@ -23,7 +23,7 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small_arrow_batches(spark)
+    small_arrow_batches(spark, 64)
     found = ngram_join.near_duplicates(read_table(spark, sf_dir, "documents"), width=3, num=90, den=100)
     return found.select("doc_id", "n_shingles", "component_id", "class_id", "links")
 
