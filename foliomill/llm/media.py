@@ -154,8 +154,9 @@ def read_media(df: DataFrame, media: str = "media", payload: bool = True) -> Dat
     """Add the first track's facts and, if asked for, its samples read back in order.
 
     Only the box headers and sample tables are parsed for codec, duration and
-    keyframe ranges.
+    keyframe ranges.  Columns of df with the names of these facts give way.
     """
+    df = df.drop(*FACTS.names)
     columns = df.columns
 
     def one(content: bytes | None) -> dict:

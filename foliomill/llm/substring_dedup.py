@@ -115,7 +115,8 @@ def covered_units(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with text cut and the columns removed_units and removed_chars."""
+    """docs with text cut and the columns removed_units and removed_chars (in place of any of these names)."""
+    docs = docs.drop("removed_units", "removed_chars", "_id", "_spans")
     columns = docs.columns
     found = cut(covered_units(docs, key, text), "covered-units")
     joined = docs.withColumn("_id", _key(key)).join(found.withColumnRenamed("id", "_id"), "_id", "left").select(*columns, F.col("spans").alias("_spans"))
