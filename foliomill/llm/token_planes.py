@@ -76,7 +76,7 @@ def unpack_ids(content: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray
 
 
 def write_token_files(
-    docs: DataFrame, tokenizer_path: str, end_id: int, key: str = "doc_id", text: str = "text", planes: str = "byte", file_ids: int = 1 << 20
+    docs: DataFrame, tokenizer_path: str, end_id: int, key: str = "doc_id", text: str = "text", planes: str = "byte", file_ids: int = 1 << 18
 ) -> DataFrame:
     """Files of the ids of all texts in ascending order of key, each about ``file_ids`` ids long.
 
