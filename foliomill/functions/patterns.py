@@ -62,6 +62,6 @@ CHUNK_CHARS = 6000
 SMALL_LINES, SMALL_CHARS, MERGED_MOST = 8, 350, 15
 MERGED_NAME = "TODO-待LLM命名"
 SUMMARY_TODO = "TODO: 待LLM补写"
-EOF_RATIO = (0.75, 1.05)
+SPLIT_RATIO = (0.75, 1.05)
 LINE_BREAKS = "\\r\\n|[\\n\\r\\u000b\\u000c\\u001c-\\u001e\\u0085\\u2028\\u2029]"
 FORMATS = (".docx", ".pdf", ".doc")

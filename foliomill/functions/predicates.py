@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import patterns as P
-from .text import LEGAL, group, is_rule_chapter, is_rule_section, normalize_title, squeeze, strip  # noqa: F401
+from .text import is_rule_chapter, is_rule_section, squeeze, strip
 
 
 def is_boundary(c: Column) -> Column:
@@ -126,7 +126,7 @@ def is_table_caption(c: Column) -> Column:
 def split_ratio_flag(body: Column, source: Column) -> Column:
     """True where a split kept suspiciously few or many lines."""
     ratio = body / source
-    return (ratio > P.EOF_RATIO[1]) | (ratio < P.EOF_RATIO[0])
+    return (ratio > P.SPLIT_RATIO[1]) | (ratio < P.SPLIT_RATIO[0])
 
 
 def yes_no(c: Column) -> Column:
