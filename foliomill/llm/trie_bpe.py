@@ -24,7 +24,6 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .word_ids import byte_symbols
 
