@@ -1,8 +1,13 @@
 """Substring dedup by sliding sentence spans.
 
-A text is cut into sentences (long ones into pieces of a fixed number of words,
-so that a passage without full stops has units too).  From each unit the
-shortest run of several consecutive units with enough words is hashed, and so is
+A text is cut into sentences, and a sentence before each word whose hash is the
+least in some WINDOW consecutive words of it.  So a unit has at most WINDOW
+words, and whether a word starts one depends only on the words less than WINDOW
+places away: two texts that share a passage have the same units in it but for
+at most 2 * WINDOW - 2 words at either end, wherever in a sentence it begins.
+A shared passage of 4 * WINDOW - 3 + MIN_WORDS words thus holds a shared run.
+
+From each unit the shortest run of several consecutive units with enough words is hashed, and so is
 the shortest run that ends at each unit.  Runs are joined over all documents:
 one that lies elsewhere before (by document, then place) is not the first, and
 the units it covers go.  The first occurrence stays, in whatever document.
@@ -31,25 +36,78 @@ _SENTENCE = re.compile(r"[^.!?\n]*(?:[.!?]+(?=\s|\Z)|\n|[.!?]+|\Z)\s*")
 _WORD = re.compile(r"\S+\s*")
 STEP = np.uint64(0x9E3779B97F4A7C15)
 BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-MIN_UNITS, MIN_WORDS, UNIT_WORDS = 3, 24, 16
+MIN_UNITS, MIN_WORDS, WINDOW = 3, 24, 7
 
 
-def units(text: str, most: int = UNIT_WORDS) -> list[tuple[str, int]]:
+def _starts(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Whether each word starts a unit; counts are the words of each sentence."""
+    n = len(hashes)
+    starts = np.zeros(n, bool)
+    starts[(np.cumsum(counts) - counts)[counts > 0]] = True
+    if n >= WINDOW:
+        sentence = np.repeat(np.arange(len(counts)), counts)
+        least = hashes[: n - WINDOW + 1]
+        for i in range(1, WINDOW):
+            least = np.minimum(least, hashes[i : n - WINDOW + 1 + i])
+        least = np.where(sentence[: n - WINDOW + 1] == sentence[WINDOW - 1 :], least, 0)
+        # a word is the least of a window that holds it if it equals the greatest of their least ones
+        greatest = np.zeros(n, np.uint64)
+        for i in range(WINDOW):
+            part = greatest[i : n - WINDOW + 1 + i]
+            np.maximum(part, least, out=part)
+        starts |= greatest == hashes
+    return starts
+
+
+def _cut(text: str) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Sentences, their numbers of words, the words' hashes (never 0) and whether each word starts a unit."""
+    sentences = _SENTENCE.findall(text)
+    counts = np.array([len(s.split()) for s in sentences], np.int64)
+    words = " ".join(sentences).lower().split()
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)) | np.uint64(1)
+    return sentences, counts, hashes, _starts(hashes, counts)
+
+
+def units(text: str) -> list[tuple[str, int]]:
     """The units of a text with their words' number; joined they are the text."""
-    out = []
-    for sentence in _SENTENCE.findall(text):
-        if not sentence:
-            continue
-        n = len(sentence.split())
-        if n <= most:
-            out.append((sentence, n))
-        else:
+    sentences, counts, _, starts = _cut(text)
+    out, at = [], 0
+    for sentence, n in zip(sentences, counts.tolist(), strict=True):
+        cuts = [*np.flatnonzero(starts[at : at + n]).tolist(), n]
+        at += n
+        if len(cuts) > 2:
             words = _WORD.findall(sentence.lstrip())
             words[0] = sentence[: len(sentence) - len(sentence.lstrip())] + words[0]
-            out += [("".join(words[i : i + most]), min(most, n - i)) for i in range(0, n, most)]
+            out += [("".join(words[a:b]), b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
+        elif sentence:
+            out.append((sentence, n))
     return out
 
 
+def _unit_hashes(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and number of words of each of the units of a text."""
+    sentences, counts, hashes, starts = _cut(text)
+    # a sentence without words is a unit too
+    first = np.cumsum(counts) - counts
+    blank = first[(counts == 0) & np.array([s != "" for s in sentences], bool)]
+    a = np.sort(np.append(np.flatnonzero(starts), blank), kind="stable")
+    b = np.append(a[1:], len(hashes))
+    return _spans(mix(hashes), a, b), b - a
+
+
+def _spans(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hash of each stretch from a to b (exclusive)."""
+    n = len(hashes)
+    powers = np.full(n + 1, STEP)
+    powers[0] = 1
+    powers = np.multiply.accumulate(powers)
+    inverse = np.full(n + 1, BACK)
+    inverse[0] = 1
+    inverse = np.multiply.accumulate(inverse)
+    sums = np.append(np.uint64(0), np.cumsum(hashes * powers[:-1]))
+    return mix((sums[b] - sums[a]) * inverse[a] ^ (b - a).astype(np.uint64) * M1)
+
+
 def _runs(hashes: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """start, end (exclusive) and hash of one text's runs."""
     n = len(hashes)
@@ -62,14 +120,7 @@ def _runs(hashes: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray
         return at[:0], at[:0], hashes[:0]
     code = np.unique(spans[:, 0] * (n + 1) + spans[:, 1])
     a, b = code // (n + 1), code % (n + 1)
-    powers = np.full(n + 1, STEP)
-    powers[0] = 1
-    powers = np.multiply.accumulate(powers)
-    inverse = np.full(n + 1, BACK)
-    inverse[0] = 1
-    inverse = np.multiply.accumulate(inverse)
-    sums = np.append(np.uint64(0), np.cumsum(hashes * powers[:-1]))
-    return a, b, mix((sums[b] - sums[a]) * inverse[a] ^ (b - a).astype(np.uint64) * M1)
+    return a, b, _spans(hashes, a, b)
 
 
 def runs(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -82,20 +133,19 @@ def runs(docs: DataFrame, key: str, text: str) -> DataFrame:
         for batch in batches:
             ids, a, b, h, again = [], [], [], [], []
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                of = units(t.as_py() or "")
-                if len(of) < MIN_UNITS:
+                hashes, words = _unit_hashes(t.as_py() or "")
+                if len(hashes) < MIN_UNITS:
                     continue
-                hashes = np.array([xxhash.xxh3_64_intdigest(" ".join(u.lower().split())) for u, _ in of], np.uint64)
-                x, y, z = _runs(mix(hashes ^ M2), np.array([w for _, w in of]))
+                x, y, z = _runs(mix(hashes ^ M2), words)
                 a.append(x)
                 b.append(y)
                 h.append(z)
                 seen = np.ones(len(x), bool)
                 seen[np.unique(z, return_index=True)[1]] = False
                 again.append(seen)
-                ids += [k] * len(x)
+                ids.append(np.full(len(x), k, np.int64))
             if ids:
-                columns = [np.concatenate(h).view(np.int64), np.array(ids, np.int64), *[np.concatenate(c).astype(np.int32) for c in (a, b)], np.concatenate(again)]
+                columns = [np.concatenate(h).view(np.int64), np.concatenate(ids), *[np.concatenate(c).astype(np.int32) for c in (a, b)], np.concatenate(again)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["h", "id", "a", "b", "again"])
 
     return docs.select(_key(key).alias("id"), text).mapInArrow(find, "h long, id long, a int, b int, again boolean")

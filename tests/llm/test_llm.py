@@ -226,6 +226,26 @@ def test_substring_dedup(docs, rows, none):
     assert substring_dedup.remove_repeats(none).count() == 0
 
 
+def test_substring_dedup_mid_sentence(spark):
+    rnd = random.Random(8)
+    words = lambda n: [rnd.choice("abcdefgh") + str(rnd.randrange(500)) for _ in range(n)]
+    data, passages = [], []
+    for i in range(40):  # passages of 51 to 80 words, some with full stops, that begin and end inside sentences
+        p = words(51 + i % 30)
+        for j in range(i % 4):
+            p[12 + 13 * j] += "."
+        passages.append(p)
+        data += [(i, " ".join([*words(i % 23), *p, *words(i % 17)])), (100 + i, " ".join([*words(i % 19 + 1), *p, *words(i % 11 + 1), "end. Own", *words(30)]))]
+    long = words(100)
+    data += [(300, " ".join(long)), (301, " ".join([long[0], "inserted", *long[1:]])), (302, " ".join(long[1:])), (303, " ".join([long[0][:1], long[0][1:], *long[1:]]))]
+    got = {r.doc_id: r for r in substring_dedup.remove_repeats(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    texts = dict(data)
+    for i, p in enumerate(passages):
+        assert got[i].text == texts[i] and got[100 + i].text.endswith(texts[100 + i][texts[100 + i].index("Own") :])
+        assert len(texts[100 + i].split()) - len(got[100 + i].text.split()) >= len(p) - 4 * (substring_dedup.WINDOW - 1)
+    assert got[300].text == texts[300] and all(len(got[i].text.split()) <= 2 * substring_dedup.WINDOW for i in (301, 302, 303))
+
+
 def test_language(spark, none):
     rnd = random.Random(4)
     parts = {"en": ("the", "ing", "wh", "and"), "de": ("sch", "ung", "ä", "ein"), "fr": ("eau", "oi", "é", "que")}
