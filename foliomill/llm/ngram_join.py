@@ -12,15 +12,15 @@ prefixes share at least the smaller of its two m.
 2. Prefix elements found in a single class are dropped.
 3. Each document is verified against the least document that holds most of its
    prefix elements; links join components.
-4. Pairs within a component need no look.  Other pairs that meet in a prefix
-   element of few documents are counted, verified if they share enough, and
-   linked.  Documents that meet in frequent elements are dealt into blocks by
-   cluster and size; two blocks are compared in one task, which gives back no
-   more links than join their documents.
-
-So a group of near copies costs about a pair a copy if they link, and block
-products if they don't; no pairs of a group are listed, and no link between
-different components is missed.  Tables of fixed size (bit sets) keep texts and
+4. Components that meet in frequent prefix elements are one cluster.  Its
+   documents are dealt into blocks by size; two blocks are compared in one task,
+   which counts each document's links and gives back no more links than join
+   their documents.
+5. Pairs of different clusters that meet in a prefix element of few documents
+   are counted, verified if they share enough, and linked.
+
+So every link is counted, once; a group of near copies costs block products,
+and no pairs of a group are listed.  Tables of fixed size (bit sets) keep texts and
 postings that can't matter out of the shuffles; what they let through by chance
 is joined away exactly.
 
@@ -218,8 +218,8 @@ def _live_postings(firsts: DataFrame) -> DataFrame:
     return firsts.select("id", "n", "m", "prefix").mapInArrow(keep, "element long, id long, n long, m int").join(live, "element")
 
 
-def _links_between(ids: list, ats: list, sets: list, split: int, num: int, den: int) -> list[tuple[int, int]]:
-    """Links that join documents of two blocks (before and from split) or, with split 0, of one."""
+def _links_between(ids: list, ats: list, sets: list, split: int, num: int, den: int) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Links that join documents of two blocks (before and from split) or, with split 0, of one; and each document's number of all links between them."""
     sizes = np.array([len(x) for x in sets])
     flat = np.concatenate(sets)
     of = np.repeat(np.arange(len(sets)), sizes)
@@ -236,7 +236,12 @@ def _links_between(ids: list, ats: list, sets: list, split: int, num: int, den:
         common += cells[left] @ cells[right].T
     common = common.astype(np.int64)
     union = sizes[left, None] + sizes[None, right] - common
-    x, y = np.nonzero(common * den >= union * num)
+    hits = common * den >= union * num
+    if not split:
+        np.fill_diagonal(hits, False)
+    degrees = np.append(hits.sum(axis=1), hits.sum(axis=0)) if split else hits.sum(axis=1)
+    at = np.array(ats, np.int64)
+    x, y = np.nonzero(hits & (at[left, None] != at[None, right]))
     y = y + split
     root = {}
 
@@ -252,12 +257,13 @@ def _links_between(ids: list, ats: list, sets: list, split: int, num: int, den:
         if a != b:
             root[max(a, b)] = min(a, b)
             out.append((ids[i], ids[j]))
-    return out
+    return out, degrees
 
 
 def _block_links(members: DataFrame, docs: DataFrame, width: int, num: int, den: int, key: str, text: str) -> DataFrame:
     """Links (a, b) between the documents (cluster, id, n, at) of each cluster, that join different components (at).
 
+    And rows with a null b: a document's number of links, in parts to be added up.
     Blocks hold documents of one cluster and one band of sizes, with about BLOCK
     elements in all; sets that differ by more than a band can't link.
     """
@@ -268,30 +274,45 @@ def _block_links(members: DataFrame, docs: DataFrame, width: int, num: int, den:
     dealt = banded.join(deals, ["cluster", "band"]).withColumn("deal", F.pmod(F.xxhash64("id"), F.col("deals")))
     packed = dealt.join(sets, "id").groupBy("cluster", "band", "deal").agg(F.collect_list(F.struct("id", "at", "elements")).alias("x"))
     packed = cut(packed, "blocks")
-    ordered = F.struct("band", "deal")
-    second = packed.select("cluster", F.col("band").alias("band_"), F.col("deal").alias("deal_"), F.col("x").alias("y"))
-    second_place = F.struct(F.col("band_").alias("band"), F.col("deal_").alias("deal"))
-    paired = packed.join(second, "cluster").where(F.col("band_").between(F.col("band"), F.col("band") + 1) & (ordered <= second_place))
+    place = ["cluster", "band", "deal"]
+    every = cut(packed.select(*place), "block-places")
+    second = every.select("cluster", F.col("band").alias("band_"), F.col("deal").alias("deal_"))
+    after = F.struct("band", "deal") < F.struct(F.col("band_").alias("band"), F.col("deal_").alias("deal"))
+    paired = every.join(second, "cluster").where(F.col("band_").between(F.col("band"), F.col("band") + 1) & after)
+    other = packed.select("cluster", F.col("band").alias("band_"), F.col("deal").alias("deal_"), F.col("x").alias("y"))
+    places = [*place, "band_", "deal_"]
+    both = paired.join(packed, place).join(other, ["cluster", "band_", "deal_"]).repartition(*places)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = {}
+
+        def counts() -> pa.RecordBatch:
+            out = [pa.array(list(total), pa.int64()), pa.nulls(len(total)).cast(pa.int64()), pa.array(list(total.values()), pa.int64())]
+            total.clear()
+            return pa.RecordBatch.from_arrays(out, ["a", "b", "links"])
+
         for batch in batches:
             for i in range(batch.num_rows):
-                x, y = batch.column(0)[i].values, batch.column(1)[i].values
-                sides = [x] if batch.column(2)[i].as_py() else [x, y]
-                parts = [[v for side in sides for v in side.field(f).to_pylist()] for f in (0, 1)]
+                sides = [column[i].values for column in batch.columns]
+                ids, ats = ([v for side in sides for v in side.field(f).to_pylist()] for f in (0, 1))
                 sets = [np.array(v.values, np.int64) for side in sides for v in side.field(2)]
-                found = _links_between(*parts, sets, len(x) if len(sides) > 1 else 0, num, den)
-                yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], ["a", "b"])
+                found, degrees = _links_between(ids, ats, sets, len(sides[0]) if len(sides) > 1 else 0, num, den)
+                for k in np.flatnonzero(degrees).tolist():
+                    total[ids[k]] = total.get(ids[k], 0) + int(degrees[k])
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64()), pa.nulls(len(found)).cast(pa.int64())], ["a", "b", "links"])
+                if len(total) > 1 << 18:
+                    yield counts()
+        yield counts()
 
-    same = (ordered == second_place).alias("same")
-    return paired.select("x", "y", same).mapInArrow(compare, "a long, b long")
+    schema = "a long, b long, links long"
+    return cut(packed.select("x").mapInArrow(compare, schema).unionByName(both.select("x", "y").mapInArrow(compare, schema)), "block-links")
 
 
 def near_duplicates(docs: DataFrame, width: int, num: int, den: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, n_shingles, class_id (least document with the same set), component_id and links of every row.
 
-    ``links`` counts the verified links of the row's class to other classes that
-    were needed to join its component, not every pair of copies.
+    ``links`` is the number of other classes that the row's class links with.
     """
     signed = cut(signatures(docs, width, key, text), "signatures")
     sketch = _sketch(signed.where("slice is not null"))
@@ -323,8 +344,10 @@ def near_duplicates(docs: DataFrame, width: int, num: int, den: int, key: str =
     often = rest.where(F.col("df") > FEW)
     joined = connected_components(often.where("at <> lo").select(F.col("at").alias("a"), F.col("lo").alias("b")).distinct())
     cluster = cut(joined.select(F.col("node").alias("at"), F.col("component").alias("cluster")), "clusters")
-    members = cut(often.select("id", "n", "at").distinct().join(cluster, "at").select("cluster", "id", "n", "at"), "members")
-    more = _block_links(members, docs, width, num, den, key, text)
+    linked = placed.join(found.select(F.col("node").alias("id")), "id", "left_semi").select("id", "n", "at")
+    members = often.select("id", "n", "at").unionByName(linked).distinct().join(cluster, "at", "left")
+    members = cut(members.select(F.coalesce("cluster", "at").alias("cluster"), "id", "n", "at"), "members")
+    blocked = _block_links(members, docs, width, num, den, key, text)
 
     # rare ones: their pairs are few
     few = rest.where(F.col("df") <= FEW).join(members.select("id", "cluster"), "id", "left").select("element", "id", "n", "m", "at", "cluster")
@@ -333,10 +356,12 @@ def near_duplicates(docs: DataFrame, width: int, num: int, den: int, key: str =
     pairs = few.join(other, "element").where((F.col("id") < F.col("id_")) & apart & fits(F.col("n"), F.col("n_")))
     enough = pairs.groupBy(F.col("id").alias("a"), F.col("id_").alias("b")).agg(F.count("*").alias("shared"), F.min(F.least("m", "m_")).alias("asked"))
     asked = cut(enough.where("shared >= asked").select("a", "b").join(tried, ["a", "b"], "left_anti"), "pairs")
-    more = more.unionByName(_verified(asked.select("a", "b"), docs, width, num, den, key, text))
-    links = cut(links.unionByName(more), "all-links")
+    apart_links = _verified(asked.select("a", "b"), docs, width, num, den, key, text)
+    links = cut(links.unionByName(blocked.where("b is not null").select("a", "b")).unionByName(apart_links), "all-links")
     found = cut(connected_components(links), "all-components")
-    degree = links.select(F.explode(F.array("a", "b")).alias("class_id")).groupBy("class_id").agg(F.count("*").alias("links"))
+    counted = apart_links.select(F.explode(F.array("a", "b")).alias("class_id"), F.lit(1).cast("long").alias("links"))
+    counted = counted.unionByName(blocked.where("b is null").select(F.col("a").alias("class_id"), "links"))
+    degree = counted.groupBy("class_id").agg(F.sum("links").alias("links"))
     facts = cut(found.withColumnRenamed("node", "class_id").join(degree, "class_id", "left"), "class-facts")
 
     sized = rows.join(repeated, ["sig_a", "sig_b", "n"], "left").withColumn("class_id", F.when(F.col("n") > 0, F.coalesce("class_id", "id")).otherwise(F.col("id")))

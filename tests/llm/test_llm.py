@@ -193,6 +193,26 @@ def test_ngram_join(spark, docs, rows, none, monkeypatch, width, num, den, few):
         assert ngram_join.near_duplicates(none, width, num, den).count() == 0
 
 
+@pytest.mark.parametrize(("few", "block"), [(16, 1 << 16), (1, 300)])
+def test_ngram_join_counts_every_link(spark, monkeypatch, few, block):
+    monkeypatch.setattr(ngram_join, "FEW", few)
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    rnd = random.Random(4)
+    data = []
+    for g, (copies, most) in enumerate([(30, 1), (25, 5), (2, 1), (3, 2), (9, 4)]):  # groups whose copies all link, and others
+        for _ in range(copies):
+            words = [f"g{g}w{j}" for j in range(90 + rnd.randrange(3))]
+            for _ in range(rnd.randint(0, most)):
+                words[rnd.randrange(90)] = f"v{rnd.randrange(999)}"
+            data.append((len(data), " ".join(words)))
+    data += [(len(data) + i, data[i][1]) for i in range(5)]  # equal sets are one class
+    got = {r.doc_id: r for r in ngram_join.near_duplicates(spark.createDataFrame(data, "doc_id long, text string"), 3, 90, 100).collect()}
+    sets = {i: frozenset(shingles(t, 3)) for i, t in data}
+    classes = set(sets.values())
+    want = {i: sum(a != b and 100 * len(a & b) >= 90 * len(a | b) for b in classes) for i, a in sets.items()}
+    assert {i: got[i].links for i in sets} == want and max(want.values()) > 15
+
+
 def test_components_of_paths_and_stars(spark):
     links = [(i, i + 1) for i in range(1, 30)] + [(100, 100 + i) for i in range(1, 20)] + [(7, 7), (None, 3)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
