@@ -157,7 +157,7 @@ def page_pieces(spark, d):
 
 @query
 def size_chunks(spark, d):
-    return documents(spark, d).where(F.length("text") > P.CHUNK_CHARS).select("doc_id", F.posexplode(chunk.split_by_size(F.col("text"))).alias("pos", "text"))
+    return documents(spark, d).select("doc_id", F.posexplode(chunk.split_by_size(F.col("text"))).alias("pos", "text"))
 
 
 @query

@@ -6,6 +6,7 @@ import zipfile
 from pyspark.sql import functions as F
 
 from foliomill.operators import chunk, integrity, layout, lines, mask, models, outline, qa, rules, split, structure
+from foliomill.plans.queries import QUERIES
 from foliomill.sources import docx, files
 from foliomill.streaming import landing
 
@@ -164,3 +165,10 @@ def test_docx(spark, tmp_path):
 def test_replay_is_one_run(spark):
     d = docs(spark, *[f"text {i}" for i in range(9)])
     assert sorted(map(tuple, landing.replay(d, lambda x: x, 3).collect())) == sorted(map(tuple, d.collect()))
+
+
+def test_size_chunks_keeps_short_documents(spark, tmp_path):
+    rows = [(1, "short"), (2, ""), (3, "x" * 6000), (4, "y" * 6001)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(tuple(r) for r in QUERIES["size_chunks"](spark, str(tmp_path)).collect())
+    assert got == [(1, 0, "short"), (2, 0, ""), (3, 0, "x" * 6000), (4, 0, "y" * 6000), (4, 1, "y")]
