@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions import text as T
+from ..session import cut, scratch
 
 
 def name_parts(files: DataFrame) -> DataFrame:
@@ -44,18 +46,29 @@ def read_markdown(spark: SparkSession, folder: str, only: DataFrame | None = Non
 
 
 def write_new(docs: DataFrame, path: str, key: str = "doc_id", overwrite: bool = False) -> None:
-    """Append the rows whose key has no output yet; or write all anew."""
+    """Append the rows whose key has no output yet; or write all anew.
+
+    Of the keys written before, only those between the least and greatest new
+    one are read, so files and row groups of older ranges are skipped.
+    """
     spark = docs.sparkSession
     if overwrite:
         docs.write.mode("overwrite").parquet(path)
         return
     try:
-        done = spark.read.parquet(path).select(key)
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+        written = spark.read.parquet(path).select(key)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        done = docs.select(key).limit(0)
-    docs.join(done, key, "left_anti").write.mode("append").parquet(path)
+        docs.write.mode("append").parquet(path)
+        return
+    with scratch(spark):
+        docs = cut(docs, "new-rows")
+        least, most = docs.agg(F.min(key), F.max(key)).first()
+        if least is not None:
+            done = written.where(F.col(key).between(F.lit(least), F.lit(most)))
+            docs = docs.join(done, key, "left_anti").select(*docs.columns)
+        docs.write.mode("append").parquet(path)
 
 
 def write_norms(bodies: DataFrame, path: str, norm: str = "norm") -> None:

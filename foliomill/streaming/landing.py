@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import remove, remove_at_end, shared_dir
 from ..sources.files import write_new
 
 
@@ -25,11 +26,12 @@ def process_landing(spark: SparkSession, folder: str, schema, out: str, checkpoi
 
 def replay(docs: DataFrame, step: Callable[[DataFrame], DataFrame], arrivals: int, key: str = "doc_id") -> DataFrame:
     """docs dealt into arrivals that land one after another; the result of processing each as it comes."""
-    import uuid
-
     spark = docs.sparkSession
     base = f"{shared_dir(spark)}/landing-{uuid.uuid4().hex}"
+    remove_at_end(spark, base)
     for i in range(arrivals):
         docs.where(F.pmod(F.col(key), F.lit(arrivals)) == i).write.mode("append").parquet(f"{base}/in")
         process_landing(spark, f"{base}/in", docs.schema, f"{base}/out", f"{base}/checkpoint", step, key)
+    for done in ("in", "checkpoint"):
+        remove(spark, f"{base}/{done}")
     return spark.read.parquet(f"{base}/out")
