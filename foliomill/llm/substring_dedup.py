@@ -5,17 +5,22 @@ least in some WINDOW consecutive words of it.  So a unit has at most WINDOW
 words, and whether a word starts one depends only on the words less than WINDOW
 places away: two texts that share a passage have the same units in it but for
 at most 2 * WINDOW - 2 words at either end, wherever in a sentence it begins.
-A shared passage of 4 * WINDOW - 3 + MIN_WORDS words thus holds a shared run.
 
-From each unit the shortest run of several consecutive units with enough words is hashed, and so is
-the shortest run that ends at each unit.  Runs are joined over all documents:
-one that lies elsewhere before (by document, then place) is not the first, and
-the units it covers go.  The first occurrence stays, in whatever document.
-
-White space and case don't count in a hash.  Null texts stay null; texts that
-are all repeats become empty.  Null keys sort first; rows with equal keys are
-taken as one document, whose repeated rows aren't compared with each other.
-Extra columns pass through.
+Runs of units are hashed: the runs of ``sentences`` whole sentences (those
+without a word not counted), and, so that passages that begin or end inside a
+sentence are found too, from each unit and up to each unit the shortest run of
+MIN_UNITS units with ``words`` words.  A shared passage of 4 * WINDOW - 3 +
+``words`` words holds such a run.  Runs are joined over all documents: one that
+lies elsewhere before (by document, then place) is not the first, and the units
+it covers go.  The first occurrence stays, in whatever document.
+
+White space and case don't count in a hash.  In scripts written without spaces
+each letter counts as a word.  Null texts stay null, empty ones empty; texts that
+are all repeats become empty; a text of any length is one row, its work linear
+in it.  Null keys sort first.  Rows with equal keys and different texts are
+documents of their own, in a fixed order; rows equal in both are one document,
+whose repeats aren't compared with each other.  No rows give no rows.  Extra
+columns pass through; those called like a result column give way to it.
 """
 
 from __future__ import annotations
@@ -26,17 +31,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import cut, scratch
+from .rows import number_rows
 from .shingles import M1, M2, mix
 
-_SENTENCE = re.compile(r"[^.!?\n]*(?:[.!?]+(?=\s|\Z)|\n|[.!?]+|\Z)\s*")
-_WORD = re.compile(r"\S+\s*")
+#: Letters of Thai, Lao, Burmese, Khmer, kana and Han, which stand without spaces.
+_DENSE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
+_HAS_DENSE = re.compile(f"[{_DENSE}]")
+_SENTENCE = re.compile(r"[^.!?\n。！？]*(?:[.!?。！？]+|\n|\Z)\s*")
+_WORD = re.compile(rf"(?:[{_DENSE}]|[^\s{_DENSE}]+)\s*")
 STEP = np.uint64(0x9E3779B97F4A7C15)
 BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-MIN_UNITS, MIN_WORDS, WINDOW = 3, 24, 7
+MIN_UNITS, WINDOW = 3, 7
 
 
 def _starts(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -61,15 +70,18 @@ def _starts(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def _cut(text: str) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
     """Sentences, their numbers of words, the words' hashes (never 0) and whether each word starts a unit."""
-    sentences = _SENTENCE.findall(text)
-    counts = np.array([len(s.split()) for s in sentences], np.int64)
-    words = " ".join(sentences).lower().split()
+    sentences = [s for s in _SENTENCE.findall(text) if s]
+    if _HAS_DENSE.search(text):
+        parts = [[w.strip() for w in _WORD.findall(s.lower())] for s in sentences]
+        counts, words = np.array([len(p) for p in parts], np.int64), [w for p in parts for w in p]
+    else:
+        counts, words = np.array([len(s.split()) for s in sentences], np.int64), " ".join(sentences).lower().split()
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)) | np.uint64(1)
     return sentences, counts, hashes, _starts(hashes, counts)
 
 
-def units(text: str) -> list[tuple[str, int]]:
-    """The units of a text with their words' number; joined they are the text."""
+def units(text: str) -> list[str]:
+    """The units of a text; joined they are the text."""
     sentences, counts, _, starts = _cut(text)
     out, at = [], 0
     for sentence, n in zip(sentences, counts.tolist(), strict=True):
@@ -78,21 +90,25 @@ def units(text: str) -> list[tuple[str, int]]:
         if len(cuts) > 2:
             words = _WORD.findall(sentence.lstrip())
             words[0] = sentence[: len(sentence) - len(sentence.lstrip())] + words[0]
-            out += [("".join(words[a:b]), b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
-        elif sentence:
-            out.append((sentence, n))
+            out += ["".join(words[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
+        else:
+            out.append(sentence)
     return out
 
 
-def _unit_hashes(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and number of words of each of the units of a text."""
-    sentences, counts, hashes, starts = _cut(text)
-    # a sentence without words is a unit too
+def _unit_hashes(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash and number of words of each unit of a text, and the first unit of each sentence with a word (and the end)."""
+    _, counts, hashes, starts = _cut(text)
+    # a sentence without words is a unit too; it comes before the sentence that begins at the same word
     first = np.cumsum(counts) - counts
-    blank = first[(counts == 0) & np.array([s != "" for s in sentences], bool)]
-    a = np.sort(np.append(np.flatnonzero(starts), blank), kind="stable")
+    at = np.concatenate([first[counts == 0], np.flatnonzero(starts)])
+    blank = np.arange(len(at)) < (counts == 0).sum()
+    order = np.lexsort((~blank, at))
+    a, blank = at[order], blank[order]
     b = np.append(a[1:], len(hashes))
-    return _spans(mix(hashes), a, b), b - a
+    begins = np.zeros(len(hashes) + 1, bool)
+    begins[first[counts > 0]] = True
+    return _spans(mix(hashes), a, b), b - a, np.append(np.flatnonzero(begins[a] & ~blank), len(a))
 
 
 def _spans(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -108,14 +124,17 @@ def _spans(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix((sums[b] - sums[a]) * inverse[a] ^ (b - a).astype(np.uint64) * M1)
 
 
-def _runs(hashes: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """start, end (exclusive) and hash of one text's runs."""
+def _runs(hashes: np.ndarray, counts: np.ndarray, begins: np.ndarray, sentences: int, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """start, end (exclusive) and hash of one text's runs of units."""
     n = len(hashes)
-    total = np.append(0, np.cumsum(words))
+    total = np.append(0, np.cumsum(counts))
     at = np.arange(n)
-    ends = np.maximum(np.searchsorted(total, total[:-1] + MIN_WORDS), at + MIN_UNITS)
-    starts = np.minimum(np.searchsorted(total, total[1:] - MIN_WORDS, side="right") - 1, at + 1 - MIN_UNITS)
-    spans = np.concatenate([np.stack([at, ends], 1)[ends <= n], np.stack([starts, at + 1], 1)[starts >= 0]])
+    ends = np.maximum(np.searchsorted(total, total[:-1] + words), at + MIN_UNITS)
+    starts = np.minimum(np.searchsorted(total, total[1:] - words, side="right") - 1, at + 1 - MIN_UNITS)
+    whole = np.stack([begins[:-sentences], begins[sentences:]], 1)
+    # runs of whole sentences that have the words hold runs of units that cover them
+    whole = whole[total[whole[:, 1]] - total[whole[:, 0]] < words]
+    spans = np.concatenate([np.stack([at, ends], 1)[ends <= n], np.stack([starts, at + 1], 1)[starts >= 0], whole])
     if not len(spans):
         return at[:0], at[:0], hashes[:0]
     code = np.unique(spans[:, 0] * (n + 1) + spans[:, 1])
@@ -123,20 +142,17 @@ def _runs(hashes: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return a, b, _spans(hashes, a, b)
 
 
-def runs(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """h, id, a, b of every run of every text; ``again`` if the text holds the same run before.
-
-    A null key counts as the least number.
-    """
+def runs(docs: DataFrame, row: str, text: str, sentences: int, words: int) -> DataFrame:
+    """h, id, a, b of every run of every text; ``again`` if the text holds the same run before."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, a, b, h, again = [], [], [], [], []
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                hashes, words = _unit_hashes(t.as_py() or "")
-                if len(hashes) < MIN_UNITS:
+                hashes, counts, begins = _unit_hashes(t.as_py() or "")
+                if len(hashes) < min(MIN_UNITS, sentences):
                     continue
-                x, y, z = _runs(mix(hashes ^ M2), words)
+                x, y, z = _runs(mix(hashes ^ M2), counts, begins, sentences, words)
                 a.append(x)
                 b.append(y)
                 h.append(z)
@@ -148,28 +164,26 @@ def runs(docs: DataFrame, key: str, text: str) -> DataFrame:
                 columns = [np.concatenate(h).view(np.int64), np.concatenate(ids), *[np.concatenate(c).astype(np.int32) for c in (a, b)], np.concatenate(again)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["h", "id", "a", "b", "again"])
 
-    return docs.select(_key(key).alias("id"), text).mapInArrow(find, "h long, id long, a int, b int, again boolean")
-
-
-def _key(key: str) -> Column:
-    return F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63)))
+    return docs.select(row, text).mapInArrow(find, "h long, id long, a int, b int, again boolean")
 
 
-def covered_units(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """id and spans (array of a, b): the runs of each document that aren't the first of their kind."""
-    every = runs(docs, key, text)
+def covered_units(docs: DataFrame, row: str, text: str, sentences: int, words: int) -> DataFrame:
+    """id and spans (array of a, b): the runs of each row that aren't the first of their kind."""
+    every = runs(docs, row, text, sentences, words)
     seen = every.where("not again").groupBy("h").agg(F.min("id").alias("first"), F.max("id").alias("last"))
     repeated = cut(seen.where("first < last").select("h", "first"), "repeated-runs")
     later = every.join(repeated, "h", "left").where("again or id <> first")
     return later.groupBy("id").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with text cut and the columns removed_units and removed_chars (in place of any of these names)."""
-    docs = docs.drop("removed_units", "removed_chars", "_id", "_spans")
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", sentences: int = 3, words: int = 24) -> DataFrame:
+    """docs with text cut and the columns removed_units and removed_chars."""
+    docs = docs.drop("removed_units", "removed_chars", "_row", "_spans")
     columns = docs.columns
-    found = cut(covered_units(docs, key, text), "covered-units")
-    joined = docs.withColumn("_id", _key(key)).join(found.withColumnRenamed("id", "_id"), "_id", "left").select(*columns, F.col("spans").alias("_spans"))
+    numbered, _ = number_rows(docs, key, text)
+    with scratch(docs.sparkSession):
+        found = cut(covered_units(numbered, "_row", text, sentences, words), "covered-units", stays=True)
+    joined = numbered.join(found.select(F.col("id").alias("_row"), F.col("spans").alias("_spans")), "_row", "left").select(*columns, "_spans")
     at = columns.index(text)
 
     def cut_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,7 +198,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
                         drop[span["a"]] += 1
                         drop[span["b"]] -= 1
                     drop = np.cumsum(drop)[:-1] > 0
-                    kept = "".join([u for (u, _), d in zip(of, drop.tolist(), strict=True) if not d])
+                    kept = "".join([u for u, d in zip(of, drop.tolist(), strict=True) if not d])
                     gone.append(int(drop.sum()))
                     texts.append(kept.rstrip() if drop[-1] else kept)
                     chars.append(len(t) - len(texts[-1]))
