@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import cut, scratch
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -22,11 +22,12 @@ def connected_components(links: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = cut(large, "large-star")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        tied = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = tied.where("u <> v").unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        edges = cut(small, "small-star")
+        with scratch(links.sparkSession):
+            large = cut(large, "large-star")
+            least = large.groupBy("u").agg(F.min("v").alias("m"))
+            tied = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            small = tied.where("u <> v").unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+            edges = cut(small, "small-star", stays=True)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if now == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

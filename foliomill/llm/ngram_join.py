@@ -13,9 +13,10 @@ prefixes share at least the smaller of its two m.
 3. Each document is verified against the least document that holds most of its
    prefix elements; links join components.
 4. Components that meet in frequent prefix elements are one cluster.  Its
-   documents are dealt into blocks by size; two blocks are compared in one task,
+   documents are dealt into blocks by size; two blocks are compared in one row,
    which counts each document's links and gives back no more links than join
-   their documents.
+   their documents.  Pairs of blocks are listed by number, salted, before the
+   sets are brought to them, so a cluster of any size spreads over all tasks.
 5. Pairs of different clusters that meet in a prefix element of few documents
    are counted, verified if they share enough, and linked.
 
@@ -24,9 +25,12 @@ and no pairs of a group are listed.  Tables of fixed size (bit sets) keep texts
 postings that can't matter out of the shuffles; what they let through by chance
 is joined away exactly.
 
-Nulls: null, empty and blank texts have the empty set and link with nothing; a
-null key is kept but links with nothing.  Rows with equal keys and texts are one
-document.  Extra columns are ignored.
+Null, empty and blank texts have the empty set and link with nothing; a null key
+is kept but links with nothing.  Long texts are hashed whole, in one row each.
+Rows equal in key and text are one document; rows of one key with different
+texts are documents of their own that share the key's number.  Equal sets are
+linked, and ties between documents go to the smaller key.  No rows give no rows.
+Extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -39,13 +43,16 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import cut, scratch
 from .components import connected_components
+from .rows import number_rows
 from .shingles import M2, M3, blocks, mix, shingle_sets
 
 SKETCH, SLICES, MATCHES = 1 << 23, 64, 8
-#: Slots of a bit set as a power of two and slots a member takes; documents that an element may have to have its pairs listed; elements in a block.
-BITS, TAKEN, FEW, BLOCK = 26, 3, 16, 1 << 16
+#: Slots of a bit set as a power of two and slots a member takes; documents that an element may have to have its pairs listed.
+BITS, TAKEN, FEW = 26, 3, 16
+#: Elements and documents in a block, on average; blocks of a cluster that share a salt.
+BLOCK, BLOCK_DOCS, SALTED = 1 << 16, 1024, 64
 
 
 def _sums(owner: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
@@ -219,31 +226,21 @@ def _live_postings(firsts: DataFrame) -> DataFrame:
 
 
 def _links_between(ids: list, ats: list, sets: list, split: int, num: int, den: int) -> tuple[list[tuple[int, int]], np.ndarray]:
-    """Links that join documents of two blocks (before and from split) or, with split 0, of one; and each document's number of all links between them."""
+    """Links that join documents of two blocks (before and from split) or, with split 0, of one; and each document's number of all links between them.
+
+    Shared elements are counted by products of 0/1 matrices, 256 documents by a
+    block by 2,048 elements at a time, so memory is bounded whatever the block.
+    """
     sizes = np.array([len(x) for x in sets])
-    flat = np.concatenate(sets)
-    of = np.repeat(np.arange(len(sets)), sizes)
+    flat, of = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
     _, column, often = np.unique(flat, return_inverse=True, return_counts=True)
     keep = often[column] > 1
     order = np.argsort(column[keep], kind="stable")
     of, column = of[keep][order], np.unique(column[keep][order], return_inverse=True)[1]
-    left, right = (slice(0, split), slice(split, None)) if split else (slice(None), slice(None))
-    common = np.zeros((len(sets), len(sets)), np.float32)[left, right]
-    for start in range(0, int(column.max(initial=-1)) + 1, 4096):
-        a, b = np.searchsorted(column, [start, start + 4096])
-        cells = np.zeros((len(sets), 4096), np.float32)
-        cells[of[a:b], column[a:b] - start] = 1
-        common += cells[left] @ cells[right].T
-    common = common.astype(np.int64)
-    union = sizes[left, None] + sizes[None, right] - common
-    hits = common * den >= union * num
-    if not split:
-        np.fill_diagonal(hits, False)
-    degrees = np.append(hits.sum(axis=1), hits.sum(axis=0)) if split else hits.sum(axis=1)
+    lefts, first = split or len(sets), split  # documents to the left, and the first one to the right
+    slabs = range(0, int(column.max(initial=-1)) + 1, 2048)
+    degrees, root, out = np.zeros(len(sets), np.int64), {}, []
     at = np.array(ats, np.int64)
-    x, y = np.nonzero(hits & (at[left, None] != at[None, right]))
-    y = y + split
-    root = {}
 
     def find(k: int) -> int:
         while root.setdefault(k, k) != k:
@@ -251,12 +248,28 @@ def _links_between(ids: list, ats: list, sets: list, split: int, num: int, den:
             k = root[k]
         return k
 
-    out = []
-    for i, j in zip(x.tolist(), y.tolist(), strict=True):
-        a, b = find(ats[i]), find(ats[j])
-        if a != b:
-            root[max(a, b)] = min(a, b)
-            out.append((ids[i], ids[j]))
+    for low in range(0, lefts, 256):
+        high = min(low + 256, lefts)
+        common = np.zeros((high - low, len(sets) - first), np.float32)
+        for start in slabs:
+            a, b = np.searchsorted(column, [start, start + 2048])
+            cells = np.zeros((len(sets), 2048), np.float32)
+            cells[of[a:b], column[a:b] - start] = 1
+            if cells[low:high].any():
+                common += cells[low:high] @ cells[first:].T
+        shared = common.astype(np.int64)
+        hits = shared * den >= (sizes[low:high, None] + sizes[None, first:] - shared) * num
+        if not split:
+            hits[np.arange(high - low), np.arange(low, high)] = False
+        degrees[low:high] += hits.sum(axis=1)
+        if split:
+            degrees[first:] += hits.sum(axis=0)
+        x, y = np.nonzero(hits & (at[low:high, None] != at[None, first:]))
+        for i, j in zip((x + low).tolist(), (y + first).tolist(), strict=True):
+            a, b = find(ats[i]), find(ats[j])
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                out.append((ids[i], ids[j]))
     return out, degrees
 
 
@@ -265,20 +278,24 @@ def _block_links(members: DataFrame, docs: DataFrame, width: int, num: int, den:
 
     And rows with a null b: a document's number of links, in parts to be added up.
     Blocks hold documents of one cluster and one band of sizes, with about BLOCK
-    elements in all; sets that differ by more than a band can't link.
+    elements and at most about BLOCK_DOCS documents in all; sets that differ by
+    more than a band can't link.
     """
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(den / num)) + 1e-9).cast("int")
     banded = members.withColumn("band", band)
-    deals = banded.groupBy("cluster", "band").agg(F.ceil(F.sum("n") / BLOCK).alias("deals"))
+    deals = banded.groupBy("cluster", "band").agg(F.ceil(F.greatest(F.sum("n") / BLOCK, F.count("*") / BLOCK_DOCS)).alias("deals"))
     sets = _sets(docs, members.select("id"), width, key, text)
     dealt = banded.join(deals, ["cluster", "band"]).withColumn("deal", F.pmod(F.xxhash64("id"), F.col("deals")))
     packed = dealt.join(sets, "id").groupBy("cluster", "band", "deal").agg(F.collect_list(F.struct("id", "at", "elements")).alias("x"))
     packed = cut(packed, "blocks")
     place = ["cluster", "band", "deal"]
-    every = cut(packed.select(*place), "block-places")
-    second = every.select("cluster", F.col("band").alias("band_"), F.col("deal").alias("deal_"))
+    every = packed.select(*place)
+    salts = every.groupBy("cluster").agg(F.ceil(F.count("*") / SALTED).alias("salts")).where("salts > 1")
+    every = cut(every.join(salts, "cluster", "left").withColumn("salts", F.coalesce("salts", F.lit(1))), "block-places")
+    left = every.withColumn("salt", F.pmod(F.xxhash64("band", "deal"), F.col("salts")))
+    second = every.select("cluster", F.col("band").alias("band_"), F.col("deal").alias("deal_"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"))
     after = F.struct("band", "deal") < F.struct(F.col("band_").alias("band"), F.col("deal_").alias("deal"))
-    paired = every.join(second, "cluster").where(F.col("band_").between(F.col("band"), F.col("band") + 1) & after)
+    paired = cut(left.join(second, ["cluster", "salt"]).where(F.col("band_").between(F.col("band"), F.col("band") + 1) & after).select(*place, "band_", "deal_"), "block-pairs")
     other = packed.select("cluster", F.col("band").alias("band_"), F.col("deal").alias("deal_"), F.col("x").alias("y"))
     places = [*place, "band_", "deal_"]
     both = paired.join(packed, place).join(other, ["cluster", "band_", "deal_"]).repartition(*places)
@@ -314,6 +331,34 @@ def near_duplicates(docs: DataFrame, width: int, num: int, den: int, key: str =
 
     ``links`` is the number of other classes that the row's class links with.
     """
+    with scratch(docs.sparkSession):
+        rows, numbers = number_rows(docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")), "key", "text")
+        found = _near_duplicates(rows.select(F.when(F.col("key").isNotNull(), F.col("_row")).alias("id"), "text"), width, num, den)
+        if numbers is not None:
+            for c in ("id", "class_id", "component_id"):
+                names = numbers.select(F.col("_row").alias(c), F.col("key").alias("_key"))
+                found = found.join(names, c, "left").withColumn(c, F.col("_key")).drop("_key")
+        named = found.select(F.col("id").alias(key), "n_shingles", "class_id", "component_id", "links")
+        return cut(named, "near-duplicates", stays=True)
+
+
+def keep_first(docs: DataFrame, width: int, num: int, den: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of docs that are the least of their component, with their columns; of rows equal in key and text the least one."""
+    docs = docs.drop("_row")
+    with scratch(docs.sparkSession):
+        rows, _ = number_rows(docs, key, text)
+        ids = rows.select(F.when(F.col(key).isNotNull(), F.col("_row")).alias("id"), F.col(text).alias("text"))
+        found = cut(_near_duplicates(ids, width, num, den).where("id is not null"), "near-duplicates")
+        others = cut(found.where("component_id <> id").select(F.col("id").alias("_row")).distinct(), "other-rows", stays=True)
+        repeats = found.where("component_id = id").groupBy(F.col("id").alias("_row")).agg(F.count("*").alias("n")).where("n > 1")
+        repeats = cut(repeats.select("_row"), "repeated-rows", stays=True)
+    kept = rows.join(others, "_row", "left_anti")
+    once = kept.join(repeats, "_row", "left_semi").groupBy("_row").agg(F.min(F.struct(*docs.columns)).alias("x")).select("x.*")
+    return kept.join(repeats, "_row", "left_anti").select(*docs.columns).unionByName(once)
+
+
+def _near_duplicates(docs: DataFrame, width: int, num: int, den: int, key: str = "id", text: str = "text") -> DataFrame:
+    """near_duplicates of documents whose ``key`` is theirs alone; ties go to the smaller one."""
     signed = cut(signatures(docs, width, key, text), "signatures")
     sketch = _sketch(signed.where("slice is not null"))
     rows = signed.where("slice is null").select("id", "n", "sig_a", "sig_b")
@@ -366,7 +411,7 @@ def near_duplicates(docs: DataFrame, width: int, num: int, den: int, key: str =
 
     sized = rows.join(repeated, ["sig_a", "sig_b", "n"], "left").withColumn("class_id", F.when(F.col("n") > 0, F.coalesce("class_id", "id")).otherwise(F.col("id")))
     return sized.join(facts, "class_id", "left").select(
-        F.col("id").alias(key),
+        "id",
         F.col("n").alias("n_shingles"),
         "class_id",
         F.coalesce("component", "class_id").alias("component_id"),
