@@ -7,8 +7,14 @@ and the byte ranges of keyframes come from the header alone; ``mdat`` is only
 skipped.  Several tracks, 64-bit box sizes, boxes that reach the end of the
 file, both chunk-offset tables and both header versions are understood.
 
-Nulls: a null text is an empty payload (one padded frame); a null or malformed
-container gives nulls and a status.  Extra columns pass through.
+A null or empty text is an empty payload (one padded frame), a long one is one
+row; equal texts give equal containers, and repeated rows stay.  A null container
+gives nulls and the status ``null``.  One whose boxes or sample tables contradict
+each other or the file gives nulls and ``malformed``: what a table claims is held
+against the bytes that are there before anything of its size is made, so a file
+of n bytes takes memory in proportion to n.  No rows give no rows.  Extra columns
+are ignored when writing and pass through when reading; those called like a fact
+give way to it.
 """
 
 from __future__ import annotations
@@ -22,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 FRAME, GOP, CHUNK, SCALE = 64, 16, 256, 25
+DEEPEST = 32
 CONTAINERS = {b"moov", b"trak", b"mdia", b"minf", b"stbl", b"dinf", b"edts", b"udta"}
 TRACK = "status string, codec string, width int, height int, timescale long, duration long, n_samples long, keyframes array<struct<offset:long,size:long>>, payload binary"
 
@@ -74,8 +81,10 @@ def write_container(payload: bytes) -> bytes:
     return head + struct.pack(">I4s", 8 + len(payload), b"mdat") + payload
 
 
-def walk_boxes(data: memoryview, start: int, end: int) -> Iterator[tuple[bytes, int, int]]:
+def walk_boxes(data: memoryview, start: int, end: int, depth: int = 0) -> Iterator[tuple[bytes, int, int]]:
     """(kind, body start, body end) of the boxes in a range, children after their parents."""
+    if depth > DEEPEST:
+        raise ValueError("boxes are nested too deeply")
     while start + 8 <= end:
         size, kind = struct.unpack_from(">I4s", data, start)
         body = start + 8
@@ -87,23 +96,57 @@ def walk_boxes(data: memoryview, start: int, end: int) -> Iterator[tuple[bytes,
             raise ValueError(f"a box {kind!r} leaves its parent")
         yield kind, body, stop
         if kind in CONTAINERS:
-            yield from walk_boxes(data, body, stop)
+            yield from walk_boxes(data, body, stop, depth + 1)
         start = stop
 
 
-def _numbers(data: memoryview, at: int, count: int, kind: str) -> np.ndarray:
-    return np.frombuffer(data, kind, count, at).astype(np.int64)
+def _numbers(data: memoryview, at: int, stop: int, count: int, kind: str) -> np.ndarray:
+    if at + count * int(kind[2]) > stop:
+        raise ValueError("a table is longer than its box")
+    found = np.frombuffer(data, kind, count, at)
+    if kind == ">u8" and count and int(found.max()) >> 62:
+        raise ValueError("an offset is too large")
+    return found.astype(np.int64)
+
+
+def _samples(tables: dict[bytes, np.ndarray], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Offset and size of every sample and the numbers (from 0) of the sync samples of a track in a file of that length."""
+    sizes = tables.get(b"stsz", np.zeros(0, np.int64))
+    n = len(sizes)
+    chunks = tables.get(b"co64", tables.get(b"stco", np.zeros((0, 1), np.int64)))[:, 0]
+    runs = tables.get(b"stsc", np.zeros((0, 3), np.int64))
+    sync = tables[b"stss"][:, 0] - 1 if b"stss" in tables else np.arange(n)
+    if len(sync) and (sync.min() < 0 or sync.max() >= n or (np.diff(sync) <= 0).any()):
+        raise ValueError("a sync sample isn't among the samples")
+    if not n:
+        return sizes, sizes, sync
+    # samples of each chunk: a run holds until the next run's first chunk
+    until = np.append(runs[1:, 0], len(chunks) + 1)
+    if not len(runs) or runs[0, 0] != 1 or (until <= runs[:, 0]).any() or until.max() > len(chunks) + 1:
+        raise ValueError("the chunk map doesn't fit the chunks")
+    ends = np.cumsum(np.repeat(runs[:, 1], until - runs[:, 0]))
+    if ends[-1] < n:
+        raise ValueError("samples have no chunk")
+    of = np.searchsorted(ends, np.arange(n), side="right")
+    after = np.cumsum(sizes)
+    first = np.append(0, ends)[of]
+    offsets = chunks[of] + (after - sizes) - (after - sizes)[first]
+    if after[-1] > length or (offsets + sizes).max() > length:
+        raise ValueError("samples lie outside the file")
+    return offsets, sizes, sync
 
 
 def read_tracks(content: bytes) -> list[dict]:
     """The tracks: codec, size, timescale, duration, and offset, size and sync mark of every sample."""
     data, tracks, now = memoryview(content), [], {}
-    for kind, at, _ in walk_boxes(data, 0, len(data)):
+    for kind, at, stop in walk_boxes(data, 0, len(data)):
         u32 = lambda o, at=at: struct.unpack_from(">I", data, at + o)[0]
         if kind == b"trak":
             tracks.append(now := {"tables": {}, "codec": None, "width": None, "height": None})
         elif kind == b"mdhd":
             now["timescale"], now["duration"] = (u32(12), u32(16)) if data[at] == 0 else (u32(20), struct.unpack_from(">Q", data, at + 24)[0])
+            if now["duration"] >> 63:
+                raise ValueError("a duration is too large")
         elif kind == b"hdlr" and "handler" not in now:
             now["handler"] = bytes(data[at + 8 : at + 12])
         elif kind == b"stsd" and u32(4):
@@ -112,28 +155,13 @@ def read_tracks(content: bytes) -> list[dict]:
                 now["width"], now["height"] = struct.unpack_from(">HH", data, at + 40)
         elif kind in (b"stts", b"stss", b"stsc", b"stco", b"co64"):
             each, form = {b"stts": (2, ">u4"), b"stss": (1, ">u4"), b"stsc": (3, ">u4"), b"stco": (1, ">u4"), b"co64": (1, ">u8")}[kind]
-            now["tables"][kind] = _numbers(data, at + 8, each * u32(4), form).reshape(-1, each)
+            now["tables"][kind] = _numbers(data, at + 8, stop, each * u32(4), form).reshape(-1, each)
         elif kind == b"stsz":
-            now["tables"][kind] = np.full(u32(8), u32(4)) if u32(4) else _numbers(data, at + 12, u32(8), ">u4")
-    for t in tracks:
-        tables = t["tables"]
-        sizes = tables.get(b"stsz", np.zeros(0, np.int64))
-        chunks = tables.get(b"co64", tables.get(b"stco", np.zeros((0, 1), np.int64)))[:, 0]
-        runs = tables.get(b"stsc", np.zeros((0, 3), np.int64))
-        if len(sizes):
-            # samples of each chunk: a run holds until the next run's first chunk
-            until = np.append(runs[1:, 0], len(chunks) + 1)
-            per_chunk = np.repeat(runs[:, 1], until - runs[:, 0])
-            of = np.repeat(np.arange(len(chunks)), per_chunk)[: len(sizes)]
-            ends = np.cumsum(sizes)
-            first = (np.cumsum(per_chunk) - per_chunk)[of]
-            t["offsets"] = chunks[of] + (ends - sizes) - (ends - sizes)[first]
-            if len(of) < len(sizes) or (t["offsets"] + sizes).max() > len(content):
+            if u32(4) * u32(8) > len(data):
                 raise ValueError("samples lie outside the file")
-        else:
-            t["offsets"] = sizes
-        t["sizes"] = sizes
-        t["sync"] = tables[b"stss"][:, 0] - 1 if b"stss" in tables else np.arange(len(sizes))
+            now["tables"][kind] = np.full(u32(8), u32(4)) if u32(4) else _numbers(data, at + 12, stop, u32(8), ">u4")
+    for t in tracks:
+        t["offsets"], t["sizes"], t["sync"] = _samples(t["tables"], len(content))
     return tracks
 
 
@@ -164,10 +192,10 @@ def read_media(df: DataFrame, media: str = "media", payload: bool = True) -> Dat
             return {"status": "null"}
         try:
             track = next((t for t in read_tracks(content) if "timescale" in t), None)
-            if track is None:
-                return {"status": "no track"}
         except (ValueError, struct.error, KeyError, IndexError) as e:
             return {"status": f"malformed: {type(e).__name__}"}
+        if track is None:
+            return {"status": "no track"}
         at, size, sync = track["offsets"], track["sizes"], track["sync"]
         out = {k: track[k] for k in ("codec", "width", "height", "timescale", "duration")}
         out |= {"status": "ok", "n_samples": len(size), "keyframes": [{"offset": o, "size": s} for o, s in zip(at[sync].tolist(), size[sync].tolist(), strict=True)]}
