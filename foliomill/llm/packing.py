@@ -1,13 +1,18 @@
 """Packing token sequences: first-fit decreasing over a tournament tree of bin capacities.
 
-Documents are cut into full windows and a rest; the pieces are dealt at random
-into groups, and each group is packed by itself in one task: pieces by
-descending length, each into the first sequence that still has room.  The tree
-holds the free room of the sequences in its leaves and the larger of two in
-each inner node, so the first fit is found by one walk from the root.
-
-Nulls: a null text has the end id alone; a null key is kept.  Equal rows are
-packed each by itself.  No rows give no pieces.
+Documents are cut into windows; the pieces are dealt at random into groups, and
+each group is packed by itself in one task: pieces by descending length, each
+into the first sequence that still has room.  There are as many groups as keep
+both the documents and the bytes of text of one near a given number, so a group
+is bounded whether documents are many or long; a document's pieces are dealt
+apart.  The tree holds the free room of the sequences in its leaves and the
+larger of two in each inner node, so the first fit is found by one walk from the
+root.
+
+A null or empty text has the end id alone; a null key is kept.  A text of any
+length is encoded whole, in one row.  Pieces of one length go by key, start and
+ids; repeated rows are packed each by itself.  No rows give no pieces.  Extra
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -97,17 +102,19 @@ SCHEMA = pa.schema([("group", pa.int64()), ("doc_id", pa.int64()), ("start", pa.
 
 
 def pack_documents(
-    docs: DataFrame, tokenizer_path: str, end_id: int, window: int = 4096, group_docs: int = 1000, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, tokenizer_path: str, end_id: int, window: int = 4096, group_docs: int = 1000, group_bytes: int = 4 << 20, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """Pieces with their sequence and offset; sequence_id is group << 32 | number in the group.
 
-    ``group_docs`` documents share a group on average, which bounds what a task
-    holds and leaves about one unfilled sequence in a group.
+    On average a group holds at most ``group_docs`` documents' worth of pieces
+    and ``group_bytes`` of text (a byte is one id at most), which bounds what a
+    task holds and leaves about one unfilled sequence in a group.
     """
-    groups = max(1, -(-docs.count() // group_docs))
+    rows, size = docs.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()
+    groups = max(1, -(-rows // group_docs), -(-size // group_bytes))
 
     def pack(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("length", "descending"), ("doc_id", "ascending"), ("start", "ascending")])
+        table = table.sort_by([("length", "descending"), ("doc_id", "ascending"), ("start", "ascending"), ("ids", "ascending")])
         placed = first_fit_decreasing(table["length"].to_pylist(), window)
         base = table["group"][0].as_py() << 32
         sequence = pa.array([base | b for b, _ in placed], pa.int64())
