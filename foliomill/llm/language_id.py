@@ -8,8 +8,12 @@ a trigram's rows is the set of languages that contain it.  A text's hits are
 popcounts of each language over its trigrams, less what false positives alone
 would give; the most hits decide.
 
-Null texts and texts without a letter are ``und`` with score 0.  Null languages
-teach nothing; with nothing learned every text is ``und``.
+Null and empty texts and texts without a letter are ``und`` with score 0; a text
+of any length is one row, read whole.  Null languages teach nothing; with nothing
+learned every text is ``und``.  Languages with equally many hits go to the first
+by name.  Repeated rows and rows of equal keys are predicted each by itself, and
+no rows give no rows.  Extra columns are ignored by ``predict`` and pass through
+``keep_known``, whatever their names.
 """
 
 from __future__ import annotations

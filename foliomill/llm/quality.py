@@ -7,9 +7,12 @@ The features are the shares of byte-class transitions (which class of byte
 follows which) and a few figures on words and lines, over the whole text.
 
 The model is fitted on at most ``most`` labelled rows (the least by a hash of
-the key); scoring covers every row.  Null and empty texts have features of zero
-and get a score like any other.  Labels that are null are left out; if one class
-is missing every score is the share of good labels.
+the key, then of the text, also where keys repeat on either side); scoring covers
+every row.  Null and empty texts have features of zero and get a score like any
+other; a text of any length is one row.  Equal texts have equal scores.  Labels
+that are null are left out; if one class is missing every score is the share of
+good labels, and 1 without any.  No rows give no rows.  Extra columns are ignored
+by ``score`` and pass through ``keep_good``, whatever their names.
 """
 
 from __future__ import annotations
@@ -80,16 +83,20 @@ def fit_pairs(x: np.ndarray, y: np.ndarray, pairs: int = 30_000, ridge: float =
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id", text: str = "text", label: str = "quality", most: int = 8000, cutoff: float = 0.3) -> dict:
     """A model (plain arrays) from at most ``most`` labelled rows for which ``learn`` holds."""
-    chosen = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull() & learn).select(key, F.col(label).cast("int").alias("_y"))
-    chosen = chosen.orderBy(F.xxhash64(key), key, "_y").limit(most)
+    chosen = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull() & learn).select(F.col(key).alias("_key"), F.col(label).cast("int").alias("_y"))
+    chosen = chosen.orderBy(F.xxhash64("_key"), "_key", "_y").limit(most)
     chosen = cut(chosen, "quality-labels")  # at most ``most`` rows, so it may be broadcast
+    texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_key")
+    order = [F.xxhash64("_key"), F.col("_key"), F.col("_y"), F.xxhash64("_text")]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = features(batch.column(0).to_pylist())
-            yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.list_(pa.float32())), batch.column(1)], ["x", "y"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.list_(pa.float32())), *batch.columns[1:]], ["x", "y", "place"])
 
-    table = docs.select(key, text).join(F.broadcast(chosen), key).select(text, "_y").mapInArrow(rows, "x array<float>, y int").toArrow()
+    # keys that repeat could give more rows than labels were chosen
+    found = texts.select("_text", "_y", F.struct(*order).alias("place"))
+    table = found.mapInArrow(rows, f"x array<float>, y int, place {dict(found.dtypes)['place']}").orderBy("place").limit(most).select("x", "y").toArrow()
     y = table["y"].to_numpy()
     if len(np.unique(y)) < 2:
         return {"w": np.zeros(WIDTH), "mean": np.zeros(WIDTH), "std": np.ones(WIDTH), "at": 0.0, "scale": 0.0, "prior": float(y.mean()) if len(y) else 1.0, "cutoff": cutoff}

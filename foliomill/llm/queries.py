@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut, read_table, small_arrow_batches
+from ..session import bound_arrow_batches, cut, read_table
 from . import language_id, media, ngram_join, packing, quality, sharding, substring_dedup, token_planes, topk, trie_bpe
 
 
@@ -18,12 +18,12 @@ def tokenizer_path(name: str) -> str:
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, the text that stays, and what was removed, for every document."""
-    small_arrow_batches(spark)
+    bound_arrow_batches(spark)
     return substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents")).select("doc_id", "text", "removed_units", "removed_chars")
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small_arrow_batches(spark, 64)
+    bound_arrow_batches(spark)
     found = ngram_join.near_duplicates(read_table(spark, sf_dir, "documents"), width=3, num=90, den=100)
     return found.select("doc_id", "n_shingles", "component_id", "class_id", "links")
 
@@ -34,7 +34,7 @@ def crc_mod(n: int) -> Column:
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small_arrow_batches(spark)
+    bound_arrow_batches(spark)
     docs = read_table(spark, sf_dir, "documents")
     model = language_id.fit(docs, learn=F.coalesce(crc_mod(4) != 2, F.lit(False)))
     found = language_id.predict(docs, model)
@@ -42,14 +42,14 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small_arrow_batches(spark, 64)
+    bound_arrow_batches(spark)
     docs = read_table(spark, sf_dir, "documents")
     files = cut(token_planes.write_token_files(docs, tokenizer_path("word_bpe_49k.json"), end_id=1), "token-files")
     return token_planes.read_token_files(files, with_ids=False)
 
 
 def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small_arrow_batches(spark)
+    bound_arrow_batches(spark)
     stored = cut(media.encode_media(read_table(spark, sf_dir, "documents")), "media", compression="zstd")
     read = media.read_media(stored)
     frames = F.transform("keyframes", lambda k: F.concat_ws("+", k["offset"], k["size"]))
@@ -67,13 +67,13 @@ def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small_arrow_batches(spark, 16)
+    bound_arrow_batches(spark)
     vectors = read_table(spark, sf_dir, "embeddings")
     return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small_arrow_batches(spark)
+    bound_arrow_batches(spark)
     packed = packing.pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=2)
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
@@ -83,7 +83,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small_arrow_batches(spark)
+    bound_arrow_batches(spark)
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     model = quality.fit(docs, labels, learn=crc_mod(5) != 0)
     found = quality.score(docs, model)
@@ -92,7 +92,7 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small_arrow_batches(spark)
+    bound_arrow_batches(spark)
     coded = trie_bpe.encode_decode(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
     return coded.select(
         "doc_id",

@@ -5,8 +5,11 @@ is a hash of the key and the shard's number.  The numbers of the other shards
 don't enter, so one more shard takes records only into itself, and losing one
 moves only its own records.  Only DataFrame functions are used.
 
-Nulls: a null key hashes as a key of its own (its rows keep together); null
-texts have no bytes.  Extra columns pass through.  Equal keys share a shard.
+A null key hashes as a key of its own (its rows keep together); null and empty
+texts have no bytes, and long ones are only measured and hashed.  Equal keys
+share a shard; slots within one go by cells of a hash, then key, size and text
+hash, and rows equal in all three take slots next to each other.  No rows give no
+rows.  Extra columns aren't in the manifest, whatever their names.
 """
 
 from __future__ import annotations

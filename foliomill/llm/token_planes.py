@@ -7,8 +7,11 @@ token counts, then (offset, size) of every plane of every chunk; the planes.
 A chunk is transposed into its bytes' (or bits') planes, and each plane is
 compressed by itself, so a reader can fetch any range of ids by the index.
 
-Nulls: a null text is empty (one end id); a null document id sorts first.
-Equal ids keep all their rows.  No rows give no file.
+A null or empty text has one end id; a null document id sorts first.  Equal ids
+keep all their rows, by the hash of the text and then the text, so positions are
+the same in every run; however many, they spread over parts by the hash.  A text
+of any length is one row; a file grows beyond its size by no more than one
+document.  No rows give no file.  Extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -106,8 +109,9 @@ def write_token_files(
         if keys:
             yield out()
 
-    ordered = docs.select(F.col(key).cast("long"), text).repartitionByRange(F.col(key)).sortWithinPartitions(key)
-    return ordered.mapInArrow(write, FILES)
+    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("hash"))
+    ordered = rows.repartitionByRange("id", "hash").sortWithinPartitions("id", "hash", "text")
+    return ordered.select("id", "text").mapInArrow(write, FILES)
 
 
 SCHEMA = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("before", pa.int64()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("content", pa.binary())])

@@ -10,7 +10,10 @@ no more than k by (score, smaller id), and k of those remain.
 
 Vectors that are null, or hold null or non-finite components, take no part;
 nor do null ids, and vectors of another length than the query's score nothing.
-Rows with equal ids are candidates each.  Fewer than k candidates give all.
+Candidates of equal ids count each; query rows of equal ids ask once, with the
+least of their vectors, and none of the candidates of that id is theirs.  Ties
+go to the smaller id.  Fewer than k candidates give all; no rows give none.
+Extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import cut, scratch
 
 BLOCK = "ids binary, vectors binary"
 NONE_BELOW = -(1 << 62)
@@ -84,14 +87,19 @@ def _scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 def top_k(df: DataFrame, query: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int = 5, scale: int = 256, bins: int = 1024, block: int = 4096, query_block: int = 512) -> DataFrame:
     """query_id, rank, vec_id, score: the k best of df for each row of query, itself left out."""
+    with scratch(df.sparkSession):
+        return cut(_top_k(df, query, key, vector, k, scale, bins, block, query_block), "topk", stays=True)
+
+
+def _top_k(df: DataFrame, query: DataFrame, key: str, vector: str, k: int, scale: int, bins: int, block: int, query_block: int) -> DataFrame:
     candidates = _blocks(quantise(df, key, vector, scale), block).withColumn("block", F.monotonically_increasing_id())
     numbers = Window.orderBy("part", "block")
-    # one row for a block of thousands of vectors: numbering them without gaps is small
+    # one row for a block of thousands of vectors, so numbering them without gaps is small; the planner sees its size
     parts = cut(candidates.withColumn("part", F.spark_partition_id()), "topk-blocks")
-    order = parts.select("part", "block", (F.row_number().over(numbers) - 1).alias("number"))
-    candidates = cut(parts.join(F.broadcast(order), ["part", "block"]).select(F.col("number").alias("block"), "dim", "ids", "vectors"), "topk-numbered")
+    order = cut(parts.select("part", "block", (F.row_number().over(numbers) - 1).alias("number")), "topk-order")
+    candidates = cut(parts.join(order, ["part", "block"]).select(F.col("number").alias("block"), "dim", "ids", "vectors"), "topk-numbered")
     n_blocks = candidates.count()
-    asked = quantise(query, key, vector, scale).dropDuplicates(["id"])
+    asked = quantise(query, key, vector, scale).groupBy("id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
     most = quantise(df, key, vector, scale).agg(F.max(norm)).first()[0] or 0.0
     most_asked = asked.agg(F.max(norm)).first()[0] or 0.0

@@ -10,7 +10,11 @@ the last token of the prefix before it, and a word is read off by going back.
 Two tokens can stand side by side when no merge across their border comes
 earlier than the merges that use up its two sides.
 
-Nulls and empty texts have no ids and decode to the empty text.
+Null and empty texts have no ids and decode to the empty text; a text of any
+length is one row.  Equal texts have equal ids, whatever batch they fall in, and
+repeated rows and equal or null keys stay as they are.  Merges of equal rank
+apply from the left.  No rows give no rows.  Extra columns are ignored, whatever
+their names.
 """
 
 from __future__ import annotations

@@ -4,11 +4,13 @@ The normaliser turns white space to single spaces and the pre-tokeniser drops
 it, so no merge, composition or special token spans white space: the ids of a
 text are the ids of its words.  Words of printable ASCII and Latin-1 letters are
 cut here and given to the library's BPE model; every other word goes through
-the library's whole pipeline.
+the library's whole pipeline.  A file whose normaliser or pre-tokeniser isn't
+the one below goes through the library alone, text by text.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable
 from functools import cache
@@ -16,7 +18,17 @@ from functools import cache
 _ODD = re.compile(r"[^\t\n\r -~À-ÖØ-öø-ÿ]|<\|")
 _GAPS = re.compile(r"[ \t\n\r]+")
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
-# The pre-tokeniser's pattern, on the characters of _PLAIN.
+# The normaliser and pre-tokeniser that cutting at white space is right for.
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+_PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": _SPLIT}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+# The same pattern on the characters of _PLAIN.
 _PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿÀ-ÖØ-Þ]+|[0-9]|[^\sa-z0-9ß-öø-ÿÀ-ÖØ-Þ]+")
 _LONG = 48
 
@@ -52,6 +64,11 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        # special tokens that hold white space or lack "<|" would be missed by the cut
+        special = all(t["content"].startswith("<|") and not t["content"].split()[1:] and not t["lstrip"] and not t["rstrip"] for t in spec["added_tokens"])
+        self.by_words = spec["normalizer"] == _NORMALIZER and spec["pre_tokenizer"] == _PRE_TOKENIZER and spec["post_processor"] is None and special
         self.model = self.tokenizer.model
         self.id_bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.pieces = _Remembered(self._piece, most)
@@ -74,6 +91,8 @@ class WordEncoder:
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if not self.by_words:
+            return b"".join([self.id_bytes[i] for i in self.tokenizer.encode(text, add_special_tokens=False).ids])
         if _ODD.search(text):
             return b"".join([self.other[w] for w in _GAPS.split(text)])
         return b"".join(map(self.plain.__getitem__, text.split()))
