@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 from foliomill.llm import language_id, media, ngram_join, packing, quality, sharding, substring_dedup, token_planes, topk, trie_bpe
 from foliomill.llm.components import connected_components
 from foliomill.llm.word_ids import WordEncoder
-from foliomill.session import small_arrow_batches
+from foliomill.session import bound_arrow_batches
 
 WORD, BYTE = (public_tokenizers.path(f"{n}.json") for n in ("word_bpe_49k", "byte_bpe_50k"))
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, media string, score double, id string, removed_units string"
@@ -34,7 +34,7 @@ def rows():
 
 @pytest.fixture(scope="module")
 def docs(spark, rows):
-    small_arrow_batches(spark, 64)
+    bound_arrow_batches(spark, 1 << 16)
     return spark.createDataFrame(rows, SCHEMA).repartition(3).cache()
 
 
@@ -219,33 +219,95 @@ def test_components_of_paths_and_stars(spark):
     assert got == {i: 1 for i in range(1, 31)} | {100 + i: 100 for i in range(20)}
 
 
-def test_substring_dedup(docs, rows, none):
-    got = {r.doc_id: r for r in substring_dedup.remove_repeats(docs).collect()}
-    cut = {i: substring_dedup.units(t or "") for i, t, *_ in rows}
-    assert all("".join(u for u, _ in cut[i]) == (t or "") for i, t, *_ in rows)
-    words = lambda i, a, b: sum(n for _, n in cut[i][a:b])
+def repeats_removed(rows: list[tuple]) -> list[tuple[str | None, int]]:
+    """Brute force: the text that stays and the units removed of each (key, text), rows equal in both being one document."""
+    units = {r: substring_dedup.units(r[1] or "") for r in rows}
+    assert all("".join(u) == (text or "") for (_, text), u in units.items())
     spans, first = {}, {}
-    for i in sorted(cut):
-        n, of = len(cut[i]), set()
+    hashed = {t: h for t, h in zip(sorted({t or "" for _, t in rows}), range(len(rows)), strict=False)}
+    for r in sorted(units, key=lambda r: (r[0] is not None, r[0] or 0, hashed[r[1] or ""])):
+        of, found, n = units[r], set(), len(units[r])
+        words = lambda a, b, of=of: sum(len(u.split()) for u in of[a:b])
         for a in range(n):
-            b = next((b for b in range(a + 3, n + 1) if words(i, a, b) >= 24), None)
-            of |= {(a, b)} if b else set()
+            b = next((b for b in range(a + 3, n + 1) if words(a, b) >= 24), None)
+            found |= {(a, b)} if b else set()
         for b in range(1, n + 1):
-            a = next((a for a in range(b - 3, -1, -1) if words(i, a, b) >= 24), None)
-            of |= {(a, b)} if a is not None else set()
-        for a, b in sorted(of):
-            k = tuple(" ".join(u.lower().split()) for u, _ in cut[i][a:b])
-            first.setdefault(k, (i, a))
-            spans.setdefault(i, []).append((a, b, k))
-    for i, text, *_ in rows:
-        gone = {u for a, b, k in spans.get(i, []) if first[k] != (i, a) for u in range(a, b)}
-        kept = "".join(u for j, (u, _) in enumerate(cut[i]) if j not in gone)
-        kept = kept.rstrip() if len(cut[i]) - 1 in gone else kept
-        assert (got[i].text or "") == kept and got[i].removed_units == len(gone) and (got[i].text is None) == (text is None)
-    assert got[41].text == "Lead. Tail." and got[42].text == "" and got[40].removed_units == 0
+            a = next((a for a in range(b - 3, -1, -1) if words(a, b) >= 24), None)
+            found |= {(a, b)} if a is not None else set()
+        ends, at = [0], 0  # a sentence with a word ends behind these units
+        for s in re.findall(r"[^.!?\n。！？]*(?:[.!?。！？]+|\n|\Z)\s*", r[1] or ""):
+            at += len(s)
+            if s.split():
+                ends.append(next(i + 1 for i in range(n) if len("".join(of[: i + 1])) == at))
+        if n and not of[0].split():
+            ends[0] = 1
+        found |= {(a, b) for a, b in zip(ends, ends[3:], strict=False) if words(a, b) < 24}
+        for a, b in sorted(found):
+            k = tuple(" ".join(u.lower().split()) for u in of[a:b])
+            first.setdefault(k, (r, a))
+            spans.setdefault(r, []).append((a, b, k))
+    out = []
+    for r in rows:
+        gone = {u for a, b, k in spans.get(r, []) if first[k] != (r, a) for u in range(a, b)}
+        kept = "".join(u for j, u in enumerate(units[r]) if j not in gone)
+        out.append((None if r[1] is None else kept.rstrip() if len(units[r]) - 1 in gone else kept, len(gone)))
+    return out
+
+
+def test_substring_dedup(docs, rows, none):
+    got = {r.doc_id: r for r in substring_dedup.remove_repeats(docs).collect()}
+    for (i, *_), (text, gone) in zip(rows, repeats_removed([r[:2] for r in rows]), strict=True):
+        assert (got[i].text, got[i].removed_units) == (text, gone)
+    assert got[41].text == "Lead. Tail." and got[42].text == "" and got[40].removed_units == 0 and got[0].media == "clash"
     assert substring_dedup.remove_repeats(none).count() == 0
 
 
+def test_substring_dedup_short_sentences(spark):
+    """Runs of three whole sentences count however short; two don't."""
+    shared = "One two. Three four five. Six. "
+    data = [(1, "Own words here. " + shared + "More."), (2, shared + "Other end."), (3, "Three four five. Six. Nothing else."), (4, "\n\n" + shared)]
+    got = {r.doc_id: r.text for r in substring_dedup.remove_repeats(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert got == {1: data[0][1], 2: "Other end.", 3: data[2][1], 4: "\n\n"[:0]} or got[4].strip() == ""
+    assert [got[i] for i in (1, 2, 3)] == [data[0][1], "Other end.", data[2][1]]
+
+
+def test_substring_dedup_scripts_without_spaces(spark):
+    rnd = random.Random(2)
+    han = lambda n: "".join(chr(rnd.randint(0x4E00, 0x9FA5)) for _ in range(n))
+    passage = "".join(han(14) + "。" for _ in range(5))
+    data = [(1, han(20) + "。" + passage + han(9) + "。"), (2, passage), (3, han(30) + passage + han(30) + "！")]
+    got = {r.doc_id: r.text for r in substring_dedup.remove_repeats(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert got[1] == data[0][1] and got[2] == "" and passage[20:50] not in got[3] and got[3].startswith(data[2][1][:20]) and got[3].endswith(data[2][1][-20:])
+
+
+def test_equal_keys_are_documents_of_their_own(spark):
+    """Rows of one key with different texts, null keys and rows equal in both, in the operators that compare rows."""
+    rnd = random.Random(3)
+    sentence = lambda: " ".join(rnd.choice("abcdefgh") + str(rnd.randrange(300)) for _ in range(12)) + ". "
+    passage = "".join(sentence() for _ in range(5))
+    texts = [passage + sentence(), "".join(sentence() for _ in range(9)), passage, sentence() + passage + sentence() * 2]
+    data = [(7, texts[0]), (7, texts[1]), (7, texts[2]), (7, texts[3]), (None, texts[3]), (None, texts[1]), (9, texts[0]), (9, texts[0]), (3, None), (3, "")]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    got = [(r.doc_id, r.text, r.removed_units) for r in substring_dedup.remove_repeats(df).collect()]
+    assert len(got) == len(data)
+    # every sentence of a passage stands in one place only: the first by key, null keys before
+    kept = [t for k, t, _ in got if t and passage[:40] in t]
+    assert len(kept) == 1 and sum(1 for k, t, _ in got if k == 9 and t == "") == 2
+    assert sum(t == texts[1] for k, t, _ in got if k is None) == 1 and sum(t == "" for k, t, _ in got if k == 7) >= 1
+    # the join: texts[0] and its copy link, though a row of the same key is unlike
+    near = [(r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(df, 3, 9, 10).collect()]
+    sizes = [len(brute_set(t, 3)) for t in texts]
+    assert sorted(x for x in near if x[0] == 9) == [(9, sizes[0], 7)] * 2 and sorted(x[1] for x in near if x[0] == 7) == sorted(sizes)
+    assert all(x[2] is None for x in near if x[0] is None) and sorted(x for x in near if x[0] == 3) == [(3, 0, 3)] * 2
+    kept = ngram_join.keep_first(df, 3, 9, 10).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept) == sorted((k or 0, t or "") for k, t in data if k != 9)
+
+
+def brute_set(text: str | None, width: int) -> set:
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(words[i : i + width]) for i in range(len(words) - width + 1)} or ({tuple(words)} if words else set())
+
+
 def test_substring_dedup_mid_sentence(spark):
     rnd = random.Random(8)
     words = lambda n: [rnd.choice("abcdefgh") + str(rnd.randrange(500)) for _ in range(n)]
