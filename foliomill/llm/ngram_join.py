@@ -40,17 +40,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut, scratch
+from . import bitset
 from .components import connected_components
 from .rows import number_rows
 from .shingles import M2, M3, blocks, mix, shingle_sets
 
 SKETCH, SLICES, MATCHES = 1 << 23, 64, 8
-#: Slots of a bit set as a power of two and slots a member takes; documents that an element may have to have its pairs listed.
-BITS, TAKEN, FEW = 26, 3, 16
+#: Slots of a bit set as a power of two; documents that an element may have to have its pairs listed.
+BITS, FEW = 26, 16
 #: Elements and documents in a block, on average; blocks of a cluster that share a salt.
 BLOCK, BLOCK_DOCS, SALTED = 1 << 16, 1024, 64
 
@@ -153,39 +154,14 @@ def prefixes(docs: DataFrame, width: int, num: int, den: int, sketch: np.ndarray
     return docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("binary")).mapInArrow(cut_prefixes, "id long, n long, m int, prefix array<long>")
 
 
-def _bits(df: DataFrame, member: Column) -> np.ndarray:
-    """A Bloom filter of 64-bit hashes: 2^BITS slots in 64-bit words, at most 2^(BITS - 6) of which come to the driver.
-
-    A member takes TAKEN slots, so that what passes by chance stays a small
-    share of all rows until the members are about a tenth of the slots.
-    """
-    first, step = (x.bitwiseAND((1 << BITS) - 1) for x in (member, F.shiftrightunsigned(member, 32)))
-    slots = F.explode(F.array(*[(first + step * i) % (1 << BITS) for i in range(TAKEN)]))
-    words = df.select(slots.alias("s")).groupBy(F.expr("s div 64").alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(s % 64 as int)))").alias("m")).toArrow()
-    out = np.zeros(1 << (BITS - 6), np.int64)
-    out[words["w"].to_numpy()] = words["m"].to_numpy()
-    return out
-
-
-def _held(words: np.ndarray, members: np.ndarray) -> np.ndarray:
-    """Which members (64-bit hashes) a filter of _bits holds, or may hold."""
-    mask = (1 << BITS) - 1
-    first, step = members & mask, (members >> 32) & mask
-    found = np.ones(len(members), bool)
-    for i in range(TAKEN):
-        slots = (first + step * i) & mask
-        found &= (words[slots >> 6] >> (slots & 63)) & 1 == 1
-    return found
-
-
 def _sets(docs: DataFrame, wanted: DataFrame, width: int, key: str, text: str) -> DataFrame:
     """id and whole set of the wanted documents, and of a few more by chance: joins with their pairs drop those."""
     member = F.xxhash64("id")
-    shared = docs.sparkSession.sparkContext.broadcast(_bits(wanted, member))
+    shared = docs.sparkSession.sparkContext.broadcast(bitset.make(wanted, member, BITS))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch = batch.filter(pa.array(_held(shared.value, batch.column(2).to_numpy())))
+            batch = batch.filter(pa.array(bitset.holds(shared.value, batch.column(2).to_numpy())))
             texts = batch.column(1).to_pylist()
             for a, b in blocks(texts):
                 owner, sets = shingle_sets(texts[a:b], width)
@@ -211,14 +187,14 @@ def _live_postings(firsts: DataFrame) -> DataFrame:
     """element, id, n, m of the prefix elements that at least two documents hold."""
     counted = firsts.select(F.explode("prefix").alias("element")).groupBy("element").agg(F.count("*").alias("df"))
     live = cut(counted.where("df > 1"), "elements")
-    shared = firsts.sparkSession.sparkContext.broadcast(_bits(live, F.col("element")))
+    shared = firsts.sparkSession.sparkContext.broadcast(bitset.make(live, F.col("element"), BITS))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(3)
             sizes = lists.value_lengths().to_numpy()
             flat = lists.flatten().to_numpy()
-            hit = _held(shared.value, flat)
+            hit = bitset.holds(shared.value, flat)
             row = pa.array(np.repeat(np.arange(len(sizes)), sizes)[hit])
             yield pa.RecordBatch.from_arrays([pa.array(flat[hit]), *[batch.column(c).take(row) for c in range(3)]], ["element", "id", "n", "m"])
 

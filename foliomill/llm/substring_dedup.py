@@ -31,12 +31,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut, scratch
+from . import bitset
 from .rows import number_rows
-from .shingles import M1, M2, mix
+from .shingles import M1, M2, blocks, mix
 
 #: Letters of Thai, Lao, Burmese, Khmer, kana and Han, which stand without spaces.
 _DENSE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
@@ -68,8 +70,8 @@ def _starts(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return starts
 
 
-def _cut(text: str) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """Sentences, their numbers of words, the words' hashes (never 0) and whether each word starts a unit."""
+def _cut(text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Sentences, their numbers of words and the words' hashes (never 0)."""
     sentences = [s for s in _SENTENCE.findall(text) if s]
     if _HAS_DENSE.search(text):
         parts = [[w.strip() for w in _WORD.findall(s.lower())] for s in sentences]
@@ -77,38 +79,47 @@ def _cut(text: str) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
     else:
         counts, words = np.array([len(s.split()) for s in sentences], np.int64), " ".join(sentences).lower().split()
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)) | np.uint64(1)
-    return sentences, counts, hashes, _starts(hashes, counts)
+    return sentences, counts, hashes
+
+
+def _pieces(sentence: str, starts: np.ndarray) -> list[str]:
+    """The units of a sentence; ``starts`` marks its words that start one."""
+    cuts = [*np.flatnonzero(starts).tolist(), len(starts)]
+    if len(cuts) < 3:
+        return [sentence]
+    words = _WORD.findall(sentence.lstrip())
+    words[0] = sentence[: len(sentence) - len(sentence.lstrip())] + words[0]
+    return ["".join(words[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
 def units(text: str) -> list[str]:
     """The units of a text; joined they are the text."""
-    sentences, counts, _, starts = _cut(text)
-    out, at = [], 0
-    for sentence, n in zip(sentences, counts.tolist(), strict=True):
-        cuts = [*np.flatnonzero(starts[at : at + n]).tolist(), n]
-        at += n
-        if len(cuts) > 2:
-            words = _WORD.findall(sentence.lstrip())
-            words[0] = sentence[: len(sentence) - len(sentence.lstrip())] + words[0]
-            out += ["".join(words[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
-        else:
-            out.append(sentence)
-    return out
-
-
-def _unit_hashes(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash and number of words of each unit of a text, and the first unit of each sentence with a word (and the end)."""
-    _, counts, hashes, starts = _cut(text)
-    # a sentence without words is a unit too; it comes before the sentence that begins at the same word
+    sentences, counts, hashes = _cut(text)
+    starts = np.split(_starts(hashes, counts), np.cumsum(counts)[:-1])
+    return [u for s, x in zip(sentences, starts, strict=True) for u in _pieces(s, x)] if sentences else []
+
+
+def without_spans(text: str, a: np.ndarray, b: np.ndarray) -> tuple[str, int]:
+    """A text without its units from each a to b (exclusive), and how many went; only sentences that go in part are cut."""
+    sentences, counts, hashes = _cut(text)
+    starts = _starts(hashes, counts)
     first = np.cumsum(counts) - counts
-    at = np.concatenate([first[counts == 0], np.flatnonzero(starts)])
-    blank = np.arange(len(at)) < (counts == 0).sum()
-    order = np.lexsort((~blank, at))
-    a, blank = at[order], blank[order]
-    b = np.append(a[1:], len(hashes))
-    begins = np.zeros(len(hashes) + 1, bool)
-    begins[first[counts > 0]] = True
-    return _spans(mix(hashes), a, b), b - a, np.append(np.flatnonzero(begins[a] & ~blank), len(a))
+    begun = np.append(0, np.cumsum(starts))
+    sizes = np.maximum(begun[first + counts] - begun[first], 1)
+    at = np.cumsum(sizes) - sizes
+    edge = np.zeros(int(sizes.sum()) + 1, np.int64)
+    np.add.at(edge, a, 1)
+    np.add.at(edge, b, -1)
+    drop = np.cumsum(edge)[:-1] > 0
+    kept = []
+    for i, (s, gone, n) in enumerate(zip(sentences, np.add.reduceat(drop.astype(np.int64), at).tolist(), sizes.tolist(), strict=True)):
+        if not gone:
+            kept.append(s)
+        elif gone < n:
+            pieces = _pieces(s, starts[first[i] : first[i] + counts[i]])
+            kept += [u for u, d in zip(pieces, drop[at[i] : at[i] + n].tolist(), strict=True) if not d]
+    left = "".join(kept)
+    return (left.rstrip() if drop[-1] else left), int(drop.sum())
 
 
 def _spans(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -124,55 +135,87 @@ def _spans(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix((sums[b] - sums[a]) * inverse[a] ^ (b - a).astype(np.uint64) * M1)
 
 
-def _runs(hashes: np.ndarray, counts: np.ndarray, begins: np.ndarray, sentences: int, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """start, end (exclusive) and hash of one text's runs of units."""
-    n = len(hashes)
-    total = np.append(0, np.cumsum(counts))
-    at = np.arange(n)
-    ends = np.maximum(np.searchsorted(total, total[:-1] + words), at + MIN_UNITS)
-    starts = np.minimum(np.searchsorted(total, total[1:] - words, side="right") - 1, at + 1 - MIN_UNITS)
-    whole = np.stack([begins[:-sentences], begins[sentences:]], 1)
-    # runs of whole sentences that have the words hold runs of units that cover them
-    whole = whole[total[whole[:, 1]] - total[whole[:, 0]] < words]
-    spans = np.concatenate([np.stack([at, ends], 1)[ends <= n], np.stack([starts, at + 1], 1)[starts >= 0], whole])
-    if not len(spans):
-        return at[:0], at[:0], hashes[:0]
-    code = np.unique(spans[:, 0] * (n + 1) + spans[:, 1])
+def block_runs(texts: list[str | None], sentences: int, words: int) -> tuple[np.ndarray, ...]:
+    """text (its number), a, b (units of the text, b exclusive), hash and again of every run of some texts.
+
+    The texts' words stand behind each other, and no run crosses from one to the
+    next; ``again`` marks runs that their text holds before.
+    """
+    parts = [_cut(t) for t in texts if t]
+    if not parts:
+        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64), np.zeros(0, bool))
+    number = np.flatnonzero([bool(t) for t in texts])
+    counts, hashes = (np.concatenate([p[i] for p in parts]) for i in (1, 2))
+    starts = _starts(hashes, counts)
+    of_sentence = np.repeat(np.arange(len(parts)), [len(p[1]) for p in parts])
+    first = np.cumsum(counts) - counts
+    # units: a sentence without words is one too
+    blank = counts == 0
+    of_word = np.repeat(of_sentence, counts)
+    at = np.concatenate([first[blank], np.flatnonzero(starts)])
+    of, is_blank = np.concatenate([of_sentence[blank], of_word[starts]]), np.arange(len(at)) < blank.sum()
+    order = np.lexsort((~is_blank, at, of))
+    at, of, is_blank = at[order], of[order], is_blank[order]
+    ends = np.append(at[1:], len(hashes))
+    n = len(at)
+    unit = mix(_spans(mix(hashes), at, ends) ^ M2)
+    low, high = (np.searchsorted(of, of, side=side) for side in ("left", "right"))
+    # the shortest runs with enough words from and up to each unit
+    total, here = np.append(0, np.cumsum(ends - at)), np.arange(n)
+    upto = np.maximum(np.searchsorted(total, total[:-1] + words), here + MIN_UNITS)
+    since = np.minimum(np.searchsorted(total, total[1:] - words, side="right") - 1, here + 1 - MIN_UNITS)
+    forth, back = upto <= high, since >= low
+    # runs of whole sentences; those with enough words hold runs of units that cover them
+    begins = np.zeros(len(hashes) + 1, bool)
+    begins[first[~blank]] = True
+    begin = np.flatnonzero(begins[at] & ~is_blank)
+    last = np.flatnonzero(np.diff(of, append=-1)) + 1
+    edges, owner = np.concatenate([begin, last]), np.concatenate([of[begin], of[last - 1]])
+    order = np.lexsort((edges, owner))
+    edges, owner = edges[order], owner[order]
+    a, b = edges[:-sentences], edges[sentences:]
+    short = (owner[:-sentences] == owner[sentences:]) & (total[b] - total[a] < words)
+    a = np.concatenate([here[forth], since[back], a[short]])
+    b = np.concatenate([upto[forth], here[back] + 1, b[short]])
+    code = np.unique(a * (n + 1) + b)
     a, b = code // (n + 1), code % (n + 1)
-    return a, b, _spans(hashes, a, b)
+    h = _spans(unit, a, b)
+    again = np.ones(len(a), bool)
+    again[np.unique(h ^ mix(of[a].astype(np.uint64)), return_index=True)[1]] = False
+    return number[of[a]], a - low[a], b - low[a], h, again
 
 
-def runs(docs: DataFrame, row: str, text: str, sentences: int, words: int) -> DataFrame:
-    """h, id, a, b of every run of every text; ``again`` if the text holds the same run before."""
+def runs(docs: DataFrame, row: str, text: str, sentences: int, words: int, held: Broadcast | None = None) -> DataFrame:
+    """h, id, a, b of every run of every text; ``again`` if the text holds the same run before.
+
+    With a filter ``held`` only runs that it holds, and those that come again.
+    """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, a, b, h, again = [], [], [], [], []
-            for k, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                hashes, counts, begins = _unit_hashes(t.as_py() or "")
-                if len(hashes) < min(MIN_UNITS, sentences):
-                    continue
-                x, y, z = _runs(mix(hashes ^ M2), counts, begins, sentences, words)
-                a.append(x)
-                b.append(y)
-                h.append(z)
-                seen = np.ones(len(x), bool)
-                seen[np.unique(z, return_index=True)[1]] = False
-                again.append(seen)
-                ids.append(np.full(len(x), k, np.int64))
-            if ids:
-                columns = [np.concatenate(h).view(np.int64), np.concatenate(ids), *[np.concatenate(c).astype(np.int32) for c in (a, b)], np.concatenate(again)]
+            ids, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            for low, high in blocks(texts, 1 << 18):
+                of, a, b, h, again = block_runs(texts[low:high], sentences, words)
+                columns = [h.view(np.int64), ids[low:high][of], a.astype(np.int32), b.astype(np.int32), again]
+                if held is not None:
+                    keep = bitset.holds(held.value, columns[0]) | again
+                    columns = [c[keep] for c in columns]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["h", "id", "a", "b", "again"])
 
     return docs.select(row, text).mapInArrow(find, "h long, id long, a int, b int, again boolean")
 
 
 def covered_units(docs: DataFrame, row: str, text: str, sentences: int, words: int) -> DataFrame:
-    """id and spans (array of a, b): the runs of each row that aren't the first of their kind."""
+    """id and spans (array of a, b): the runs of each row that aren't the first of their kind.
+
+    A Bloom filter of the repeated runs keeps most others out of the second
+    shuffle; what it lets through by chance the join drops.
+    """
     every = runs(docs, row, text, sentences, words)
     seen = every.where("not again").groupBy("h").agg(F.min("id").alias("first"), F.max("id").alias("last"))
     repeated = cut(seen.where("first < last").select("h", "first"), "repeated-runs")
-    later = every.join(repeated, "h", "left").where("again or id <> first")
+    held = docs.sparkSession.sparkContext.broadcast(bitset.make(repeated, F.col("h"), bitset.fitting_bits(repeated.count())))
+    later = runs(docs, row, text, sentences, words, held).join(repeated, "h", "left").where("again or id <> first")
     return later.groupBy("id").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
 
 
@@ -189,23 +232,18 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", sen
     def cut_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, gone, chars = [], [], []
-            for value, spans in zip(batch.column(at), batch.column(len(columns)), strict=True):
-                t, s = value.as_py(), spans.as_py()
-                if t and s:
-                    of = units(t)
-                    drop = np.zeros(len(of) + 1, np.int64)
-                    for span in s:
-                        drop[span["a"]] += 1
-                        drop[span["b"]] -= 1
-                    drop = np.cumsum(drop)[:-1] > 0
-                    kept = "".join([u for u, d in zip(of, drop.tolist(), strict=True) if not d])
-                    gone.append(int(drop.sum()))
-                    texts.append(kept.rstrip() if drop[-1] else kept)
-                    chars.append(len(t) - len(texts[-1]))
-                else:
-                    texts.append(t)
-                    gone.append(0)
-                    chars.append(0)
+            spans = batch.column(len(columns))
+            of, ends = spans.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), spans.flatten()
+            a, b = (ends.field(i).to_numpy() for i in (0, 1))
+            stop = np.cumsum(of)
+            for value, low, high in zip(batch.column(at), (stop - of).tolist(), stop.tolist(), strict=True):
+                t, n = value.as_py(), 0
+                left = t
+                if t and high > low:
+                    left, n = without_spans(t, a[low:high], b[low:high])
+                texts.append(left)
+                gone.append(n)
+                chars.append(len(t or "") - len(left or ""))
             arrays = [*batch.columns[: len(columns)], pa.array(gone, pa.int64()), pa.array(chars, pa.int64())]
             arrays[at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(arrays, [*columns, "removed_units", "removed_chars"])
