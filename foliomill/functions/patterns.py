@@ -46,6 +46,21 @@ CLAUSE_WORDS = ("应当", "不得", "报告单位", "以下规定", "包括", "
 SECTION_TITLE_STOPS = ("。", "；", "本指导", "本原则", "常见", "良好")
 FULL_WIDTH = {"/": "／", ":": "：", "\\": "＼", "*": "＊", "?": "？", '"': "”", "<": "＜", ">": "＞", "|": "｜"}
 
+# Rules on lines and titles.
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+SHIELD = r"^\x00P\d+\x00$"
+SENTENCE_END, SENTENCE_END_OR_COLON = "[。！？；;]$", "[。！？；;：:]$"
+NUMBERED_TITLE = rf"^\d+[.\s、．]?\s*[{CJK}（(][^\n]{{1,40}}$"
+NUMBERED_SHORT = rf"^\d+\s+[{CJK}]{{2,25}}$"
+NUMBERED_CLAUSE = rf"^\d+\.\d+[{CJK}]"
+GUESS_NUM = r"[一二三四五六七八九十百零\d]+"
+BOLD_LEGAL = rf"\*\*\s*(第\s*[{CN_NUM}\d\s]+[条章节项][^*]*?)\s*\*\*"
+BOLD_SHORT = rf"\*\*\s*([{CJK}\w]{{1,2}})\s*\*\*"
+GAP_AFTER = rf"([{CJK}])[ \t]+(?=[{CJK}、，。；：！？）」』】])"
+GAP_BEFORE = rf"([{CJK}、，。；：！？（「『【])[ \t]+(?=[{CJK}])"
+OCR_NUMBER, OCR_STOP = r"(\d+)\s*[．.]\s+\$([0-9][^$]*)\$", r"(\$\s*[^$]+?\$)\s*、\s*的"
+OCR_RANGE = ("$25\\mathrm {\\;Pa}\\;30\\mathrm {\\;Pa}$", "$25\\mathrm {\\;Pa}~30\\mathrm {\\;Pa}$")
+
 # Index line shapes.
 CATALOG_LINE = r"^\s{2}- (.+?)（第(\d+)页）\s*$"
 SUMMARY_LINE = r"^- \*\*(.+?)\*\*（第(\d+)页）："
@@ -62,6 +77,10 @@ CHUNK_CHARS = 6000
 SMALL_LINES, SMALL_CHARS, MERGED_MOST = 8, 350, 15
 MERGED_NAME = "TODO-待LLM命名"
 SUMMARY_TODO = "TODO: 待LLM补写"
+NAME_TODO = "TODO: 待LLM补写合并块的文件名"
+LABEL_CHARS, LABEL_LINES, PREAMBLE_LINES, PREAMBLE_CHARS = 36, 7, 9, 80
+PAGED_CAPTION = r"表格\s*[（(]\s*第\s*(\d+)\s*页\s*[）)]"
+REPORT_ROWS = 200
 SPLIT_RATIO = (0.75, 1.05)
 LINE_BREAKS = "\\r\\n|[\\n\\r\\u000b\\u000c\\u001c-\\u001e\\u0085\\u2028\\u2029]"
 FORMATS = (".docx", ".pdf", ".doc")

@@ -12,7 +12,7 @@ from .text import is_rule_chapter, is_rule_section, squeeze, strip
 def is_boundary(c: Column) -> Column:
     """Lines that no paragraph runs across."""
     t, low = strip(c), F.lower(strip(c))
-    return (t == "") | t.rlike(r"^\x00P\d+\x00$") | t.startswith("#") | low.rlike("^(<table|</table|<tr|<td)") | t.startswith("![") | t.startswith("<!--")
+    return (t == "") | t.rlike(P.SHIELD) | t.startswith("#") | low.rlike("^(<table|</table|<tr|<td)") | t.startswith("![") | t.startswith("<!--")
 
 
 def starts_paragraph(c: Column) -> Column:
@@ -20,12 +20,6 @@ def starts_paragraph(c: Column) -> Column:
     return (t == "") | is_rule_chapter(t) | is_rule_section(t) | t.rlike(rf"(?U)^第[{P.CN_NUM}\d]+条") | t.rlike("(?U)" + P.LIST_ITEM)
 
 
-def should_merge(before: Column, line: Column, saw_blank: Column) -> Column:
-    """Whether a line continues the one before it."""
-    open_ = F.when(saw_blank, ~before.rlike("[。！？；;：:]$")).otherwise(~before.rlike("[。！？；;]$"))
-    return (before != "") & (line != "") & ~is_boundary(before) & ~is_boundary(line) & ~starts_paragraph(line) & open_
-
-
 def is_page_number(c: Column) -> Column:
     return c.rlike("(?U)" + P.NUMERIC_FOOTER) | c.rlike("(?U)" + P.DASH_PAGE) | c.rlike("(?U)" + P.EM_DASH_PAGE)
 
@@ -37,7 +31,7 @@ def is_boilerplate(c: Column) -> Column:
 def heading_level(c: Column) -> Column:
     """1 to 4 by the looks of a line and its length; else null."""
     t, n = strip(c), F.length(strip(c))
-    num = r"[一二三四五六七八九十百零\d]+"
+    num = P.GUESS_NUM
     one = t.rlike(rf"(?U)^第{num}[章篇编]\b|^第{num}\s*章")
     two = t.rlike(rf"(?U)^第{num}节\b|^\d+\.\d+\s")
     three = t.rlike(r"(?U)^\d+\.\d+\.\d+\s")
@@ -88,8 +82,8 @@ def is_numbered_part(c: Column) -> Column:
     clause = t.contains(P.CLAUSE_WORDS[0])
     for word in P.CLAUSE_WORDS[1:]:
         clause = clause | t.contains(word)
-    shape = t.rlike(rf"(?U)^\d+[.\s、．]?\s*[{P.CJK}（(][^\n]{{1,40}}$") | t.rlike(rf"(?U)^\d+\s+[{P.CJK}]{{2,25}}$")
-    long_clause = t.rlike(rf"(?U)^\d+\.\d+[{P.CJK}]") & (F.length(t) > 22)
+    shape = t.rlike("(?U)" + P.NUMBERED_TITLE) | t.rlike("(?U)" + P.NUMBERED_SHORT)
+    long_clause = t.rlike("(?U)" + P.NUMBERED_CLAUSE) & (F.length(t) > 22)
     return ~is_chapter(t) & (F.length(t) <= 80) & ~t.rlike(r"(?U)^\d+\.\d+\.\d+") & ~clause & ~long_clause & shape
 
 

@@ -1,19 +1,32 @@
 """Scalar text functions as Column expressions; all run in the JVM.
 
-``\\s`` and ``\\d`` of the text rules are Unicode classes, hence ``(?U)``.
+``\\s`` and ``\\d`` of the text rules are Unicode classes, hence ``(?U)``.  Those
+are slow to scan for, so rules that few lines meet look for a character that
+they can't do without first.
 """
 
 from __future__ import annotations
 
+import unicodedata
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import patterns as P
 
 NUMERALS = rf"{P.CN_NUM}\d"
+#: Decimal digits of all other scripts, and what each stands for.
+DIGITS = "".join(chr(c) for c in range(128, 0x110000) if unicodedata.category(chr(c)) == "Nd")
+VALUES = "".join(str(unicodedata.decimal(c)) for c in DIGITS)
 LEGAL = rf"第\s*([{NUMERALS}]+(?:\s+[{NUMERALS}]+)*)\s*"
 
 
+def let(c: Column, use: Callable[[Column], Column]) -> Column:
+    """use(c) with c evaluated once, however often use names it."""
+    return F.get(F.transform(F.array(c), use), F.lit(0))
+
+
 def sub(c: Column, pattern: str, to: str) -> Column:
     return F.regexp_replace(c, F.lit(pattern), F.lit(to))
 
@@ -24,7 +37,13 @@ def group(c: Column, pattern: str, n: int = 1) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return sub(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(P.BLANKS))
+
+
+def number(c: Column) -> Column:
+    """A whole number in digits of any script; null for anything else and for numbers that an int can't count on from."""
+    found = let(c, lambda x: F.when(x.rlike("^[0-9]*$"), x).otherwise(F.translate(x, DIGITS, VALUES)).try_cast("int"))
+    return F.nullif(found, F.lit(2**31 - 1))
 
 
 def clean_line(c: Column) -> Column:
@@ -48,8 +67,14 @@ def squeeze(c: Column) -> Column:
 
 
 def fix_legal_spaces(c: Column, units: str = "条章节项") -> Column:
-    """第 二十 一 条 to 第二十一条; a run of up to twelve numerals and blanks is looked at on each side."""
-    return sub(c, rf"(?U)(?<=第[\s{NUMERALS}]{{0,12}})\s+(?=[\s{NUMERALS}]{{0,12}}[{units}])", "")
+    """第 二十 一 条 to 第二十一条, however many numerals and blanks."""
+    loose = F.lit(rf"(?U){LEGAL}[{units}]")
+
+    def joined(x: Column) -> Column:
+        tight = F.transform(F.regexp_extract_all(x, loose, F.lit(0)), squeeze)
+        return F.array_join(F.zip_with(F.split(x, loose, -1), tight, lambda gap, y: F.concat(gap, F.coalesce(y, F.lit("")))), "")
+
+    return let(c, lambda x: F.when(x.contains("第") & x.rlike(r"(?U)第[\s" + NUMERALS + r"]*\s"), joined(x)).otherwise(x))
 
 
 def legal_space_hits(c: Column, unit: str) -> Column:
@@ -57,8 +82,7 @@ def legal_space_hits(c: Column, unit: str) -> Column:
     return F.regexp_count(c, F.lit(rf"(?U){LEGAL}[{unit}]"))
 
 
-BOLD_LEGAL = rf"(?U)\*\*\s*(第\s*[{NUMERALS}\s]+[条章节项][^*]*?)\s*\*\*"
-BOLD_SHORT = rf"(?U)\*\*\s*([{P.CJK}\w]{{1,2}})\s*\*\*"
+BOLD_LEGAL, BOLD_SHORT = "(?U)" + P.BOLD_LEGAL, "(?U)" + P.BOLD_SHORT
 
 
 def strip_bold(c: Column) -> Column:
@@ -90,12 +114,8 @@ def normalize_heading(c: Column) -> Column:
     )
 
 
-GAP_AFTER = rf"([{P.CJK}])[ \t]+(?=[{P.CJK}、，。；：！？）」』】])"
-GAP_BEFORE = rf"([{P.CJK}、，。；：！？（「『【])[ \t]+(?=[{P.CJK}])"
-
-
 def fix_cjk_gaps(c: Column) -> Column:
-    return sub(sub(c, GAP_AFTER, "$1"), GAP_BEFORE, "$1")
+    return sub(sub(c, P.GAP_AFTER, "$1"), P.GAP_BEFORE, "$1")
 
 
 def strip_inline_boilerplate(c: Column) -> Column:
@@ -106,10 +126,13 @@ def compress_blank_lines(c: Column) -> Column:
     return sub(c, r"\n{3,}", "\n\n")
 
 
-def join_wrapped(left: Column, right: Column) -> Column:
-    """Two parts of a wrapped line: a space only between ASCII letters or digits."""
-    gap = F.when(left.rlike("[A-Za-z0-9]$") & right.rlike("^[A-Za-z0-9]"), F.lit(" ")).otherwise(F.lit(""))
-    return F.concat(left, gap, right)
+def paragraphs_to_md(lines: Column) -> Column:
+    """An array of text lines as Markdown: cleaned, headings guessed, blank lines between all."""
+    from .predicates import heading_level
+
+    cleaned = F.filter(F.transform(lines, clean_line), lambda x: x != "")
+    shown = F.transform(cleaned, lambda x: let(heading_level(x), lambda n: F.when(n.isNull(), x).otherwise(to_heading(x, n))))
+    return F.array_join(shown, "\n\n")
 
 
 def strip_code_fence(c: Column) -> Column:
@@ -131,17 +154,21 @@ def first_table(c: Column) -> Column:
 
 
 def normalize_inline_ocr(c: Column) -> Column:
-    c = sub(c, r"(?U)(\d+)\s*[．.]\s+\$([0-9][^$]*)\$", r"\$$1.$2\$")
-    return sub(c, r"(?U)(\$\s*[^$]+?\$)\s*、\s*的", "$1 的")
+    def fixed(x: Column) -> Column:
+        x = sub(sub(x, "(?U)" + P.OCR_NUMBER, r"\$$1.$2\$"), "(?U)" + P.OCR_STOP, "$1 的")
+        return F.replace(x, *map(F.lit, P.OCR_RANGE))
+
+    return let(c, lambda x: F.when(x.contains("$"), fixed(x)).otherwise(x))
 
 
 def normalize_title(c: Column) -> Column:
-    c = F.translate(normalize_inline_ocr(strip(F.translate(c, "　", " "))), "．", ".")
+    c = F.replace(normalize_inline_ocr(strip(F.replace(c, F.lit("　"), F.lit(" ")))), F.lit("．"), F.lit("."))
     c = fix_legal_spaces(c, "章节条编项")
-    c = sub(c, rf"(?U)(?<=[{P.CJK}])\s+(?=[{P.CJK}])", "")
-    c = sub(c, r"(?U)^(\d+\.\d+\.\d+)(?=[^\d.\s])", "$1 ")
-    c = sub(c, r"(?U)^(\d+\.\d+)(?=[^\d.\s])", "$1 ")
-    return strip(sub(c, r"(?U)\s+", " "))
+    c = let(c, lambda x: F.when(x.rlike(f"[{P.CJK}]"), sub(x, rf"(?U)(?<=[{P.CJK}])\s+(?=[{P.CJK}])", "")).otherwise(x))
+    spaced = lambda x: sub(sub(x, r"(?U)^(\d+\.\d+\.\d+)(?=[^\d.\s])", "$1 "), r"(?U)^(\d+\.\d+)(?=[^\d.\s])", "$1 ")
+    c = let(c, lambda x: F.when(F.substring(x, 1, 1).rlike(r"(?U)\d"), spaced(x)).otherwise(x))
+    odd = P.BLANKS.replace(" ", "")
+    return let(c, lambda x: strip(F.when(x.rlike(f"  |[{odd}]"), sub(x, r"(?U)\s+", " ")).otherwise(x)))
 
 
 def slug_title(c: Column) -> Column:
@@ -167,12 +194,17 @@ def chapter_stem(c: Column) -> Column:
 
 def page_of_marker(c: Column) -> Column:
     """The number of the first page marker, or null."""
-    return group(c, "(?U)" + P.PAGE_MARKER).cast("int")
+    return number(F.when(c.contains("<!--"), group(c, "(?U)" + P.PAGE_MARKER)))
+
+
+def has_marker(c: Column) -> Column:
+    """Whether a page marker stands in a line, whatever its number."""
+    return c.contains("<!--") & c.rlike("(?U)" + P.PAGE_MARKER)
 
 
 def body_after_marker(c: Column) -> Column:
     """What follows the first page marker, without emphasis marks."""
-    return strip(F.replace(sub(c, "(?Us)^.*?" + P.PAGE_MARKER, ""), F.lit("**"), F.lit("")))
+    return strip(F.replace(F.when(c.contains("<!--"), sub(c, "(?Us)^.*?" + P.PAGE_MARKER, "")).otherwise(c), F.lit("**"), F.lit("")))
 
 
 def plain_text(c: Column) -> Column:
@@ -195,7 +227,7 @@ def cn_item_title(c: Column) -> Column:
 
 
 def article_label(c: Column) -> Column:
-    """第X条, n.n.n, or the first word."""
+    """The label of a catalog topic: 第X条, n.n.n, or the first word."""
     t = normalize_title(c)
     return F.coalesce(group(t, "(?U)" + P.ARTICLE, 0), group(t, "(?U)" + P.CLAUSE_NUMBER), F.nullif(F.split_part(t, F.lit(" "), F.lit(1)), F.lit("")), t)
 

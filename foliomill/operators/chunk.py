@@ -20,7 +20,7 @@ def page_pieces(docs: DataFrame, text: str = "text", out: str = "pieces") -> Dat
     """
     parts = F.split(F.regexp_replace(text, F.lit("(?U)" + P.PAGE_END), F.lit("$0" + CUT)), CUT, -1)
     own = F.transform(parts, lambda x: F.struct(F.try_element_at(F.regexp_extract_all(x, F.lit("(?U)" + P.PAGE_END), F.lit(1)), F.lit(-1)).alias("page"), x.alias("text")))
-    d = docs.withColumn("_parts", F.transform(own, lambda x: F.struct(x["page"].cast("int").alias("page"), x["text"].alias("text"))))
+    d = docs.withColumn("_parts", F.transform(own, lambda x: F.struct(T.number(x["page"]).alias("page"), x["text"].alias("text"))))
     every = F.col("_parts")
     pieces = F.transform(every, lambda x, i: F.struct(F.get(every, i - 1)["page"].alias("page_no"), x["page"].alias("page"), x["text"].alias("text")))
     return d.withColumn(out, F.filter(pieces, lambda p: p["page"].isNotNull() | (T.strip(p["text"]) != ""))).drop("_parts")

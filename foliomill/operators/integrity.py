@@ -78,3 +78,38 @@ def repeated_pages(bodies: DataFrame, text: str = "text") -> DataFrame:
 def norms_without_todo(summaries: DataFrame) -> DataFrame:
     """norms none of whose lines still asks for a summary."""
     return summaries.groupBy("norm").agg(F.max(F.col("line").contains(P.SUMMARY_TODO).cast("int")).alias("t")).where("t = 0").select("norm")
+
+
+LINK = r"\[[^\]]*\]\(([^)#\s]+)(?:#[^)]*)?\)"
+
+
+def links(index_lines: DataFrame) -> DataFrame:
+    """norm, index_path and target of the Markdown links of index lines; links to the web are left out."""
+    found = index_lines.select("norm", "index_path", F.explode(F.regexp_extract_all("line", F.lit(LINK), F.lit(1))).alias("target"))
+    return found.where(~F.col("target").rlike("^[a-z]+:"))
+
+
+def dead_links(index_lines: DataFrame, files: DataFrame) -> DataFrame:
+    """Links whose target is no file (norm, path) of their norm."""
+    return links(index_lines).join(files.select("norm", F.col("path").alias("target")), ["norm", "target"], "left_anti").select("norm", "index_path", "target").distinct()
+
+
+def missing_references(citations: DataFrame, linked: DataFrame, norms: DataFrame) -> DataFrame:
+    """Norms (source, norm) that a source's text cites, that exist, and that none of its links (source, norm) leads to."""
+    cited = citations.select("source", "norm").distinct().where(F.col("source") != F.col("norm"))
+    return cited.join(norms.select("norm"), "norm", "left_semi").join(linked.select("source", "norm"), ["source", "norm"], "left_anti").select("source", "norm")
+
+
+def resolve_citations(citations: DataFrame, page_map: DataFrame) -> DataFrame:
+    """Citations (norm, article, ...) with the page of their target; null where there is none."""
+    return citations.join(page_map.select("norm", F.col("label").alias("article"), "page"), ["norm", "article"], "left")
+
+
+def keyword_search(bodies: DataFrame, words: list[str], key: str = "doc_id", text: str = "text") -> DataFrame:
+    """key and hits (how often the words stand in the text) of the bodies that hold all of them."""
+    hold = F.lit(True)
+    hits = F.lit(0)
+    for word in words:
+        hold = hold & F.col(text).contains(word)
+        hits = hits + F.size(F.split(text, F.concat(F.lit("\\Q"), F.lit(word), F.lit("\\E")), -1)) - 1
+    return bodies.where(hold).select(key, hits.alias("hits"))

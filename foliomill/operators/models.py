@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import predicates as Q
 from ..functions import text as T
 from . import mask as M
 
@@ -79,3 +80,29 @@ def clean_chunks(chunks: DataFrame, make: Callable[[], Callable[[str], str]] = i
         F.when(~F.col("model_ok"), F.col("model_error")).when(~whole, F.lit("placeholder_missing")).alias("error"),
         F.when(whole, T.new_tables(F.col("text"), F.col("_new"))).otherwise(0).alias("new_tables"),
     )
+
+
+def describe_images(images: DataFrame, make: Callable[[], Callable[[str], str]]) -> DataFrame:
+    """Images (path, content) with model_text, model_ok and model_error: the model is given a data URL; a failed call describes nothing."""
+    asked = images.withColumn("_url", T.data_url(F.col("content"), F.col("path")))
+    return call_model(asked.drop("content"), make, "_url", fallback="").drop("_url")
+
+
+def rescue_tables(candidates: DataFrame, make: Callable[[], Callable[[str], str]]) -> DataFrame:
+    """Scored candidates (of ``layout.accept_tables``, with path and content of their picture); a rejected one that the model calls a table is accepted.
+
+    Its score is then at least 0.5.  Accepted ones aren't sent; a failed call rescues nothing.
+    """
+    asked = candidates.withColumn("_url", F.when(~F.col("accepted"), T.data_url(F.col("content"), F.col("path"))))
+    keyed = asked.drop("content").withColumn("_s", F.to_json(F.struct(*[c for c in asked.columns if c not in ("content", "_url", "path")])))
+    answered = call_model(keyed.select("path", "_url", "_s"), make, "_url", fallback="")
+    schema = asked.drop("content", "_url", "path").schema.simpleString()
+    back = answered.select("path", F.from_json("_s", schema).alias("c"), Q.yes_no(F.when(F.col("_url").isNotNull(), F.col("model_text"))).alias("rescued"), "model_ok").select("path", "c.*", "rescued", "model_ok")
+    rescued = F.coalesce(F.col("rescued"), F.lit(False))
+    score = F.when(rescued, F.greatest(F.col("s.score"), F.lit(0.5))).otherwise(F.col("s.score"))
+    return back.withColumn("score", score).withColumn("accepted", F.col("accepted") | rescued)
+
+
+def call_counts(answered: DataFrame) -> DataFrame:
+    """One row: calls that were made, that succeeded and that failed (blank inputs aren't sent)."""
+    return answered.agg(F.count("*").alias("calls"), F.count_if("model_ok").alias("ok"), F.count_if(~F.col("model_ok")).alias("failed"))

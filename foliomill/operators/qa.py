@@ -2,9 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import text as T
+from ..session import cut
+
+#: Characters of a key by which excerpts are looked for, and keys looked for in one pass over the texts.
+KEY, KEYS_A_PASS = 12, 1 << 20
+
 
 def excerpt_found(excerpt: Column, body: Column) -> Column:
     """Whether the parts of an excerpt (split at ……) stand in the body in their order, word for word."""
@@ -13,6 +23,81 @@ def excerpt_found(excerpt: Column, body: Column) -> Column:
     return (F.size(parts) > 0) & F.aggregate(parts, body, step).isNotNull()
 
 
+def _windows(text: str, n: int) -> np.ndarray:
+    """Hash of every stretch of n characters."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    out = np.full(max(0, len(points) - n + 1), n, np.uint64)
+    for i in range(n):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + points[i : i + len(out)]
+    return (out ^ (out >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+
+
+def excerpt_keys(items: DataFrame, item: str, excerpt: str) -> DataFrame:
+    """item, n, h: the key of each excerpt, a stretch of KEY characters of its longest part (all of a shorter one).
+
+    Of the stretches the one that fewest excerpts share is taken, so an opening
+    that many have in common is no key.
+    """
+    parts = F.filter(F.split(excerpt, "…+", -1), lambda p: p != "")
+    longest = F.get(F.array_sort(F.transform(parts, lambda p: F.struct((-F.length(p)).alias("n"), p.alias("p")))), F.lit(0))["p"]
+
+    def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            lengths = [min(KEY, len(t)) for t in texts]
+            hashes = [_windows(t, n).view(np.int64) for t, n in zip(texts, lengths, strict=True)]
+            row = np.repeat(np.arange(len(texts)), [len(h) for h in hashes])
+            if len(row):
+                at = np.concatenate([np.arange(len(h)) for h in hashes])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(np.array(lengths)[row].astype(np.int32)), pa.array(np.concatenate(hashes)), pa.array(at)], [item, "n", "h", "at"])
+
+    asked = items.select(item, longest.alias("_part")).where("_part is not null")
+    every = asked.mapInArrow(stretches, f"`{item}` {dict(items.dtypes)[item]}, n int, h long, at long")
+    shared = every.groupBy("n", "h").agg(F.count("*").alias("items"))
+    return every.join(shared, ["n", "h"]).groupBy(item).agg(F.min(F.struct("items", "at", "n", "h")).alias("x")).select(item, "x.n", "x.h")
+
+
+def find_excerpts(items: DataFrame, bodies: DataFrame, item: str = "item_id", excerpt: str = "excerpt") -> DataFrame:
+    """item and path of every excerpt that stands in a body (path, text): a query set held against all rows.
+
+    Texts are read once for each KEYS_A_PASS keys: every stretch of theirs is
+    hashed and looked up, and only pairs that share a key are compared.
+    """
+    keys = cut(excerpt_keys(items, item, excerpt), "excerpt-keys")
+    passes = max(1, -(-keys.select("n", "h").distinct().count() // KEYS_A_PASS))
+    found = None
+    for i in range(passes):
+        table = keys.where(F.pmod("h", F.lit(passes)) == i).select("n", "h").distinct().toArrow()
+        n, h = table["n"].to_numpy(), table["h"].to_numpy()
+        by_length = {int(k): np.sort(h[n == k]) for k in np.unique(n)}
+        shared = items.sparkSession.sparkContext.broadcast(by_length)
+
+        def look(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            tables = {}
+            for k, wanted in shared.value.items():
+                tables[k] = np.zeros(1 << 22, bool)
+                tables[k][wanted & ((1 << 22) - 1)] = True
+            for batch in batches:
+                rows, ns, hs = [], [], []
+                for row, text in enumerate(batch.column(1).to_pylist()):
+                    for k, wanted in shared.value.items():
+                        have = _windows(text or "", k).view(np.int64)
+                        have = np.unique(have[tables[k][have & ((1 << 22) - 1)]])
+                        have = have[wanted[np.minimum(np.searchsorted(wanted, have), len(wanted) - 1)] == have]
+                        rows.append(np.full(len(have), row))
+                        ns.append(np.full(len(have), k, np.int32))
+                        hs.append(have)
+                if rows:
+                    columns = [batch.column(0).take(pa.array(np.concatenate(rows))), pa.array(np.concatenate(ns)), pa.array(np.concatenate(hs))]
+                    yield pa.RecordBatch.from_arrays(columns, ["path", "n", "h"])
+
+        hits = bodies.select("path", "text").mapInArrow(look, f"path {dict(bodies.dtypes)['path']}, n int, h long")
+        found = hits if found is None else found.unionByName(hits)
+    pairs = found.join(keys, ["n", "h"]).select("path", item).distinct()
+    held = verify_excerpts(cut(pairs, "excerpt-pairs").join(items.select(item, F.col(excerpt).alias("excerpt")), item), bodies)
+    return held.where("verified").select(item, "path").distinct()
+
+
 def fill_down(rows: DataFrame, columns: list[str], key: str = "answer_id") -> DataFrame:
     """同上 and blanks take the value of the row above."""
     w = Window.partitionBy(key).orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
@@ -33,9 +118,9 @@ def wrong_pages(provenance: DataFrame, page_map: DataFrame) -> DataFrame:
 
 
 def cited_numbers(text: Column) -> Column:
-    """Numbers cited as 序号 n or 序号 n、m."""
-    runs = F.regexp_extract_all(text, F.lit(r"序号\s*(\d+(?:\s*、\s*\d+)*)"), F.lit(1))
-    return F.array_distinct(F.transform(F.filter(F.flatten(F.transform(runs, lambda r: F.split(r, r"\s*、\s*"))), lambda x: x != ""), lambda x: x.cast("int")))
+    """Numbers cited as 序号 n or 序号 n、m, in digits of any script; null for those beyond an int."""
+    runs = F.regexp_extract_all(text, F.lit(r"(?U)序号\s*(\d+(?:\s*、\s*\d+)*)"), F.lit(1))
+    return F.array_distinct(F.transform(F.filter(F.flatten(F.transform(runs, lambda r: F.split(r, r"(?U)\s*、\s*"))), lambda x: x != ""), T.number))
 
 
 def dangling_citations(answers: DataFrame, provenance: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import patterns as P
 from ..functions import predicates as Q
 from ..functions import text as T
 from . import mask as M
@@ -44,7 +45,7 @@ def reflow(docs: DataFrame, text: str, out: str, merged: str) -> DataFrame:
 
     def glue(x: Column, i: Column) -> Column:
         before = F.get(full, i - 1)
-        goes_on = F.when(x["gap"], ~before["t"].rlike("[。！？；;：:]$")).otherwise(~before["t"].rlike("[。！？；;]$"))
+        goes_on = F.when(x["gap"], ~before["t"].rlike(P.SENTENCE_END_OR_COLON)).otherwise(~before["t"].rlike(P.SENTENCE_END))
         joins = (i > 0) & ~before["edge"] & ~x["edge"] & ~x["new"] & goes_on
         words = before["t"].rlike("[A-Za-z0-9]$") & x["t"].rlike("^[A-Za-z0-9]")
         return F.struct(joins.alias("m"), (before["edge"] | x["edge"] | x["gap"]).alias("wide"), words.alias("words"), (i == 0).alias("first"), x["t"].alias("t"))
@@ -96,13 +97,6 @@ def apply_rules(docs: DataFrame, text: str = "text", protect_tables: bool = Fals
     return d.withColumn(text, F.concat(T.strip(F.col("_out")), F.when(raw.isNotNull(), F.lit("\n")))).drop("_first", "_lines", "_kept", "_regions", "_shown", "_gapless", "_flowed", "_whole", "_plain", "_out")
 
 
-def total_changes(columns: list[str] | tuple[str, ...] = COUNTERS) -> Column:
-    total = F.lit(0)
-    for c in columns:
-        total = total + F.coalesce(F.col(c), F.lit(0))
-    return total
-
-
 def run_totals(cleaned: DataFrame) -> DataFrame:
     """One row: documents and the sum of every counter."""
     return cleaned.agg(F.count("*").alias("n_docs"), *[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in COUNTERS])

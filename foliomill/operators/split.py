@@ -32,14 +32,23 @@ def table_islands(lines: DataFrame, parts: list[str], out: str = "table_no") ->
 def table_spans(lines: DataFrame, key: str = "doc_id") -> DataFrame:
     """key, table_no, start_pos, end_pos, start_page, end_page and label of every table.
 
-    The label is the nearest heading, caption or short line with 表 among the
-    seven lines above; else 表n.
+    The label comes from the nearest of the seven lines above that names the
+    table: a caption with its page, a heading, or a short line with 表; at most
+    36 characters of it, else 表n.
     """
-    w = Window.partitionBy(key).orderBy("pos").rowsBetween(-7, -1)
-    plain = F.col("_plain")
-    is_label = F.col("line").rlike("(?U)" + P.HEADING) | (plain.contains("表") & (F.length(plain) <= 36))
-    candidate = F.when(is_label & ~F.col("line").rlike(OPEN), T.strip(T.sub(plain, r"^#+\s*", "")))
-    d = table_islands(lines.withColumn("_plain", T.plain_text(F.col("line"))), [key]).withColumn("_above", F.last(candidate, True).over(w))
+    w = Window.partitionBy(key).orderBy("pos").rowsBetween(-P.LABEL_LINES, -1)
+    line = F.col("line")
+    body = F.when(line.contains("表"), T.body_after_marker(line))
+    paged = T.group(body, "(?U)" + P.PAGED_CAPTION)
+    title = T.group(line, "(?U)" + P.HEADING, 2)
+    named = body.contains("表") & (F.length(body) < P.PREAMBLE_CHARS) & ~Q.is_table_caption(body)
+    candidate = (
+        F.when(paged.isNotNull(), F.concat(F.lit("表格第"), paged, F.lit("页")))
+        .when(line.rlike(OPEN), None)
+        .when(title.isNotNull(), F.substring(T.slug_title(title), 1, P.LABEL_CHARS))
+        .when(named, F.substring(T.slug_title(body), 1, P.LABEL_CHARS))
+    )
+    d = table_islands(lines.withColumn("_named", candidate), [key]).withColumn("_above", F.last("_named", True).over(w))
     found = d.where("table_no is not null").groupBy(key, "table_no")
     label = F.coalesce(F.nullif(F.min_by("_above", "pos"), F.lit("")), F.concat(F.lit("表"), F.col("table_no").cast("string")))
     return found.agg(
@@ -47,20 +56,43 @@ def table_spans(lines: DataFrame, key: str = "doc_id") -> DataFrame:
     )
 
 
+def with_preambles(lines: DataFrame, segment: list[str]) -> DataFrame:
+    """Lines (with table_no) and ``preamble``: on a table's first line, where its file begins.
+
+    That is up to nine lines above, as far as they are blank, captions, page
+    markers or short; not beyond the segment, another table or long prose.
+    """
+    w = Window.partitionBy(*segment).orderBy("pos")
+    body = T.body_after_marker(F.col("line"))
+    long = (F.length(body) > P.PREAMBLE_CHARS) & ~F.substring(body, 1, 20).contains("表格") & ~T.has_marker(F.col("line"))
+    stop = F.coalesce(F.col("table_no").isNotNull() | (long & ~Q.is_table_caption(body)), F.lit(False))
+    d = lines.withColumn("_n", F.row_number().over(w)).withColumn("_stop", F.when(stop, F.col("_n")))
+    d = d.withColumn("_last", F.coalesce(F.max("_stop").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    d = d.withColumn("_above", F.collect_list("pos").over(w.rowsBetween(-P.PREAMBLE_LINES, 0)))
+    first = F.col("table_no").isNotNull() & ~F.col("table_no").eqNullSafe(F.lag("table_no").over(w))
+    reach = F.least(F.col("_n") - F.col("_last") - 1, F.size("_above") - 1)
+    return d.withColumn("preamble", F.when(first, F.element_at("_above", -1 - reach))).drop("_n", "_stop", "_last", "_above")
+
+
 def segments(structured: DataFrame, groups: DataFrame, key: str = "doc_id") -> DataFrame:
     """Structured lines with the group and stem of their section."""
     return structured.join(groups.select(key, "chapter_id", "section_id", "group_no", "stem", "merged"), [key, "chapter_id", "section_id"])
 
 
-def split_chunks(lines: DataFrame, segment: list[str], most_pages: int = 2) -> DataFrame:
-    """One row for each body file: segment, part_no, start_pos, end_pos, start_page, end_page, is_table, table_no.
+def split_chunks(lines: DataFrame, segment: list[str], most_pages: int = 2, preambles: bool = False) -> DataFrame:
+    """One row for each body file: segment, part_no, parts, start_pos, end_pos, start_page, end_page, is_table, table_no, range_no, suffix.
 
     A segment alternates between tables and text.  Text over more than
     most_pages pages is cut into ranges of as many, each after the first
     beginning a page earlier; a piece keeps its own pages.  Text pieces of
-    captions and scraps alone are dropped.  Parts are numbered over the segment.
+    captions and scraps alone are dropped.  Parts are numbered over the segment,
+    ranges over their piece.  With preambles a table's file begins with the
+    short lines above it, and text that is nothing else has no file of its own.
+    The suffix is -表n for tables, -n for text, and empty for a segment's only
+    file.
     """
     d = table_islands(lines, segment)
+    d = with_preambles(d, segment) if preambles else d.withColumn("preamble", F.lit(None).cast("int"))
     w = Window.partitionBy(*segment).orderBy("pos")
     change = ~F.col("table_no").eqNullSafe(F.lag("table_no").over(w)) | (F.row_number().over(w) == 1)
     d = d.withColumn("_new", change.cast("int"))
@@ -68,9 +100,12 @@ def split_chunks(lines: DataFrame, segment: list[str], most_pages: int = 2) -> D
     d = d.withColumn("_body", T.body_after_marker(F.col("line")))
     scrap = Q.is_table_caption(F.col("_body")) | (F.length("_body") < 4)
     pieces = [*segment, "piece"]
-    d = d.withColumn("_real", F.max((~scrap).cast("int")).over(Window.partitionBy(*pieces)))
-    d = d.where("table_no is not null or _real = 1")
     whole = Window.partitionBy(*pieces)
+    d = d.withColumn("_real", F.max((~scrap).cast("int")).over(whole))
+    if preambles:
+        d = d.withColumn("_next", F.first("preamble", True).over(w.rowsBetween(0, Window.unboundedFollowing)))
+        d = d.withColumn("_real", F.when(F.min("pos").over(whole) >= F.col("_next"), 0).otherwise(F.col("_real")))
+    d = d.where("table_no is not null or _real = 1")
     d = d.withColumn("_lo", F.min("page").over(whole)).withColumn("_hi", F.max("page").over(whole))
     # line to page range: a piece has few ranges, and each line knows which it lies in
     ranges = F.when(F.col("table_no").isNotNull() | (F.col("_hi") - F.col("_lo") < most_pages), F.array(F.struct(F.col("_lo").alias("lo"), F.col("_hi").alias("hi")))).otherwise(
@@ -81,11 +116,17 @@ def split_chunks(lines: DataFrame, segment: list[str], most_pages: int = 2) -> D
     )
     inside = F.filter(ranges, lambda r: F.col("page").between(r["lo"], r["hi"]))
     cut = d.withColumn("_r", F.explode(inside))
-    found = cut.groupBy(*pieces, "table_no", "_r").agg(F.min("pos").alias("start_pos"), F.max("pos").alias("end_pos"), F.min("page").alias("start_page"), F.max("page").alias("end_page"))
-    number = Window.partitionBy(*segment).orderBy("start_pos", "end_pos")
+    first = F.coalesce(F.min("preamble"), F.min("pos")) if preambles else F.min("pos")
+    found = cut.groupBy(*pieces, "table_no", "_r").agg(first.alias("start_pos"), F.max("pos").alias("end_pos"), F.min("page").alias("start_page"), F.max("page").alias("end_page"))
+    every, number = Window.partitionBy(*segment), Window.partitionBy(*segment).orderBy("piece", "start_pos", "end_pos")
+    table = F.col("table_no").isNotNull()
+    parts = F.count("*").over(every).cast("int")
+    texts = F.sum((~table).cast("int")).over(number.rowsBetween(Window.unboundedPreceding, 0))
+    suffix = F.when(table, F.concat(F.lit("-表"), F.col("table_no").cast("string"))).when(parts == 1, "").otherwise(F.concat(F.lit("-"), texts.cast("string")))
     return found.select(
-        *segment, F.row_number().over(number).alias("part_no"), F.count("*").over(Window.partitionBy(*segment)).cast("int").alias("parts"),
-        "start_pos", "end_pos", "start_page", "end_page", F.col("table_no").isNotNull().alias("is_table"), "table_no",
+        *segment, F.row_number().over(number).alias("part_no"), parts.alias("parts"),
+        "start_pos", "end_pos", "start_page", "end_page", table.alias("is_table"), "table_no",
+        F.row_number().over(Window.partitionBy(*pieces).orderBy("start_pos", "end_pos")).alias("range_no"), suffix.alias("suffix"),
     )
 
 
@@ -94,9 +135,9 @@ def render_line(line: Column) -> Column:
     heading = F.regexp_extract(line, "(?U)" + P.HEADING, 2)
     level = F.length(F.regexp_extract(line, "(?U)" + P.HEADING, 1))
     return (
-        F.when(T.page_of_marker(line).isNotNull(), T.sub(line, r"(?U)\s+$", ""))
+        F.when(T.has_marker(line), F.rtrim(line, F.lit(P.BLANKS)))
         .when(line.rlike("(?U)" + P.HEADING), T.clean_heading(level, heading))
-        .otherwise(T.normalize_inline_ocr(T.sub(line, r"(?U)\s+$", "")))
+        .otherwise(T.normalize_inline_ocr(F.rtrim(line, F.lit(P.BLANKS))))
     )
 
 

@@ -15,6 +15,8 @@ from ..functions import predicates as Q
 from ..functions import text as T
 from .lines import by_line, with_pages
 
+#: First characters of 一、, （一）, 附： and tail lines.
+OPENERS = [*P.CN_NUM_LONG, "（", "(", "附", "本", "引", "条", "修"]
 TRAIL = lambda key: by_line(key).rowsBetween(Window.unboundedPreceding, 0)
 
 
@@ -23,7 +25,10 @@ def classify(lines: DataFrame, key: str = "doc_id", name: Column | None = None)
     heading = F.col("line").rlike("(?U)" + P.HEADING)
     level = F.when(heading, F.length(F.regexp_extract("line", "(?U)" + P.HEADING, 1)))
     d = lines.withColumn("level", level)
-    d = d.withColumn("_plain", T.plain_text(F.col("line")))
+    # a plain line is of interest by its first character alone; for all others its text isn't needed
+    body = T.strip(F.replace(T.body_after_marker(F.col("line")), F.lit("*"), F.lit("")))
+    d = d.withColumn("_body", F.when(F.substring(body, 1, 1).isin(*OPENERS), body).otherwise(F.lit("")))
+    d = d.withColumn("_plain", F.when(F.col("_body") != "", T.normalize_title(F.col("_body"))).otherwise(F.lit("")))
     d = d.withColumn("title", T.normalize_title(T.group(F.col("line"), "(?U)" + P.HEADING, 2)))
     d = d.withColumn("_part_title", T.cn_part_title(F.col("_plain")))
     part = F.when(heading, Q.is_document_part(F.col("title"), F.col("level")) & ~Q.is_article(F.col("title"))).otherwise(
@@ -36,7 +41,7 @@ def classify(lines: DataFrame, key: str = "doc_id", name: Column | None = None)
     d = d.withColumn("is_part", F.coalesce(part, F.lit(False))).withColumn("is_section_line", F.coalesce(section, F.lit(False))).withColumn("is_item", item)
     d = d.withColumn("is_tail", Q.is_tail(F.coalesce("title", "_plain")))
     shown = F.when(F.col("is_part") & ~heading, F.coalesce("_part_title", "_plain")).when(item & ~heading, T.cn_item_title(F.col("_plain"))).otherwise(F.col("title"))
-    return d.withColumn("title", shown).drop("_plain", "_part_title")
+    return d.withColumn("title", shown).drop("_body", "_plain", "_part_title")
 
 
 def structure_lines(lines: DataFrame, origin: str = "document", key: str = "doc_id") -> DataFrame:

@@ -30,6 +30,96 @@ struct AS (SELECT *, CAST(sum(sec) OVER (PARTITION BY doc_id, chapter_id ORDER B
 GRID = """grids AS (SELECT l_orderkey, list(r ORDER BY l_linenumber) AS grid FROM (SELECT l_orderkey, l_linenumber,
  list_filter([CAST(l_partkey AS VARCHAR), CASE WHEN l_partkey % 3 > 0 THEN l_returnflag END, CASE WHEN l_partkey % 7 <> 0 THEN ' x ' END], lambda x: x IS NOT NULL OR l_partkey % 2 = 0) AS r FROM lineitem) GROUP BY 1)"""
 
+#: Documents dressed as ``lines.dressed`` does.
+RICH = """src AS (SELECT doc_id, unnest(range(len(string_split(text, chr(10))))) AS i, unnest(string_split(text, chr(10))) AS raw, len(string_split(text, chr(10))) AS n FROM documents),
+g AS (SELECT *, doc_id % 5 = 4 AS flat, substring('一二三四五六七八九十', CAST(i // 9 % 10 + 1 AS INT), 1) AS num, substring(raw, 1, 30) AS short, ['<table>', '<tr><td>' || raw || '</td></tr>', '</table>'] AS tab FROM src),
+made AS (SELECT doc_id, i, CASE WHEN i = 0 THEN ['目录', CASE WHEN flat THEN '说明........1' ELSE '一、总则........1' END, ''] WHEN NOT flat AND i = n - 2 THEN ['附：样表', raw]
+ WHEN i = n - 1 AND doc_id % 3 = 0 THEN ['# 条文说明', raw] WHEN NOT flat AND i % 9 = 1 THEN [num || '、' || short] WHEN i % 9 = 2 THEN ['1.' || i || '.3 ' || raw]
+ WHEN i % 9 = 3 THEN ['（' || num || '）' || short, raw] WHEN i % 18 = 5 THEN list_concat(['**表格（第2页）**'], tab) WHEN i % 9 = 5 THEN list_concat(['样表 ' || i], tab)
+ WHEN i % 9 = 6 THEN ['#### 说明' || i, raw] WHEN i % 9 = 7 THEN ['<!-- 第 ' || (i // 9 + 1) || ' 页 --> ' || raw] WHEN i % 9 = 8 THEN ['第' || i || '条 ' || raw] ELSE [raw] END AS l FROM g),
+rich AS (SELECT doc_id, CAST(i * 4 + k AS INT) AS pos, line FROM (SELECT doc_id, i, unnest(range(len(l))) AS k, unnest(l) AS line FROM made)),
+rpaged AS (SELECT *, CAST(greatest(1, coalesce(max(CASE WHEN line LIKE '<!-- 第 %' THEN CAST(regexp_extract(line, '([0-9]+)', 1) AS INT) + 1 END) OVER (PARTITION BY doc_id ORDER BY pos), 1)) AS INT) AS page FROM rich)"""
+RICH_STRUCTURE = RICH + """, rmark AS (SELECT *, regexp_matches(line, '^[一二三四五六七八九十]、') OR line LIKE '附：%' AS part, regexp_matches(line, '^（[一二三四五六七八九十]）') AS item, line = '# 条文说明' AS tail FROM rpaged),
+rchap AS (SELECT *, CAST(sum(CAST(part AS INT)) OVER (PARTITION BY doc_id ORDER BY pos) AS INT) AS chapter_id FROM rmark),
+rkept AS (SELECT *, max(chapter_id) OVER (PARTITION BY doc_id) AS parts, max(CASE WHEN tail AND chapter_id > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos) AS ended FROM rchap),
+rstruct AS (SELECT *, item AND chapter_id > 0 AS starts_section FROM rkept WHERE parts = 0 OR (chapter_id > 0 AND ended = 0))"""
+#: Lines of tables and the runs that split_chunks makes of a chapter's lines.
+PARTS = STRUCTURE + """, p0 AS (SELECT *, line LIKE '<table%' AS tab FROM struct),
+p1 AS (SELECT *, CASE WHEN tab THEN CAST(sum(CAST(tab AS INT)) OVER (PARTITION BY doc_id, chapter_id ORDER BY pos) AS INT) END AS table_no FROM p0),
+p2 AS (SELECT *, sum(CASE WHEN table_no IS DISTINCT FROM before OR pos = first_pos THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, chapter_id ORDER BY pos) AS piece
+ FROM (SELECT *, lag(table_no) OVER (PARTITION BY doc_id, chapter_id ORDER BY pos) AS before, min(pos) OVER (PARTITION BY doc_id, chapter_id) AS first_pos FROM p1)),
+p3 AS (SELECT *, max(CASE WHEN line LIKE '<!-- 第 %' OR length(trim(replace(line, '**', ''))) < 4 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id, chapter_id, piece) AS real,
+ min(page) OVER (PARTITION BY doc_id, chapter_id, piece) AS lo, max(page) OVER (PARTITION BY doc_id, chapter_id, piece) AS hi FROM p2),
+p4 AS (SELECT *, unnest(CASE WHEN tab OR hi - lo < 2 THEN [{'a': lo, 'b': hi}] ELSE list_transform(range(lo, hi + 1, 2), lambda s: {'a': CASE WHEN s > lo THEN CAST(s AS INT) - 1 ELSE CAST(s AS INT) END, 'b': least(hi, CAST(s AS INT) + 1)}) END) AS r FROM p3 WHERE tab OR real = 1),
+p5 AS (SELECT doc_id, chapter_id, piece, table_no, r, min(pos) AS start_pos, max(pos) AS end_pos, min(page) AS start_page, max(page) AS end_page FROM p4 WHERE page BETWEEN r.a AND r.b GROUP BY ALL),
+parts AS (SELECT *, CAST(row_number() OVER w AS INT) AS part_no, CAST(count(*) OVER (PARTITION BY doc_id, chapter_id) AS INT) AS parts, table_no IS NOT NULL AS is_table,
+ CAST(row_number() OVER (PARTITION BY doc_id, chapter_id, piece ORDER BY start_pos, end_pos) AS INT) AS range_no, sum(CASE WHEN table_no IS NULL THEN 1 ELSE 0 END) OVER w AS texts FROM p5 WINDOW w AS (PARTITION BY doc_id, chapter_id ORDER BY piece, start_pos, end_pos))"""
+#: A line's title where it is a heading of ``reg``.
+TITLE = "rtrim(regexp_replace(regexp_replace(regexp_replace(line, '^#+ ', ''), '第 ([0-9]+) 章', '第\\1章'), ' {2,}', ' ', 'g'))"
+SECTIONS = STRUCTURE + f""", secs AS (SELECT doc_id, chapter_id, section_id, arg_min({TITLE}, pos) AS title, min(pos) AS start_pos, max(pos) AS end_pos, min(page) AS start_page, max(page) AS end_page,
+ CAST(count(*) FILTER (line NOT LIKE '<!-- 第 %' AND trim(line) <> '') AS INT) AS n_lines, CAST(sum(CASE WHEN line LIKE '<!-- 第 %' THEN 0 ELSE length(trim(line)) END) AS INT) AS n_chars FROM struct GROUP BY ALL)"""
+GREEDY = """WITH RECURSIVE t AS (SELECT doc_id, text, regexp_extract_all(text, '\\n{2,}|[^\\n]+') AS atoms FROM (SELECT doc_id, replace(text, chr(10), chr(10) || chr(10)) AS text FROM documents)),
+r AS (SELECT doc_id, 0 AS k, '' AS held, CAST([] AS VARCHAR[]) AS outs FROM t WHERE length(text) > 1000
+ UNION ALL SELECT r.doc_id, k + 1, CASE WHEN length(held) + length(x) <= 1000 THEN held || x WHEN length(x) > 1000 THEN '' ELSE x END,
+ CASE WHEN length(held) + length(x) <= 1000 THEN [] ELSE list_concat(CASE WHEN held = '' THEN [] ELSE [held] END, CASE WHEN length(x) > 1000 THEN list_transform(range(0, length(x), 1000), lambda s: substring(x, CAST(s AS INT) + 1, 1000)) ELSE [] END) END
+ FROM r JOIN (SELECT doc_id, unnest(range(len(atoms))) AS at, unnest(atoms) AS x FROM t) a ON a.doc_id = r.doc_id AND a.at = r.k),
+o AS (SELECT doc_id, k, outs FROM r UNION ALL SELECT r.doc_id, k + 1, [held] FROM r JOIN t USING (doc_id) WHERE k = len(atoms) AND held <> ''),
+u AS (SELECT doc_id, k, unnest(range(len(outs))) AS j, unnest(outs) AS text FROM o UNION ALL SELECT doc_id, 0, 0, text FROM t WHERE length(text) <= 1000)
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY k, j) - 1 AS INT) AS pos, text FROM u"""
+EDGE = "(t LIKE '#%' OR t LIKE '![%' OR t LIKE '<!--%' OR regexp_matches(lower(t), '^(<table|</table|<tr|<td)'))"
+NEW = """(regexp_matches(t, '^第\\s*[一二三四五六七八九十百零〇两0-9]+(\\s+[一二三四五六七八九十百零〇两0-9]+)*\\s*[章节]') OR regexp_matches(t, '^第[一二三四五六七八九十百零〇两0-9]+条')
+ OR (regexp_matches(t, '^[0-9]+\\.[0-9]+(\\s|[^0-9.]|$)') AND NOT regexp_matches(t, '^[0-9]+\\.[0-9]+\\.[0-9]+(\\s|[^0-9.]|$)'))
+ OR regexp_matches(t, '^(\\(?[一二三四五六七八九十百零〇]+\\)|（[一二三四五六七八九十百零〇]+）|[0-9]+[.、)]|[（(][0-9]+[）)])'))"""
+REFLOW = LINES + f""", f0 AS (SELECT doc_id, i, t, coalesce(lag(t) OVER (PARTITION BY doc_id ORDER BY i) = '', false) AS gap FROM (SELECT doc_id, i, trim(raw, chr(9) || chr(11) || chr(12) || chr(13) || ' ' || chr(160) || chr(12288)) AS t FROM lines)),
+f1 AS (SELECT *, {EDGE} AS edge, {NEW} AS new FROM f0 WHERE t <> ''),
+f2 AS (SELECT *, lag(t) OVER w AS pt, lag(edge) OVER w AS pedge FROM f1 WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+f3 AS (SELECT *, pt IS NOT NULL AND NOT pedge AND NOT edge AND NOT new AND NOT regexp_matches(pt, CASE WHEN gap THEN '[。！？；;：:]$' ELSE '[。！？；;]$' END) AS m FROM f2),
+f4 AS (SELECT doc_id, string_agg(CASE WHEN pt IS NULL THEN '' WHEN m AND regexp_matches(pt, '[A-Za-z0-9]$') AND regexp_matches(t, '^[A-Za-z0-9]') THEN ' ' WHEN m THEN '' WHEN pedge OR edge OR gap THEN chr(10) || chr(10) ELSE chr(10) END || t, '' ORDER BY i) || chr(10) AS text, CAST(count(*) FILTER (m) AS INT) AS merged FROM f3 GROUP BY doc_id)"""
+WORD_LINES = """WITH RECURSIVE w AS (SELECT l_orderkey, l_linenumber * 2 AS top, CAST(l_quantity AS DOUBLE) AS x, CAST(l_partkey AS VARCHAR) AS text FROM lineitem WHERE NOT (l_quantity + 1.5 BETWEEN 10 AND 15)),
+o AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY top, x, text) AS k FROM w),
+r AS (SELECT l_orderkey, k, text, x, top AS anchor, 1 AS n FROM o WHERE k = 1
+ UNION ALL SELECT o.l_orderkey, o.k, o.text, o.x, CASE WHEN abs(o.top - r.anchor) > 3 THEN o.top ELSE r.anchor END, r.n + CASE WHEN abs(o.top - r.anchor) > 3 THEN 1 ELSE 0 END FROM r JOIN o ON o.l_orderkey = r.l_orderkey AND o.k = r.k + 1)
+SELECT l_orderkey, CAST(n - 1 AS INT) AS pos, string_agg(text, ' ' ORDER BY x, text) AS line FROM r GROUP BY l_orderkey, n"""
+GROUPS = SECTIONS + """, ord AS (SELECT *, row_number() OVER (PARTITION BY doc_id, chapter_id ORDER BY section_id) AS k, n_lines < 8 OR n_chars < 350 AS small FROM secs),
+fold AS (SELECT doc_id, chapter_id, section_id, k, 1 AS group_no, CASE WHEN small THEN 1 ELSE 0 END AS n, CASE WHEN small THEN n_lines ELSE 0 END AS l, CASE WHEN small THEN n_chars ELSE 0 END AS c FROM ord WHERE k = 1
+ UNION ALL SELECT o.doc_id, o.chapter_id, o.section_id, o.k, f.group_no + CAST(fresh AS INT), CASE WHEN NOT o.small THEN 0 WHEN fresh THEN 1 ELSE f.n + 1 END, CASE WHEN NOT o.small THEN 0 WHEN fresh THEN o.n_lines ELSE f.l + o.n_lines END, CASE WHEN NOT o.small THEN 0 WHEN fresh THEN o.n_chars ELSE f.c + o.n_chars END
+ FROM (SELECT f.*, o.section_id AS s2, (NOT o.small OR f.n = 0 OR f.n >= 15 OR (f.l >= 8 AND f.c >= 350)) AS fresh FROM fold f JOIN ord o ON o.doc_id = f.doc_id AND o.chapter_id = f.chapter_id AND o.k = f.k + 1) f JOIN ord o ON o.doc_id = f.doc_id AND o.chapter_id = f.chapter_id AND o.k = f.k + 1),
+grouped AS (SELECT secs.*, group_no, count(*) OVER (PARTITION BY secs.doc_id, secs.chapter_id, group_no) > 1 AS merged, replace(translate(title, '/:\\*?"<>|', '／：＼＊？”＜＞｜'), ' ', '') AS slug FROM secs JOIN fold USING (doc_id, chapter_id, section_id))"""
+RECORDS = """rec AS (SELECT 'f' || lpad(CAST(o_orderkey AS VARCHAR), 10, '0') || '.x' AS file, CASE WHEN o_orderkey % 3 = 0 THEN 'pdf' ELSE 'doc/docx' END AS kind, CASE WHEN o_orderkey % 11 = 0 THEN 'failed' WHEN o_orderkey % 7 = 0 THEN 'skipped (exists)' ELSE 'ok' END AS status,
+ CASE WHEN o_orderkey % 11 = 0 THEN 'a|b' END AS error, o_orderkey % 13 AS n_chars, o_orderkey % 5 AS pages, o_orderkey % 4 AS tables, o_orderkey % 6 AS images, o_orderkey % 3 AS model_calls, o_orderkey % 2 AS model_ok, o_orderkey % 3 - o_orderkey % 2 AS model_failed FROM orders)"""
+TOTALS = "tot AS (SELECT count(*) AS files, count(*) FILTER (status = 'ok') AS ok, count(*) FILTER (status LIKE 'skipped%') AS skipped, count(*) FILTER (status = 'failed') AS failed, " + ", ".join(f"CAST(coalesce(sum({c}), 0) AS BIGINT) AS {c}" for c in ("pages", "tables", "images", "model_calls", "model_ok", "model_failed")) + " FROM rec)"
+
+
+def _lines(part: int, source: str, *made: str) -> str:
+    """Rows (part, ord, line) of a list of line expressions over one row."""
+    items = ", ".join(made)
+    return f"SELECT {part} AS part, lpad(CAST(k AS VARCHAR), 6, '0') AS ord, line FROM (SELECT unnest(range({len(made)})) AS k, unnest([{items}]) AS line FROM {source})"
+
+
+def _cells(*made: str) -> str:
+    return "'| ' || " + " || ' | ' || ".join(f"coalesce(CAST({m} AS VARCHAR), '-')" for m in made) + " || ' |'"
+
+
+def _table(part: int, title: str, heads: tuple[str, ...], source: str, order: str, *made: str) -> str:
+    top = _lines(part, f"(SELECT 1 FROM {source} LIMIT 1)", "''", f"'## {title}'", "''", "'| " + " | ".join(heads) + " |'", "'| " + " | ".join(["---"] * len(heads)) + " |'")
+    return f"{top} UNION ALL SELECT {part + 1}, {order}, {_cells(*made)} FROM {source}"
+
+
+ESCAPED = "replace({}, '|', '\\|')"
+EXTRACTION = f"WITH {RECORDS}, {TOTALS} " + " UNION ALL ".join(
+    (
+        _lines(
+            0, "tot", "'# 文档提取运行报告'", "''", "'## 总览'", "''", "'| 指标 | 数值 |'", "'| --- | --- |'",
+            *[_cells(f"'{n}'", c) for n, c in (("处理文件总数", "files"), ("✓ 成功", "ok"), ("↷ 跳过", "skipped"), ("✗ 失败", "failed"), ("PDF 总页数", "pages"), ("提取表格总数", "tables"), ("抽取图片总数", "images"))],
+            _cells("'多模态调用'", "model_calls || ' 次（成功 ' || model_ok || ' / 失败 ' || model_failed || '）'"),
+        ),
+        _table(1, "PDF 文件明细", ("文件", "状态", "页数", "表格", "图片", "多模态调用", "输出字符"), "(SELECT * FROM rec WHERE kind = 'pdf')", "file", "file", "status", "pages", "tables", "images", "model_calls", "n_chars"),
+        _table(3, "DOC / DOCX 文件明细", ("文件", "状态", "输出字符"), "(SELECT * FROM rec WHERE kind <> 'pdf')", "file", "file", "status", "n_chars"),
+        _table(5, "失败文件", ("文件", "错误"), "(SELECT * FROM rec WHERE status = 'failed')", "file", "file", ESCAPED.format("error")),
+    )
+)
+CANDIDATES = f"""{GRID}, cand AS (SELECT l_orderkey, l_orderkey // 4 AS doc_id, CASE WHEN l_orderkey % 2 = 1 AND l_orderkey % 3 = 0 THEN 'strict' ELSE 'loose' END AS mode, grid, (l_orderkey % 10 * 1000) / 10000 AS area FROM grids)"""
+
 SQL = {
     "outline_first": f"WITH {LABELS} SELECT doc_id, label, page FROM outline",
     "line_explode": f"WITH {LINES} SELECT doc_id, CAST(i AS INT) AS pos, raw AS line FROM lines WHERE NOT (raw = '' AND i = (SELECT max(i) FROM lines l WHERE l.doc_id = lines.doc_id))",
@@ -57,15 +147,16 @@ SQL = {
     "mask_spans": """WITH h AS (SELECT page_id, regexp_extract_all(html, '(?i)<table\\b[^>]*>[\\s\\S]*?</table>|!\\[[^\\]]*\\]\\([^)]*\\)(?:\\s*<!--[^>]*-->)?|<!--[\\s\\S]*?-->|\\$\\$[\\s\\S]*?\\$\\$|\\$[^\\n$]+?\\$') AS p FROM pages),
  e AS (SELECT page_id, unnest(range(len(p))) AS pos, unnest(p) AS payload FROM h) SELECT page_id, CAST(pos AS INT) AS pos, '<<' || CASE WHEN lower(payload) LIKE '<table%' THEN 'TAB' WHEN payload LIKE '![%' THEN 'IMG' WHEN payload LIKE '<!--%' THEN 'CMT' ELSE 'MATH' END || '_' || pos || '>>' AS token, payload FROM e""",
     "mask_roundtrip": """SELECT doc_id, '$a$ <!-- x --> ' || text AS text, CAST(2 + len(regexp_extract_all(text, '(?i)<table\\b[^>]*>[\\s\\S]*?</table>|!\\[[^\\]]*\\]\\([^)]*\\)(?:\\s*<!--[^>]*-->)?|<!--[\\s\\S]*?-->|\\$\\$[\\s\\S]*?\\$\\$|\\$[^\\n$]+?\\$')) AS INT) AS n FROM documents""",
-    "size_chunks": "SELECT doc_id, CAST(k AS INT) AS pos, substring(text, k * 6000 + 1, 6000) AS text FROM (SELECT doc_id, text, unnest(range((length(text) + 5999) // 6000)) AS k FROM documents WHERE length(text) > 6000)",
+    "size_chunks": "SELECT doc_id, CAST(k AS INT) AS pos, substring(text, k * 6000 + 1, 6000) AS text FROM (SELECT doc_id, text, unnest(range(greatest(1, (length(text) + 5999) // 6000))) AS k FROM documents WHERE text IS NOT NULL)",
     "chunk_reassemble": f"WITH {REG} SELECT doc_id, regexp_replace(string_agg(line, chr(10) ORDER BY pos), '^\\s+|\\s+$', '', 'g') || chr(10) AS text FROM reg GROUP BY doc_id",
     "clean_identity_model": "SELECT doc_id, regexp_replace(text, '^\\s+|\\s+$', '', 'g') || chr(10) AS text FROM documents WHERE text IS NOT NULL AND trim(text) <> ''",
     "chapters": f"""WITH {STRUCTURE} SELECT doc_id, chapter_id, arg_min(regexp_replace(regexp_replace(regexp_replace(line, '^# ', ''), '第 ([0-9]+) 章', '第\\1章'), '\\s+$', ''), pos) AS title,
  min(pos) AS start_pos, max(pos) AS end_pos, arg_min(page, pos) AS start_page, max(section_id) AS n_sections FROM struct GROUP BY ALL""",
-    "sections": f"""WITH {STRUCTURE} SELECT doc_id, chapter_id, section_id, min(pos) AS start_pos, max(pos) AS end_pos, CAST(count(*) FILTER (line NOT LIKE '<!-- 第 %' AND trim(line) <> '') AS INT) AS n_lines FROM struct GROUP BY ALL""",
+    "sections": f"WITH {SECTIONS} SELECT doc_id, chapter_id, section_id, title, start_pos, end_pos, n_lines, n_chars FROM secs",
     "page_touches": f"""WITH {PAGED}, t AS (SELECT DISTINCT doc_id, CASE WHEN line LIKE '<!-- 第 %' THEN CAST(regexp_extract(line, '([0-9]+)', 1) AS INT) ELSE page END AS p FROM paged WHERE trim(line) <> '')
  SELECT doc_id, string_agg(CAST(p AS VARCHAR), ',' ORDER BY p) AS pages FROM t GROUP BY doc_id""",
-    "table_spans": f"""WITH {PAGED} SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS INT) AS table_no, pos AS start_pos, pos AS end_pos, page AS start_page, page AS end_page FROM paged WHERE line LIKE '<table%'""",
+    "table_spans": f"""WITH {PAGED} SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS INT) AS table_no, pos AS start_pos, pos AS end_pos, page AS start_page, page AS end_page, label FROM (SELECT *, coalesce(last_value(named IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING), '表' || row_number() OVER (PARTITION BY doc_id, line LIKE '<table%' ORDER BY pos)) AS label
+ FROM (SELECT *, CASE WHEN line LIKE '#%' THEN substring(replace(translate({TITLE}, '/:\\*?"<>|', '／：＼＊？”＜＞｜'), ' ', ''), 1, 36) END AS named FROM paged)) WHERE line LIKE '<table%'""",
     "file_index": f"""WITH {LABELS} SELECT doc_id, string_agg('  - ' || label || '（第' || page || '页）', chr(10) ORDER BY pos) || chr(10) || chr(10) || string_agg('- **' || label || '**（第' || page || '页）：TODO: 待LLM补写', chr(10) ORDER BY pos) || chr(10) AS text FROM outline GROUP BY doc_id""",
     "root_index": f"""WITH {STRUCTURE}, c AS (SELECT doc_id, chapter_id, arg_min(regexp_replace(regexp_replace(regexp_replace(line, '^# ', ''), '第 ([0-9]+) 章', '第\\1章'), '\\s+$', ''), pos) AS title, min(page) AS a, max(page) AS b FROM struct GROUP BY ALL)
  SELECT doc_id, string_agg('- ' || title || '（' || CASE WHEN a = b THEN '第' || a || '页' ELSE '第' || a || '～' || b || '页' END || '）', chr(10) ORDER BY chapter_id) AS text FROM c GROUP BY doc_id""",
@@ -79,7 +170,8 @@ SQL = {
  SELECT doc_id, src_lines, body_lines, body_lines - src_lines AS diff, body_lines / src_lines AS ratio, body_lines / src_lines > 1.05 OR body_lines / src_lines < 0.75 AS flag FROM n""",
     "dedup_stem": """WITH f AS (SELECT source || '-' || (doc_id // 5) AS stem, doc_id % 3 AS k FROM documents) SELECT '/in/' || stem || ext AS path, stem, ext FROM (SELECT stem, CASE min(k) WHEN 0 THEN '.docx' WHEN 1 THEN '.pdf' ELSE '.doc' END AS ext FROM f GROUP BY stem)""",
     "html_headings": """SELECT page_id, translate(regexp_replace(trim(regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1)), '\\s+', '', 'g'), '/:\\*?"<>|', '／：＼＊？”＜＞｜') AS slug, CAST(len(regexp_extract_all(html, '(?i)<p[ >]')) AS INT) AS n_paragraphs FROM pages""",
-    "html_first_table": """SELECT page_id, '<table border="1"><tr><td>' || url || '</td></tr></table>' AS table_html, '' AS "none" FROM pages""",
+    "html_first_table": """SELECT page_id, '<table border="1"><tr><td>' || url || '</td></tr></table>' AS table_html, CASE WHEN t = '' OR contains(substring(t, 1, 80), 'border=') THEN t ELSE regexp_replace(t, '(?i)^<table', '<table border="1"') END AS of_page
+ FROM (SELECT page_id, url, regexp_extract(html, '(?is)(<table.*?</table>)', 1) AS t FROM pages)""",
     "table_score": f"""WITH {GRID}, f AS (SELECT l_orderkey, len(grid) AS rows, list_transform(grid, lambda r: len(r)) AS c, flatten(grid) AS cells, (l_orderkey % 100) / 100 AS area FROM grids),
  g AS (SELECT *, list_sort(list_transform(list_distinct(c), lambda n: {{'a': -len(list_filter(c, lambda x: x = n)), 'n': n}}))[1].n AS cols, list_transform(cells, lambda x: length(trim(coalesce(x, '')))) AS k FROM f),
  h AS (SELECT *, len(list_filter(c, lambda x: x <> cols)) / rows AS var, len(k) AS total, len(list_filter(k, lambda x: x > 0)) AS filled, coalesce(list_sum(k), 0) AS chars FROM g),
@@ -97,4 +189,58 @@ SQL = {
     "report_rows": f"WITH {ISSUES} SELECT norm, CAST(place AS INT) AS place, label, delta, n_issues FROM (SELECT *, row_number() OVER (PARTITION BY norm ORDER BY encode(label)) AS place, count(*) OVER (PARTITION BY norm) AS n_issues FROM issues) WHERE place <= 200",
     "issue_deltas": f"WITH {ISSUES} SELECT norm, sum(n)::BIGINT AS n, string_agg(CAST(delta AS VARCHAR), ',' ORDER BY delta) AS deltas FROM (SELECT norm, delta, count(*) AS n FROM issues GROUP BY ALL) GROUP BY norm",
     "incremental_replay": f"WITH {LABELS} SELECT doc_id, label, page FROM outline",
+    "bold_strip": f"""WITH {LINES} SELECT doc_id, CAST(i AS INT) AS pos, regexp_replace(regexp_replace(regexp_replace(raw, '([^ \\t\\n\\x0b\\f\\r]+)', '**\\1**', 'g'), '\\*\\*\\s*(第\\s*[一二三四五六七八九十百零〇两0-9\\s]+[条章节项][^*]*?)\\s*\\*\\*', '\\1', 'g'),
+ '\\*\\*\\s*([\\p{{L}}\\p{{M}}\\p{{Nd}}\\p{{Pc}}]{{1,2}})\\s*\\*\\*', '\\1', 'g') AS line FROM lines""",
+    "reflow": f"WITH {REFLOW} SELECT doc_id, coalesce(f4.text, chr(10)) AS text, coalesce(merged, 0) AS merged FROM documents LEFT JOIN f4 USING (doc_id)",
+    "page_pieces": f"""WITH {REG}, p AS (SELECT *, coalesce(sum(CASE WHEN line LIKE '<!-- 第 %' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k FROM reg),
+ q AS (SELECT doc_id, CAST(k AS INT) AS pos, CASE WHEN k > 0 THEN chr(10) ELSE '' END || string_agg(line, chr(10) ORDER BY p.pos) AS text, max(CASE WHEN line LIKE '<!-- 第 %' THEN CAST(regexp_extract(line, '([0-9]+)', 1) AS INT) END) AS page FROM p GROUP BY doc_id, k)
+ SELECT doc_id, pos, lag(page) OVER (PARTITION BY doc_id ORDER BY pos) AS page_no, page, text FROM q WHERE page IS NOT NULL OR regexp_matches(text, '[^\\s]')""",
+    "greedy_chunks": GREEDY,
+    "section_groups": f"""WITH RECURSIVE {GROUPS} SELECT doc_id, chapter_id, section_id, title, start_pos, end_pos, start_page, end_page, n_lines, n_chars, CAST(group_no AS INT) AS group_no, merged,
+ CASE WHEN merged THEN 'TODO-待LLM命名-' || dense_rank() OVER (PARTITION BY doc_id, chapter_id, merged ORDER BY group_no) WHEN regexp_matches(slug, '^[0-9]') THEN regexp_extract(slug, '^([0-9]+(\\.[0-9]+)*)', 1) || substring(substring(slug, length(regexp_extract(slug, '^([0-9]+(\\.[0-9]+)*)', 1)) + 1), 1, 28) ELSE substring(slug, 1, 36) END AS stem FROM grouped""",
+    "split_parts": f"""WITH {PARTS} SELECT doc_id, chapter_id, part_no, parts, start_pos, end_pos, start_page, end_page, is_table, table_no, range_no, CASE WHEN is_table THEN '-表' || table_no WHEN parts = 1 THEN '' ELSE '-' || texts END AS suffix FROM parts""",
+    "split_bodies": f"""WITH {PARTS} SELECT p.doc_id, p.chapter_id, part_no, regexp_replace(regexp_replace(string_agg(CASE WHEN line LIKE '# %' THEN '# ' || {TITLE} WHEN line LIKE '## %' THEN '## ' || {TITLE} ELSE rtrim(line) END, chr(10) ORDER BY pos), '\\n{{3,}}', chr(10) || chr(10), 'g'), '^\\s+|\\s+$', '', 'g') || chr(10) AS text
+ FROM parts p JOIN struct s ON s.doc_id = p.doc_id AND s.chapter_id = p.chapter_id AND s.pos BETWEEN start_pos AND end_pos GROUP BY ALL""",
+    "word_lines": WORD_LINES,
+    "page_overlap": f"""WITH {PARTS}, e AS (SELECT doc_id, chapter_id, unnest(range(start_page, end_page + 1)) AS page FROM parts WHERE NOT is_table) SELECT doc_id, chapter_id, CAST(page AS INT) AS page, count(*) AS files FROM e GROUP BY ALL HAVING count(*) > 1""",
+    "rich_structure": f"WITH {RICH_STRUCTURE} SELECT doc_id, pos, page, chapter_id, CAST(sum(CAST(starts_section AS INT)) OVER (PARTITION BY doc_id, chapter_id ORDER BY pos) AS INT) AS section_id, starts_section FROM rstruct",
+    "rich_tables": f"""WITH {RICH} SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS INT) AS table_no, pos AS start_pos, pos + 2 AS end_pos, page AS start_page, page AS end_page, CASE WHEN pos // 4 % 18 = 5 THEN '表格第2页' ELSE '样表' || (pos // 4) END AS label FROM rpaged WHERE line = '<table>'""",
+    "rich_outline": f"""WITH {RICH}, l AS (SELECT *, CASE WHEN regexp_matches(line, '^第[0-9]+条') THEN regexp_extract(line, '^(第[0-9]+条)', 1) WHEN regexp_matches(line, '^1\\.[0-9]+\\.3 ') THEN regexp_extract(line, '^(1\\.[0-9]+\\.3) ', 1) END AS label FROM rpaged WHERE NOT contains(line, '....')),
+ b AS (SELECT *, max(CASE WHEN label LIKE '第%' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos) AS body FROM l) SELECT doc_id, label, CAST(arg_min(page, pos) AS INT) AS page FROM b WHERE body = 1 AND label IS NOT NULL GROUP BY doc_id, label""",
+    "table_preambles": f"""WITH {RICH}, t AS (SELECT *, line IN ('<table>', '</table>') OR line LIKE '<tr><td>%' AS tab, trim(CASE WHEN line LIKE '<!-- 第 %' THEN regexp_replace(line, '^<!-- 第 [0-9]+ 页 -->', '') ELSE replace(line, '**', '') END) AS body FROM rpaged),
+ n AS (SELECT *, row_number() OVER w AS k, CASE WHEN tab OR (length(body) > 80 AND line NOT LIKE '<!-- 第 %' AND NOT contains(substring(body, 1, 20), '表格')) THEN row_number() OVER w END AS stop FROM t WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+ b AS (SELECT *, greatest(coalesce(max(stop) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + 1, k - 9) AS since, CAST(row_number() OVER (PARTITION BY doc_id, line = '<table>' ORDER BY pos) AS INT) AS table_no FROM n)
+ SELECT b.doc_id, b.table_no, b.pos AS start_pos, n.pos AS preamble FROM b JOIN n ON n.doc_id = b.doc_id AND n.k = b.since WHERE b.line = '<table>'""",
+    "clean_with_model": "SELECT doc_id, CASE WHEN text IS NULL THEN 'failed' ELSE 'ok' END AS status, CAST(0 AS BIGINT) AS chunks_failed, CAST(0 AS BIGINT) AS tables_recovered, text IS NOT NULL AS asked FROM documents",
+    "extraction_totals": f"WITH {RECORDS}, {TOTALS} SELECT * FROM tot",
+    "extraction_report": EXTRACTION,
+    "page_totals": """WITH p AS (SELECT l_orderkey AS file, l_linenumber % 3 + 1 AS tier, l_partkey % 3 AS a, l_partkey % 5 AS b, l_partkey % 2 AS c FROM lineitem), t AS (SELECT file, tier, count(*) AS n, sum(a) AS a, sum(b) AS b, sum(c) AS c FROM p GROUP BY ALL)
+ SELECT file, CAST(sum(n) AS BIGINT) AS pages, CAST(sum(a) AS BIGINT) AS tables, CAST(sum(b) AS BIGINT) AS images, CAST(sum(c) AS BIGINT) AS model_calls, string_agg(tier || ':' || n, ',' ORDER BY tier) AS tiers FROM t GROUP BY file""",
+    "page_report": f"""WITH {ISSUES}, x AS (SELECT i.*, x.pos, row_number() OVER (PARTITION BY i.norm ORDER BY x.pos, encode(i.label)) AS k, count(*) OVER (PARTITION BY i.norm) AS n FROM issues i JOIN idx x ON x.norm = i.norm AND x.label = i.label)
+ SELECT norm, '## ' || norm || '（' || any_value(n) || ' 处）（条号 delta: [' || array_to_string(list_transform(list_sort(list_distinct(list(delta))), lambda v: CAST(v AS VARCHAR)), ', ') || ']）' || chr(10) || chr(10) || '| 类型 | 标签 | index | 当前 | 应为 |' || chr(10) || '| --- | --- | --- | --- | --- |' || chr(10)
+ || string_agg('| ' || kind || ' | ' || label || ' | `a-index.md` | ' || old_start || ' | ' || start || ' |', chr(10) ORDER BY k) FILTER (k <= 200) || CASE WHEN any_value(n) > 200 THEN chr(10) || chr(10) || '… 另有 ' || (any_value(n) - 200) || ' 处' ELSE '' END AS text FROM x GROUP BY norm""",
+    "run_outcome": f"WITH {ISSUES} SELECT count(*) AS n, CAST(count(*) > 0 AS INT) AS exit_code FROM issues",
+    "norm_warnings": f"""WITH {LABELS}, n AS (SELECT DISTINCT doc_id, CASE WHEN doc_id % 5 = 0 THEN '缺少 raw/' || doc_id || '.md' WHEN doc_id % 7 = 0 THEN '缺少 wiki/' || doc_id || '/' WHEN doc_id NOT IN (SELECT doc_id FROM outline) THEN doc_id || ': raw 未解析到条号/小节（指南类或结构特殊）' END AS warning FROM documents)
+ SELECT CAST(doc_id AS VARCHAR) AS norm, warning FROM n WHERE warning IS NOT NULL""",
+    "file_ranges_check": f"""WITH {LABELS}, r AS (SELECT doc_id AS norm, CAST(pos % 3 AS VARCHAR) AS stem, min(page) AS a, max(page) AS b FROM outline GROUP BY ALL) SELECT norm, stem, 'file' AS kind, a AS old_start, CAST(b + norm % 2 AS INT) AS old_end, a AS start, b AS "end" FROM r WHERE norm % 2 = 1""",
+    "file_ranges_fix": f"""WITH {LABELS}, r AS (SELECT doc_id AS norm, CAST(pos % 3 AS VARCHAR) AS stem, min(page) AS a, max(page) AS b FROM outline GROUP BY ALL) SELECT norm, CAST(stem AS INT) AS pos, '- ' || stem || '（第' || a || '～' || b || '页）' AS line, norm % 2 = 1 AS changed FROM r""",
+    "dead_links": """SELECT doc_id AS norm, 'i-index.md' AS index_path, 'b/c.md' AS target FROM documents WHERE doc_id % 2 = 1 UNION ALL SELECT doc_id, 'i-index.md', 'd' || doc_id || '.md' FROM documents WHERE doc_id % 3 <> 0""",
+    "missing_references": "SELECT DISTINCT source, lang AS norm FROM documents WHERE lang IS NOT NULL AND source IS NOT NULL AND source <> lang AND lang <> 'en'",
+    "citation_targets": f"""WITH {LABELS}, c AS (SELECT doc_id, '第 ' || (pos // 4) || ' 条' AS article, pos FROM reg WHERE pos % 4 = 0 AND pos < 400) SELECT '规范' || c.doc_id AS norm, article, c.pos, o.page FROM c LEFT JOIN outline o ON o.doc_id = c.doc_id AND o.label = article""",
+    "keyword_search": "SELECT doc_id, CAST((length(text) - length(replace(text, 'the', ''))) / 3 + (length(text) - length(replace(text, 'and', ''))) / 3 AS INT) AS hits FROM documents WHERE contains(text, 'the') AND contains(text, 'and')",
+    "norm_anti": "SELECT DISTINCT lang || '-' || doc_id AS norm FROM labels JOIN documents USING (doc_id) WHERE lang IS NOT NULL AND lang || '-' || doc_id NOT IN (SELECT lang || '-' || doc_id FROM labels JOIN documents USING (doc_id) WHERE lang IS NOT NULL AND toxic = 1)",
+    "modal_cols": f"""WITH {GRID}, c AS (SELECT list_transform(grid, lambda r: len(r)) AS c FROM grids) SELECT CAST(list_sort(list_transform(list_distinct(c), lambda n: {{'a': -len(list_filter(c, lambda x: x = n)), 'n': n}}))[1].n AS INT) AS cols, count(*) AS n FROM c GROUP BY 1""",
+    "table_candidates": f"""WITH {CANDIDATES}, f AS (SELECT *, list_transform(grid, lambda r: len(r)) AS c, list_transform(flatten(grid), lambda x: length(trim(coalesce(x, '')))) AS cells, max(CASE WHEN mode = 'strict' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id) AS strict FROM cand),
+ g AS (SELECT *, list_sort(list_transform(list_distinct(c), lambda n: {{'a': -len(list_filter(c, lambda x: x = n)), 'n': n}}))[1].n AS cols FROM f WHERE strict = 0 OR mode = 'strict')
+ SELECT l_orderkey, mode, CAST(len(grid) AS INT) AS rows, NOT (len(grid) < 2 OR cols < 2 OR area < 0.02 OR area > 0.95 OR len(list_filter(c, lambda x: x <> cols)) / len(grid) > 0.4 OR len(cells) = 0 OR len(list_filter(cells, lambda x: x > 0)) / len(cells) < 0.5) AS accepted FROM g""",
+    "box_dedup": "SELECT l_orderkey, count(DISTINCT round_even(round(CAST(l_quantity AS DOUBLE) / 4) + 0.2, 0)) AS n FROM lineitem GROUP BY 1",
+    "cell_spans": "SELECT l_orderkey, CAST(l_partkey % 2 AS BIGINT) AS cell_id, min(l_linenumber) AS r, min(l_linenumber % 2) AS c, count(DISTINCT l_linenumber) AS rs, count(DISTINCT l_linenumber % 2) AS cs, CAST(l_partkey % 2 AS VARCHAR) AS text FROM lineitem GROUP BY l_orderkey, l_partkey % 2",
+    "page_assembly": "SELECT l_orderkey, string_agg(CAST(l_partkey AS VARCHAR), chr(10) || chr(10) ORDER BY l_linenumber, CAST(l_partkey AS VARCHAR)) AS markdown FROM lineitem WHERE l_partkey % 4 <> 0 GROUP BY 1",
+    "blank_runs": f"""WITH {LINES}, b AS (SELECT doc_id, i, CASE WHEN i % 5 > 2 THEN ' ' ELSE raw END AS line FROM lines), c AS (SELECT *, trim(line) = '' AND coalesce(lag(trim(line) = '') OVER (PARTITION BY doc_id ORDER BY i), false) AS again FROM b) SELECT doc_id, CAST(i AS INT) AS pos, line FROM c WHERE NOT again""",
+    "provenance_fill": "SELECT conv_id AS answer_id, CAST(turn AS INT) AS seq, last_value(CASE WHEN turn % 3 = 0 THEN 'p' || turn END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS path FROM conversations",
+    "provenance_pages": f"WITH {LABELS} SELECT doc_id AS norm, label, CAST(page + 1 AS INT) AS cited_page, page FROM outline WHERE pos % 2 = 1",
+    "topic_labels": """SELECT p_partkey, '第' || p_size || '条' AS article, p_size || '.1.2' AS clause, string_split(p_name, ' ')[1] AS word, substring('第' || p_size || '章' || replace(p_name, ' ', ''), 1, 40) AS dir, substring(replace(p_name, ' ', ''), 1, 40) AS stem FROM part""",
+    "prompt_messages": """SELECT item_id, '[{"role":"system","content":"清洗"},{"role":"user","content":"n' || item_id || '"}]' AS messages FROM benchmark""",
+    "paragraphs_markdown": f"""WITH {LINES}, c AS (SELECT doc_id, i, trim(regexp_replace(CASE WHEN i % 6 = 0 THEN '第' || (i + 1) || '章 ' ELSE '' END || raw, '[ \\t]+', ' ', 'g')) AS t FROM lines)
+ SELECT doc_id, string_agg(CASE WHEN length(t) <= 40 AND regexp_matches(t, '^第[0-9]+\\s*章') THEN '# ' || t ELSE t END, chr(10) || chr(10) ORDER BY i) AS text FROM c WHERE t <> '' GROUP BY doc_id""",
 }

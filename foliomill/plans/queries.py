@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import patterns as P
 from ..functions import predicates as Q
 from ..functions import text as T
-from ..operators import chunk, integrity, layout, lines, mask, models, outline, qa, rules, split, structure
+from ..operators import chunk, driver, integrity, layout, lines, mask, models, outline, qa, report, rules, split, structure
 from ..session import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,8 +123,7 @@ def blank_compress(spark, d):
 @query
 def rule_stats(spark, d):
     keep = ["page_numbers_removed", "boilerplate_removed", "article_spaces_fixed", "chapter_spaces_fixed", "section_spaces_fixed"]
-    plain = reg_docs(spark, d).withColumn("text", F.translate("text", "$", "S"))  # no formulas, which hide lines
-    return rules.apply_rules(plain).select("doc_id", *keep)
+    return rules.apply_rules(reg_docs(spark, d)).select("doc_id", *keep)
 
 
 @query
@@ -152,7 +151,7 @@ def mask_roundtrip(spark, d):
 
 @query
 def page_pieces(spark, d):
-    return chunk.page_pieces(reg_docs(spark, d)).select("doc_id", F.posexplode("pieces").alias("pos", "p")).select("doc_id", "pos", "p.page_no", "p.page", F.length("p.text").alias("n_chars"))
+    return chunk.page_pieces(reg_docs(spark, d)).select("doc_id", F.posexplode("pieces").alias("pos", "p")).select("doc_id", "pos", "p.page_no", "p.page", "p.text")
 
 
 @query
@@ -179,7 +178,7 @@ def chapters(spark, d):
 
 @query
 def sections(spark, d):
-    return structure.sections(structure.structure_lines(reg(spark, d))).select("doc_id", "chapter_id", "section_id", "start_pos", "end_pos", "n_lines")
+    return structure.sections(structure.structure_lines(reg(spark, d))).select("doc_id", "chapter_id", "section_id", "title", "start_pos", "end_pos", "n_lines", "n_chars")
 
 
 @query
@@ -195,7 +194,7 @@ def page_touches(spark, d):
 
 @query
 def table_spans(spark, d):
-    return split.table_spans(lines.with_pages(reg(spark, d))).select("doc_id", "table_no", "start_pos", "end_pos", "start_page", "end_page")
+    return split.table_spans(lines.with_pages(reg(spark, d))).select("doc_id", "table_no", "start_pos", "end_pos", "start_page", "end_page", "label")
 
 
 @query
@@ -290,8 +289,10 @@ def html_headings(spark, d):
 
 @query
 def html_first_table(spark, d):
+    """The first table of a fenced answer and of each page; empty where there is none."""
     fenced = F.concat(F.lit("```html\n<table><tr><td>"), F.col("url"), F.lit("</td></tr></table>\n```"))
-    return read_table(spark, d, "pages").select("page_id", T.first_table(fenced).alias("table_html"), T.first_table(F.col("url")).alias("none"))
+    page = T.first_table(F.col("html"))
+    return read_table(spark, d, "pages").select("page_id", T.first_table(fenced).alias("table_html"), page.alias("of_page"))
 
 
 def _grids(spark, d):
@@ -337,16 +338,10 @@ def excerpt_verify(spark, d):
     """Benchmark items that stand word for word in a document.
 
     Every item is an excerpt to look for in every document, a stated query set
-    against all rows: the pieces of 12 characters that both have find the pairs.
+    against all rows.
     """
-    n = 12
-    docs = documents(spark, d).withColumn("path", F.col("doc_id").cast("string"))
-    items = read_table(spark, d, "benchmark").select("item_id", F.col("text").alias("excerpt")).where(F.length("excerpt") >= n)
-    keys = items.select("item_id", F.substring("excerpt", 1, n).alias("k"))
-    grams = docs.select("path", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("text") - n + 1)), lambda i: F.substr(F.col("text"), i, F.lit(n))))).alias("k"))
-    pairs = grams.join(keys, "k").select("path", "item_id").distinct().join(items, "item_id")
-    found = qa.verify_excerpts(pairs, docs).where("verified")
-    return found.select("item_id", F.col("path").cast("long").alias("doc_id"))
+    items = read_table(spark, d, "benchmark").select("item_id", F.col("text").alias("excerpt"))
+    return qa.find_excerpts(items, documents(spark, d).withColumnRenamed("doc_id", "path")).select("item_id", F.col("path").alias("doc_id"))
 
 
 @query
@@ -406,3 +401,287 @@ def incremental_replay(spark, d):
     from ..streaming.landing import replay
 
     return replay(documents(spark, d), lambda df: outline.outline(lines.with_pages(lines.decorated(df))).select("doc_id", "label", "page"), 4)
+
+
+def rich(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of the documents dressed with what ``reg`` lacks."""
+    return lines.dressed(documents(spark, d))
+
+
+def named_docs(spark: SparkSession, d: str) -> DataFrame:
+    return lines.join_lines(rich(spark, d)).select("doc_id", F.concat(F.lit("规范"), F.col("doc_id").cast("string")).alias("name"), "text")
+
+
+@query
+def rich_structure(spark, d):
+    """Chapter and section of every line: numbered parts, （一） items, contents, tails, appendices, markers within lines."""
+    return structure.structure_lines(rich(spark, d)).select("doc_id", "pos", "page", "chapter_id", "section_id", "starts_section")
+
+
+@query
+def rich_tables(spark, d):
+    """Tables of several lines, with their labels."""
+    return split.table_spans(lines.with_pages(rich(spark, d)))
+
+
+@query
+def rich_outline(spark, d):
+    return outline.outline(lines.with_pages(rich(spark, d))).select("doc_id", "label", "page")
+
+
+@query
+def split_files(spark, d):
+    """The split of whole documents: every body file with its text and index."""
+    return driver.split_documents(named_docs(spark, d))[0]
+
+
+@query
+def split_indexes(spark, d):
+    return driver.split_documents(named_docs(spark, d))[1]
+
+
+@query
+def table_preambles(spark, d):
+    """Where the file of each table begins: the table or the short lines above it."""
+    placed = split.with_preambles(split.table_islands(lines.with_pages(rich(spark, d)), ["doc_id"]), ["doc_id"])
+    return placed.where("preamble is not null").select("doc_id", "table_no", F.col("pos").alias("start_pos"), "preamble")
+
+
+@query
+def split_report(spark, d):
+    return report.split_report(driver.split_documents(named_docs(spark, d))[1])
+
+
+@query
+def clean_rules_only(spark, d):
+    return driver.clean_documents(reg_docs(spark, d)).select("doc_id", "status", "error", "chars_before", "chars_after", "chunks", "lines_merged")
+
+
+@query
+def clean_with_model(spark, d):
+    """The whole cleaning run with a model that changes nothing."""
+    done = driver.clean_documents(documents(spark, d), models.identity)
+    return done.select("doc_id", "status", "chunks_failed", "tables_recovered", (F.col("chunks") > 0).alias("asked"))
+
+
+@query
+def clean_run_report(spark, d):
+    """Every line of a cleaning run's report."""
+    return report.clean_report(driver.clean_documents(documents(spark, d)))
+
+
+def _records(spark, d):
+    """One record for each order, as if it were a file."""
+    o = F.col("o_orderkey")
+    status = F.when(o % 11 == 0, "failed").when(o % 7 == 0, "skipped (exists)").otherwise("ok")
+    n = lambda k: (o % k).cast("long")
+    return read_table(spark, d, "orders").select(
+        F.format_string("f%010d.x", "o_orderkey").alias("file"), F.when(o % 3 == 0, "pdf").otherwise("doc/docx").alias("kind"), status.alias("status"), F.when(o % 11 == 0, F.lit("a|b")).alias("error"),
+        n(13).alias("n_chars"), n(5).alias("pages"), n(4).alias("tables"), n(6).alias("images"), n(3).alias("model_calls"), n(2).alias("model_ok"), (n(3) - n(2)).alias("model_failed"),
+    )
+
+
+@query
+def extraction_totals(spark, d):
+    return report.extraction_totals(_records(spark, d))
+
+
+@query
+def extraction_report(spark, d):
+    return report.extraction_report(_records(spark, d))
+
+
+@query
+def page_totals(spark, d):
+    """Figures of files from those of their pages: line items are pages of their order."""
+    item = read_table(spark, d, "lineitem")
+    n = lambda k: (F.col("l_partkey") % k).cast("long")
+    pages = item.select(F.col("l_orderkey").alias("file"), (F.col("l_linenumber") % 3 + 1).alias("tier"), n(3).alias("tables"), n(5).alias("images"), n(2).alias("model_calls"))
+    found = report.page_totals(pages)
+    tiers = F.array_join(F.transform(F.map_entries("tier_pages"), lambda e: F.concat(e["key"].cast("string"), F.lit(":"), e["value"].cast("string"))), ",")
+    return found.select("file", "pages", "tables", "images", "model_calls", tiers.alias("tiers"))
+
+
+@query
+def page_report(spark, d):
+    issues = integrity.check_pages(integrity.index_refs(_index_lines(spark, d)), _page_map(spark, d).select("norm", "label", "page"))
+    return report.page_report(issues)
+
+
+@query
+def run_outcome(spark, d):
+    issues = integrity.check_pages(integrity.index_refs(_index_lines(spark, d)), _page_map(spark, d).select("norm", "label", "page"))
+    return report.outcome(issues)
+
+
+@query
+def norm_warnings(spark, d):
+    """Norms without a source, without body files, or without a label."""
+    docs = documents(spark, d).select(F.col("doc_id").cast("string").alias("norm"), "doc_id")
+    labels = _page_map(spark, d).select(F.col("norm").cast("string").alias("norm"))
+    return report.missing_norms(docs, docs.where("doc_id % 5 <> 0"), docs.where("doc_id % 7 <> 0"), labels)
+
+
+def _file_refs(spark, d):
+    """Index lines that give the pages of body files, some of them wrong."""
+    labels = _page_map(spark, d)
+    body = labels.select("norm", "label", (F.col("pos") % 3).cast("string").alias("stem"))
+    ranges = integrity.body_page_ranges(body, labels.select("norm", "label", "page"))
+    end = F.col("end_page") + F.col("norm").cast("int") % 2
+    line = F.format_string("- %s（第%d～%d页）", "stem", "start_page", end)
+    return body, ranges.select("norm", F.lit("r-index.md").alias("index_path"), F.col("stem").cast("int").alias("pos"), line.alias("line"))
+
+
+@query
+def file_ranges_check(spark, d):
+    """References to files whose pages differ from those of their labels."""
+    body, refs = _file_refs(spark, d)
+    pages = _page_map(spark, d).select("norm", "label", "page")
+    found = integrity.check_pages(integrity.index_refs(refs), pages, integrity.body_page_ranges(body, pages))
+    return found.select("norm", F.col("label").alias("stem"), "kind", "old_start", "old_end", "start", "end")
+
+
+@query
+def file_ranges_fix(spark, d):
+    body, refs = _file_refs(spark, d)
+    return driver.fix_index(refs, _page_map(spark, d).select("norm", "label", "page"), body).select("norm", "pos", "line", "changed")
+
+
+def _linked(spark, d):
+    """Index lines of documents with links to three files, of which one isn't there for odd documents."""
+    docs = documents(spark, d).select(F.col("doc_id").alias("norm"))
+    line = F.concat(F.lit("见 [甲](a.md)、[乙](b/c.md#x) 与 [网](https://example.com/a.md)，[丙](d"), F.col("norm").cast("string"), F.lit(".md)"))
+    return docs.select("norm", F.lit("i-index.md").alias("index_path"), F.lit(0).alias("pos"), line.alias("line"))
+
+
+@query
+def dead_links(spark, d):
+    docs = documents(spark, d).select(F.col("doc_id").alias("norm"))
+    names = F.array(F.lit("a.md"), F.when(F.col("norm") % 2 == 0, "b/c.md"), F.when(F.col("norm") % 3 == 0, F.concat(F.lit("d"), F.col("norm").cast("string"), F.lit(".md"))))
+    return integrity.dead_links(_linked(spark, d), docs.select("norm", F.explode(F.filter(names, lambda x: x.isNotNull())).alias("path")))
+
+
+@query
+def missing_references(spark, d):
+    """Languages as norms: each source cites all, links to itself and to en."""
+    docs = read_table(spark, d, "documents")
+    norms = docs.select(F.col("lang").alias("norm")).where("norm is not null").distinct()
+    cited = docs.select(F.col("source"), F.col("lang").alias("norm")).where("norm is not null and source is not null")
+    return integrity.missing_references(cited, cited.select("source").distinct().withColumn("norm", F.lit("en")), norms)
+
+
+@query
+def citation_targets(spark, d):
+    """Cited articles with the page where each stands in its norm."""
+    cited = reg(spark, d).where("pos % 4 = 0 and pos < 400").select(F.concat(F.lit("规范"), F.col("doc_id").cast("string")).alias("norm"), F.concat(F.lit("第 "), F.expr("cast(pos div 4 as string)"), F.lit(" 条")).alias("article"), "pos")
+    pages = _page_map(spark, d).select(F.concat(F.lit("规范"), F.col("norm").cast("string")).alias("norm"), "label", "page")
+    return integrity.resolve_citations(cited, pages)
+
+
+@query
+def keyword_search(spark, d):
+    return integrity.keyword_search(documents(spark, d), ["the", "and"])
+
+
+@query
+def norm_anti(spark, d):
+    """Norms that have summaries and no line that still asks for one."""
+    marks = F.when(F.col("toxic") == 1, F.lit(P.SUMMARY_TODO)).otherwise(F.lit("- **第一条**：主题"))
+    rows = read_table(spark, d, "labels").join(read_table(spark, d, "documents").select("doc_id", "lang", "source"), "doc_id").where("lang is not null")
+    return integrity.norms_without_todo(rows.select(F.concat_ws("-", "lang", F.col("doc_id").cast("string")).alias("norm"), marks.alias("line")))
+
+
+@query
+def modal_cols(spark, d):
+    """How often each number of columns is the usual one of a grid."""
+    s = Q.score_table(F.col("grid"), F.lit(0.5))
+    return _grids(spark, d).select(s["cols"].alias("cols")).groupBy("cols").agg(F.count("*").alias("n"))
+
+
+@query
+def table_candidates(spark, d):
+    """Table candidates of pages: strict ones before loose ones, accepted by their score."""
+    mode = F.when(F.col("l_orderkey") % 2 == 0, "loose").otherwise(F.when(F.col("l_orderkey") % 3 == 0, "strict").otherwise("loose"))
+    side = (F.col("l_orderkey") % 10 * 10).cast("double")
+    box = F.struct(F.lit(0.0).alias("x0"), F.lit(0.0).alias("top"), side.alias("x1"), F.lit(100.0).alias("bottom"))
+    rows = _grids(spark, d).select((F.col("l_orderkey") / 4).cast("long").alias("doc_id"), F.lit(1).alias("page_no"), "l_orderkey", mode.alias("mode"), F.col("grid").alias("data"), box.alias("bbox"), F.lit(10000.0).alias("page_area"))
+    return layout.accept_tables(rows).select("l_orderkey", "mode", F.col("s.rows").alias("rows"), "accepted")
+
+
+@query
+def box_dedup(spark, d):
+    """How many boxes remain on each page when those that agree to a unit are one."""
+    x = F.round(F.col("l_quantity").cast("double") / 4, 0)
+    box = F.struct((x + 0.2).alias("x0"), F.lit(1.4).alias("top"), (x + 1.1).alias("x1"), F.lit(9.0).alias("bottom"))
+    boxes = read_table(spark, d, "lineitem").select("l_orderkey", box.alias("bbox"))
+    return layout.distinct_boxes(boxes, ["l_orderkey"]).groupBy("l_orderkey").agg(F.count("*").alias("n"))
+
+
+@query
+def cell_spans(spark, d):
+    """Merged cells of order grids: first place and spans."""
+    item = read_table(spark, d, "lineitem")
+    cells = item.select("l_orderkey", F.col("l_linenumber").alias("r"), (F.col("l_linenumber") % 2).alias("c"), (F.col("l_partkey") % 2).alias("cell_id"), (F.col("l_partkey") % 2).cast("string").alias("text"))
+    return layout.cell_spans(cells, ["l_orderkey"])
+
+
+@query
+def page_assembly(spark, d):
+    """Parts of a page in order, blank ones left out."""
+    parts = read_table(spark, d, "lineitem").select("l_orderkey", F.col("l_linenumber").alias("ord"), F.when(F.col("l_partkey") % 4 == 0, "").otherwise(F.col("l_partkey").cast("string")).alias("part"))
+    return layout.assemble_page(parts, ["l_orderkey"])
+
+
+@query
+def blank_runs(spark, d):
+    """Lines with runs of blank ones as one: every third line is blanked."""
+    spaced = lines.explode_lines(documents(spark, d)).withColumn("line", F.when(F.col("pos") % 5 > 2, F.lit(" ")).otherwise(F.col("line")))
+    return lines.collapse_blanks(spaced).select("doc_id", "pos", "line")
+
+
+@query
+def provenance_fill(spark, d):
+    """同上 and blanks take the value above: turns of a conversation as rows of its provenance."""
+    talk = read_table(spark, d, "conversations")
+    rows = talk.select(F.col("conv_id").alias("answer_id"), F.col("turn").cast("int").alias("seq"), F.when(F.col("turn") % 3 == 0, F.concat(F.lit("p"), F.col("turn").cast("string"))).when(F.col("turn") % 3 == 1, "同上").otherwise("").alias("path"))
+    return qa.fill_down(rows, ["path"])
+
+
+@query
+def provenance_pages(spark, d):
+    """Provenance rows whose page isn't that of the catalog."""
+    pages = _page_map(spark, d)
+    cited = pages.select("norm", "label", (F.col("page") + F.col("pos") % 2).alias("cited_page"))
+    return qa.wrong_pages(cited, pages.select("norm", "label", "page")).select("norm", "label", "cited_page", "page")
+
+
+@query
+def topic_labels(spark, d):
+    """Labels of topics, and where and under what name a chapter's files lie."""
+    part = read_table(spark, d, "part")
+    n = F.col("p_size").cast("string")
+    article, clause, other = F.concat(F.lit("第 "), n, F.lit(" 条 x")), F.concat(n, F.lit(".1.2正文")), F.concat(F.col("p_name"))
+    chapter = F.concat(F.lit("第 "), n, F.lit(" 章 "), F.col("p_name"))
+    return part.select("p_partkey", T.article_label(article).alias("article"), T.article_label(clause).alias("clause"), T.article_label(other).alias("word"), T.chapter_dir(chapter).alias("dir"), T.chapter_stem(chapter).alias("stem"))
+
+
+@query
+def paragraphs_markdown(spark, d):
+    """Lines of each document as Markdown paragraphs with guessed headings."""
+    lined = F.transform(F.split("text", "\n", -1), lambda x, i: F.concat(F.when(i % 6 == 0, F.concat(F.lit("第"), (i + 1).cast("string"), F.lit("章 ")))  .otherwise(F.lit("")), x))
+    return documents(spark, d).select("doc_id", T.paragraphs_to_md(lined).alias("text"))
+
+
+@query
+def prompt_messages(spark, d):
+    """Chat messages of each benchmark item, as JSON."""
+    return read_table(spark, d, "benchmark").select("item_id", F.to_json(T.chat_messages(F.lit("清洗"), F.concat(F.lit("n"), F.col("item_id").cast("string")))).alias("messages"))
+
+
+@query
+def page_overlap(spark, d):
+    """Pages of every document that more than one body file holds."""
+    s = structure.structure_lines(reg(spark, d))
+    files = split.split_chunks(s, ["doc_id", "chapter_id"]).where("not is_table")
+    pages = files.select("doc_id", "chapter_id", "part_no", F.explode(F.sequence("start_page", "end_page")).alias("page"))
+    return pages.groupBy("doc_id", "chapter_id", "page").agg(F.count("*").alias("files")).where("files > 1")

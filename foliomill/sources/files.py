@@ -17,10 +17,10 @@ def name_parts(files: DataFrame) -> DataFrame:
     return files.withColumn("name", name).withColumn("stem", F.regexp_replace("name", r"\.[^.]*$", "")).withColumn("ext", F.lower(F.regexp_extract("name", r"(\.[^.]*)$", 1)))
 
 
-def list_files(spark: SparkSession, folder: str, kinds: tuple[str, ...] = P.FORMATS, recursive: bool = False) -> DataFrame:
-    """Binary files of the given kinds with their name parts, by path."""
+def list_files(spark: SparkSession, folder: str, kinds: tuple[str, ...] = P.FORMATS, recursive: bool = False, only: str | None = None) -> DataFrame:
+    """Binary files of the given kinds with their name parts, by path; or the one file ``only``, if it is of such a kind."""
     read = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
-    return name_parts(read.load(folder)).where(F.col("ext").isin(*kinds)).orderBy("path")
+    return name_parts(read.load(only or folder)).where(F.col("ext").isin(*kinds)).orderBy("path")
 
 
 def best_format(files: DataFrame) -> DataFrame:
@@ -32,9 +32,15 @@ def best_format(files: DataFrame) -> DataFrame:
     return known.withColumn("_n", first).where("_n = 1").drop("_n", "_rank")
 
 
-def read_markdown(spark: SparkSession, folder: str, only: DataFrame | None = None) -> DataFrame:
+def split_kinds(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Body files and index files (name ends in -index.md) among Markdown files (path)."""
+    d = name_parts(files).where("ext = '.md'")
+    return d.where(~F.col("name").endswith("-index.md")), d.where(F.col("name").endswith("-index.md"))
+
+
+def read_markdown(spark: SparkSession, folder: str, only: DataFrame | None = None, recursive: bool = False) -> DataFrame:
     """stem and text of the Markdown files of a folder (names that begin with _ aside); or of those named."""
-    raw = spark.read.text(folder, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    raw = spark.read.option("recursiveFileLookup", str(recursive).lower()).text(folder, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
     docs = name_parts(raw).where((F.col("ext") == ".md") & ~F.col("name").startswith("_")).select("stem", "text")
     if only is None:
         return docs
@@ -76,6 +82,35 @@ def write_norms(bodies: DataFrame, path: str, norm: str = "norm") -> None:
     bodies.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(norm).parquet(path)
 
 
+def write_markdown(files: DataFrame, folder: str) -> DataFrame:
+    """Write each text to its path below a folder on storage that all executors share; path and bytes of what was written.
+
+    One small file for each row, written by the task that holds it; a task that
+    is tried again writes the same bytes.
+    """
+    import os
+    from collections.abc import Iterator
+
+    import pandas as pd
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sizes = []
+            for path, text in zip(batch["path"], batch["text"], strict=True):
+                where = os.path.normpath(os.path.join(folder, path))
+                if not where.startswith(os.path.normpath(folder) + os.sep):
+                    raise ValueError(f"{path} leaves the folder")
+                os.makedirs(os.path.dirname(where), exist_ok=True)
+                part = f"{where}.{os.getpid()}.part"
+                with open(part, "w", encoding="utf-8", newline="") as f:
+                    f.write(text)
+                os.replace(part, where)
+                sizes.append(len(text.encode()))
+            yield pd.DataFrame({"path": batch["path"], "bytes": sizes})
+
+    return files.select("path", "text").mapInPandas(write, "path string, bytes long")
+
+
 def image_urls(files: DataFrame) -> DataFrame:
     """path and data URL of image files."""
     return files.select("path", T.data_url(F.col("content"), F.col("path")).alias("url"))
