@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import patterns as P
 from ..functions import predicates as Q
 from ..functions import text as T
+from ..session import cut
 from . import chunk, lines, models, outline, rules, split, structure
 
 SEGMENT = ["doc_id", "chapter_id", "group_no"]
@@ -108,6 +109,8 @@ def clean_documents(docs: DataFrame, make: Callable[[], Callable[[str], str]] |
     if make is None:
         zero = [F.lit(0).cast("long").alias(c) for c in ("chunks", "chunks_ok", "chunks_failed", "tables_recovered")]
         return ruled.select("doc_id", "text", status, error, "chars_before", F.length("text").alias("chars_after"), *zero, *rules.COUNTERS)
+    # used twice, and filters that the planner would draw from the chunks mustn't repeat the rules
+    ruled = cut(ruled, "ruled")
     done = models.clean_chunks(chunk.chunk_documents(ruled.select("doc_id", "text")), make)
     counted = done.groupBy("doc_id").agg(F.count("*").alias("chunks"), F.count_if("ok").alias("chunks_ok"), F.count_if(~F.col("ok")).alias("chunks_failed"), F.sum(F.when(F.col("ok"), F.col("new_tables")).otherwise(0)).cast("long").alias("tables_recovered"))
     joined = ruled.drop("text").join(chunk.reassemble(done), "doc_id", "left").join(counted, "doc_id", "left")

@@ -73,7 +73,7 @@ def apply_rules(docs: DataFrame, text: str = "text", protect_tables: bool = Fals
     d = d.withColumn("article_spaces_fixed", _sum(F.col("_lines"), lambda x: T.legal_space_hits(x, "条")))
     d = d.withColumn("chapter_spaces_fixed", _sum(F.col("_lines"), lambda x: T.legal_space_hits(x, "章")))
     d = d.withColumn("section_spaces_fixed", _sum(F.col("_lines"), lambda x: T.legal_space_hits(x, "[节项]")))
-    d = d.withColumn("_lines", F.transform("_lines", T.fix_legal_spaces))
+    d = d.withColumn("_lines", F.transform("_lines", lambda x: T.fix_legal_spaces(x)))
     d = d.withColumn("bold_removed", _sum(F.col("_lines"), lambda x: F.regexp_count(x, F.lit(T.BOLD_LEGAL))))
     d = d.withColumn("_lines", F.transform("_lines", lambda x: T.sub(x, T.BOLD_LEGAL, "$1")))
     d = d.withColumn("bold_short_removed", _sum(F.col("_lines"), lambda x: F.regexp_count(x, F.lit(T.BOLD_SHORT))))

@@ -22,6 +22,7 @@ outline AS (SELECT doc_id, label, CAST(arg_min(page, pos) AS INT) AS page, min(p
 INDEX = LABELS + """, idx AS (SELECT doc_id AS norm, pos, label, page, CAST(page + doc_id % 2 + pos % 3 * (doc_id % 2) AS INT) AS wrong FROM outline)"""
 ISSUES = INDEX + """, issues AS (SELECT norm, label, CASE WHEN pos % 2 = 0 THEN 'catalog' ELSE 'summary' END AS kind, wrong AS old_start, page AS start, page - wrong AS delta FROM idx WHERE wrong <> page)"""
 FOOTER = "regexp_matches(line, '^[ \\t]*[-—·.]?\\s*[0-9]{1,4}\\s*[-—·.]?[ \\t]*$') OR regexp_matches(line, '^[ \\t]*——\\s*[0-9]{1,4}\\s*——[ \\t]*$')"
+PROTECTED = "(?i)<table\\b[^>]*>[\\s\\S]*?</table>|!\\[[^\\]]*\\]\\([^)]*\\)(?:\\s*<!--[^>]*-->)?|<!--[\\s\\S]*?-->|\\$\\$[\\s\\S]*?\\$\\$|\\$[^\\n$]+?\\$"
 LONE = "regexp_matches(line, '^[ \\t]*[Xx][ \\t]*$')"
 ARTICLE_FIX = "regexp_replace(regexp_replace(line, '第\\s*([0-9]+)\\s*条', '第\\1条', 'g'), '第\\s*([0-9]+)\\s*章', '第\\1章', 'g')"
 STRUCTURE = PAGED + """, marked AS (SELECT *, CASE WHEN regexp_matches(line, '^# 第 [0-9]+ 章') THEN 1 ELSE 0 END AS part, CASE WHEN regexp_matches(line, '^## [0-9]+\\.[0-9]+') THEN 1 ELSE 0 END AS sec FROM paged),
@@ -70,11 +71,41 @@ EDGE = "(t LIKE '#%' OR t LIKE '![%' OR t LIKE '<!--%' OR regexp_matches(lower(t
 NEW = """(regexp_matches(t, '^第\\s*[一二三四五六七八九十百零〇两0-9]+(\\s+[一二三四五六七八九十百零〇两0-9]+)*\\s*[章节]') OR regexp_matches(t, '^第[一二三四五六七八九十百零〇两0-9]+条')
  OR (regexp_matches(t, '^[0-9]+\\.[0-9]+(\\s|[^0-9.]|$)') AND NOT regexp_matches(t, '^[0-9]+\\.[0-9]+\\.[0-9]+(\\s|[^0-9.]|$)'))
  OR regexp_matches(t, '^(\\(?[一二三四五六七八九十百零〇]+\\)|（[一二三四五六七八九十百零〇]+）|[0-9]+[.、)]|[（(][0-9]+[）)])'))"""
-REFLOW = LINES + f""", f0 AS (SELECT doc_id, i, t, coalesce(lag(t) OVER (PARTITION BY doc_id ORDER BY i) = '', false) AS gap FROM (SELECT doc_id, i, trim(raw, chr(9) || chr(11) || chr(12) || chr(13) || ' ' || chr(160) || chr(12288)) AS t FROM lines)),
-f1 AS (SELECT *, {EDGE} AS edge, {NEW} AS new FROM f0 WHERE t <> ''),
+TOKEN = "\\x01P[0-9]+\\x01"
+
+
+def _reflow(source: str) -> str:
+    """CTEs that join the wrapped lines (doc_id, i, raw) of a table: f4 (doc_id, text, merged)."""
+    return f"""f0 AS (SELECT doc_id, i, t, coalesce(lag(t) OVER (PARTITION BY doc_id ORDER BY i) = '', false) AS gap FROM (SELECT doc_id, i, trim(raw, chr(9) || chr(11) || chr(12) || chr(13) || ' ' || chr(160) || chr(12288)) AS t FROM {source})),
+f1 AS (SELECT *, {EDGE} OR regexp_matches(t, '^{TOKEN}$') AS edge, {NEW} AS new FROM f0 WHERE t <> ''),
 f2 AS (SELECT *, lag(t) OVER w AS pt, lag(edge) OVER w AS pedge FROM f1 WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
 f3 AS (SELECT *, pt IS NOT NULL AND NOT pedge AND NOT edge AND NOT new AND NOT regexp_matches(pt, CASE WHEN gap THEN '[。！？；;：:]$' ELSE '[。！？；;]$' END) AS m FROM f2),
 f4 AS (SELECT doc_id, string_agg(CASE WHEN pt IS NULL THEN '' WHEN m AND regexp_matches(pt, '[A-Za-z0-9]$') AND regexp_matches(t, '^[A-Za-z0-9]') THEN ' ' WHEN m THEN '' WHEN pedge OR edge OR gap THEN chr(10) || chr(10) ELSE chr(10) END || t, '' ORDER BY i) || chr(10) AS text, CAST(count(*) FILTER (m) AS INT) AS merged FROM f3 GROUP BY doc_id)"""
+
+
+REFLOW = LINES + ", " + _reflow("lines")
+BOLD_LEGAL = "\\*\\*\\s*(第\\s*[一二三四五六七八九十百零〇两0-9\\s]+[条章节项][^*]*?)\\s*\\*\\*"
+BOLD_SHORT = "\\*\\*\\s*([\\p{L}\\p{M}\\p{Nd}\\p{Pc}]{1,2})\\s*\\*\\*"
+#: The whole rule pipeline over ``reg``: c9 has its texts and counters.
+CLEAN = REG + f""", c0 AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) AS source, CAST(count(*) FILTER ({FOOTER}) AS INT) AS page_numbers_removed, CAST(count(*) FILTER ({LONE}) AS INT) AS boilerplate_removed,
+ coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT ({FOOTER}) AND NOT {LONE}), '') AS kept FROM reg GROUP BY doc_id),
+c1 AS (SELECT *, regexp_extract_all(kept, '{PROTECTED}') AS regions, string_split_regex(kept, '{PROTECTED}') AS gaps FROM c0),
+c2 AS (SELECT *, array_to_string(list_transform(range(1, len(gaps) + 1), lambda k: gaps[k] || CASE WHEN k <= len(regions) THEN chr(1) || 'P' || (k - 1) || chr(1) ELSE '' END), '') AS masked FROM c1),
+c3 AS (SELECT doc_id, unnest(range(len(string_split(masked, chr(10))))) AS i, unnest(string_split(masked, chr(10))) AS line FROM c2),
+c4 AS (SELECT *, len(regexp_extract_all(line, '第\\s*[0-9]+\\s*条')) AS a, len(regexp_extract_all(line, '第\\s*[0-9]+\\s*章')) AS c, regexp_replace(line, '第\\s*([0-9]+)\\s*([条章])', '第\\1\\2', 'g') AS l1 FROM c3),
+c5 AS (SELECT *, len(regexp_extract_all(l1, '{BOLD_LEGAL}')) AS bl, regexp_replace(l1, '{BOLD_LEGAL}', '\\1', 'g') AS l2 FROM c4),
+c6 AS (SELECT *, len(regexp_extract_all(l2, '{BOLD_SHORT}')) AS bs, regexp_replace(l2, '{BOLD_SHORT}', '\\1', 'g') AS l3 FROM c5),
+c7 AS (SELECT *, trim(regexp_replace(trim(l3), '^#{{1,6}}\\s+', '')) AS t FROM c6),
+c8 AS (SELECT *, regexp_matches(t, '^第[0-9]+章') AS h1, NOT regexp_matches(t, '^第[0-9]+章') AND regexp_matches(t, '^[0-9]+\\.[0-9]+(\\s|[^0-9.]|$)') AND NOT regexp_matches(t, '^[0-9]+\\.[0-9]+\\.[0-9]+') AS h2, regexp_matches(l3, '^#{{1,6}}\\s') AS marked FROM c7),
+normal AS (SELECT doc_id, i, CASE WHEN trim(l3) = '' THEN l3 WHEN h1 THEN '# ' || t WHEN h2 THEN '## ' || t WHEN marked THEN t ELSE l3 END AS shown, a, c, bl, bs, h1, h2, marked FROM c8),
+open AS (SELECT doc_id, i, replace(shown, '中 文', '中文') AS raw FROM normal),
+{_reflow("open")},
+counts AS (SELECT doc_id, CAST(sum(a) AS INT) AS article_spaces_fixed, CAST(sum(c) AS INT) AS chapter_spaces_fixed, CAST(sum(bl) AS INT) AS bold_removed, CAST(sum(bs) AS INT) AS bold_short_removed, CAST(count(*) FILTER (h1) AS INT) AS h1_normalized, CAST(count(*) FILTER (h2) AS INT) AS h2_normalized,
+ CAST(count(*) FILTER (marked AND NOT h1 AND NOT h2) AS INT) AS headings_demoted, CAST(sum(length(shown) - length(replace(shown, '中 文', '中文'))) AS INT) AS cjk_gaps_removed FROM normal GROUP BY doc_id),
+back AS (SELECT c2.*, counts.* EXCLUDE doc_id, coalesce(merged, 0) AS lines_merged, string_split_regex(coalesce(f4.text, chr(10)), '{TOKEN}') AS plain, regexp_extract_all(coalesce(f4.text, ''), '\\x01P([0-9]+)\\x01', 1) AS tokens FROM c2 JOIN counts USING (doc_id) LEFT JOIN f4 USING (doc_id)),
+whole AS (SELECT *, array_to_string(list_transform(range(1, len(plain) + 1), lambda k: plain[k] || CASE WHEN k <= len(tokens) THEN regions[CAST(tokens[k] AS INT) + 1] ELSE '' END), '') AS w FROM back),
+c9 AS (SELECT *, regexp_replace(regexp_replace(w, '\\n{{3,}}', chr(10) || chr(10), 'g'), '^\\s+|\\s+$', '', 'g') || chr(10) AS text, 0 AS section_spaces_fixed, 0 AS inline_boilerplate_removed, CAST(length(w) - length(regexp_replace(w, '\\n{{3,}}', chr(10) || chr(10), 'g')) AS INT) AS blank_lines_removed FROM whole)"""
+COUNTED = ("page_numbers_removed", "boilerplate_removed", "article_spaces_fixed", "chapter_spaces_fixed", "section_spaces_fixed", "bold_removed", "bold_short_removed", "h1_normalized", "h2_normalized", "headings_demoted", "inline_boilerplate_removed", "cjk_gaps_removed", "lines_merged", "blank_lines_removed")
 WORD_LINES = """WITH RECURSIVE w AS (SELECT l_orderkey, l_linenumber * 2 AS top, CAST(l_quantity AS DOUBLE) AS x, CAST(l_partkey AS VARCHAR) AS text FROM lineitem WHERE NOT (l_quantity + 1.5 BETWEEN 10 AND 15)),
 o AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY top, x, text) AS k FROM w),
 r AS (SELECT l_orderkey, k, text, x, top AS anchor, 1 AS n FROM o WHERE k = 1
@@ -141,9 +172,10 @@ SQL = {
  SELECT doc_id, pos, CASE WHEN trim(line) = '' THEN line WHEN regexp_matches(t, '^第[0-9]+章') THEN '# ' || t WHEN regexp_matches(t, '^[0-9]+\\.[0-9]+(\\s|[^0-9.]|$)') THEN '## ' || t WHEN regexp_matches(line, '^#{{1,6}}\\s') THEN t ELSE line END AS line FROM b""",
     "cjk_gap": f"WITH {REG} SELECT doc_id, pos, '甲乙丙，' || replace(line, '中 文', '中文') AS line FROM reg",
     "blank_compress": f"WITH {LINES} SELECT doc_id, string_agg(raw || CASE WHEN i + 1 < n THEN repeat(chr(10), CAST(least(1, i % 4) + 1 AS INT)) ELSE repeat(chr(10), CAST(CASE WHEN i % 4 > 2 THEN 2 ELSE i % 4 END AS INT)) END, '' ORDER BY i) AS text FROM (SELECT *, count(*) OVER (PARTITION BY doc_id) AS n FROM lines) GROUP BY doc_id",
-    "rule_stats": f"""WITH {REG} SELECT doc_id, CAST(count(*) FILTER ({FOOTER}) AS INT) AS page_numbers_removed, CAST(count(*) FILTER ({LONE}) AS INT) AS boilerplate_removed,
- CAST(coalesce(sum(len(regexp_extract_all(line, '第\\s*[0-9]+\\s*条'))) FILTER (line NOT LIKE '<%'), 0) AS INT) AS article_spaces_fixed, CAST(coalesce(sum(len(regexp_extract_all(line, '第\\s*[0-9]+\\s*章'))), 0) AS INT) AS chapter_spaces_fixed,
- CAST(0 AS INT) AS section_spaces_fixed FROM reg GROUP BY doc_id""",
+    "rule_stats": f"""WITH {REG}, n AS (SELECT doc_id, CAST(count(*) FILTER ({FOOTER}) AS INT) AS page_numbers_removed, CAST(count(*) FILTER ({LONE}) AS INT) AS boilerplate_removed,
+ coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT ({FOOTER}) AND NOT {LONE}), '') AS kept FROM reg GROUP BY doc_id), m AS (SELECT *, regexp_replace(kept, '{PROTECTED}', chr(1), 'g') AS open FROM n)
+ SELECT doc_id, page_numbers_removed, boilerplate_removed, CAST(len(regexp_extract_all(open, '第[ \\t]*[0-9]+[ \\t]*条')) AS INT) AS article_spaces_fixed, CAST(len(regexp_extract_all(open, '第[ \\t]*[0-9]+[ \\t]*章')) AS INT) AS chapter_spaces_fixed,
+ CAST(0 AS INT) AS section_spaces_fixed FROM m""",
     "mask_spans": """WITH h AS (SELECT page_id, regexp_extract_all(html, '(?i)<table\\b[^>]*>[\\s\\S]*?</table>|!\\[[^\\]]*\\]\\([^)]*\\)(?:\\s*<!--[^>]*-->)?|<!--[\\s\\S]*?-->|\\$\\$[\\s\\S]*?\\$\\$|\\$[^\\n$]+?\\$') AS p FROM pages),
  e AS (SELECT page_id, unnest(range(len(p))) AS pos, unnest(p) AS payload FROM h) SELECT page_id, CAST(pos AS INT) AS pos, '<<' || CASE WHEN lower(payload) LIKE '<table%' THEN 'TAB' WHEN payload LIKE '![%' THEN 'IMG' WHEN payload LIKE '<!--%' THEN 'CMT' ELSE 'MATH' END || '_' || pos || '>>' AS token, payload FROM e""",
     "mask_roundtrip": """SELECT doc_id, '$a$ <!-- x --> ' || text AS text, CAST(2 + len(regexp_extract_all(text, '(?i)<table\\b[^>]*>[\\s\\S]*?</table>|!\\[[^\\]]*\\]\\([^)]*\\)(?:\\s*<!--[^>]*-->)?|<!--[\\s\\S]*?-->|\\$\\$[\\s\\S]*?\\$\\$|\\$[^\\n$]+?\\$')) AS INT) AS n FROM documents""",
@@ -238,9 +270,12 @@ SQL = {
     "page_assembly": "SELECT l_orderkey, string_agg(CAST(l_partkey AS VARCHAR), chr(10) || chr(10) ORDER BY l_linenumber, CAST(l_partkey AS VARCHAR)) AS markdown FROM lineitem WHERE l_partkey % 4 <> 0 GROUP BY 1",
     "blank_runs": f"""WITH {LINES}, b AS (SELECT doc_id, i, CASE WHEN i % 5 > 2 THEN ' ' ELSE raw END AS line FROM lines), c AS (SELECT *, trim(line) = '' AND coalesce(lag(trim(line) = '') OVER (PARTITION BY doc_id ORDER BY i), false) AS again FROM b) SELECT doc_id, CAST(i AS INT) AS pos, line FROM c WHERE NOT again""",
     "provenance_fill": "SELECT conv_id AS answer_id, CAST(turn AS INT) AS seq, last_value(CASE WHEN turn % 3 = 0 THEN 'p' || turn END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS path FROM conversations",
-    "provenance_pages": f"WITH {LABELS} SELECT doc_id AS norm, label, CAST(page + 1 AS INT) AS cited_page, page FROM outline WHERE pos % 2 = 1",
+    "provenance_pages": f"WITH {LABELS} SELECT doc_id AS norm, label, CAST(page + 1 AS INT) AS cited_page, page FROM outline WHERE pos // 4 % 2 = 1",
     "topic_labels": """SELECT p_partkey, '第' || p_size || '条' AS article, p_size || '.1.2' AS clause, string_split(p_name, ' ')[1] AS word, substring('第' || p_size || '章' || replace(p_name, ' ', ''), 1, 40) AS dir, substring(replace(p_name, ' ', ''), 1, 40) AS stem FROM part""",
     "prompt_messages": """SELECT item_id, '[{"role":"system","content":"清洗"},{"role":"user","content":"n' || item_id || '"}]' AS messages FROM benchmark""",
     "paragraphs_markdown": f"""WITH {LINES}, c AS (SELECT doc_id, i, trim(regexp_replace(CASE WHEN i % 6 = 0 THEN '第' || (i + 1) || '章 ' ELSE '' END || raw, '[ \\t]+', ' ', 'g')) AS t FROM lines)
  SELECT doc_id, string_agg(CASE WHEN length(t) <= 40 AND regexp_matches(t, '^第[0-9]+\\s*章') THEN '# ' || t ELSE t END, chr(10) || chr(10) ORDER BY i) AS text FROM c WHERE t <> '' GROUP BY doc_id""",
+    "rules_clean": f"WITH {CLEAN} SELECT doc_id, text, {', '.join(COUNTED)} FROM c9",
+    "clean_report": f"WITH {CLEAN} SELECT count(*) AS n_docs, {', '.join(f'CAST(sum({c}) AS BIGINT) AS {c}' for c in COUNTED)} FROM c9",
+    "clean_rules_only": f"WITH {CLEAN} SELECT doc_id, 'ok' AS status, CAST(NULL AS VARCHAR) AS error, CAST(length(source) AS INT) AS chars_before, CAST(length(text) AS INT) AS chars_after, CAST(0 AS BIGINT) AS chunks, lines_merged FROM c9",
 }

@@ -651,7 +651,7 @@ def provenance_fill(spark, d):
 def provenance_pages(spark, d):
     """Provenance rows whose page isn't that of the catalog."""
     pages = _page_map(spark, d)
-    cited = pages.select("norm", "label", (F.col("page") + F.col("pos") % 2).alias("cited_page"))
+    cited = pages.select("norm", "label", (F.col("page") + F.expr("pos div 4").cast("int") % 2).alias("cited_page"))
     return qa.wrong_pages(cited, pages.select("norm", "label", "page")).select("norm", "label", "cited_page", "page")
 
 
