@@ -50,14 +50,15 @@ def split_documents(docs: DataFrame, most_pages: int = 2) -> tuple[DataFrame, Da
     the first of their piece begin with the segment's heading.  Tables keep the
     short lines above them and are listed by their label.
     """
-    placed = segment_lines(docs)
+    placed = cut(segment_lines(docs), "segment-lines")  # read several times below
     files = split.split_chunks(placed, SEGMENT, most_pages, preambles=True)
-    spans = split.table_spans(placed, "doc_id").select("doc_id", F.col("end_pos").alias("_table_end"), "label")
-    files = files.join(spans, (files["doc_id"] == spans["doc_id"]) & files["is_table"] & (files["end_pos"] == spans["_table_end"]), "left").drop(spans["doc_id"]).drop("_table_end")
+    spans = split.table_spans(placed, "doc_id").select("doc_id", "end_pos", F.lit(True).alias("is_table"), "label")
+    files = files.join(spans, ["doc_id", "end_pos", "is_table"], "left")
     facts = placed.groupBy(*SEGMENT).agg(*[F.first(c).alias(c) for c in ("name", "stem", "chapter", "file_title", "heading", "merged")])
     files = files.join(facts, SEGMENT).withColumn("stem", F.concat("stem", "suffix"))
     folder = F.when(F.col("chapter_id") > 0, F.concat("name", F.lit("/"), T.chapter_dir(F.col("chapter")), F.lit("/"))).otherwise(F.concat("name", F.lit("/")))
     files = files.withColumn("path", F.concat(folder, F.col("stem"), F.lit(".md"))).withColumn("file", F.concat_ws("/", *SEGMENT, "part_no"))
+    files = cut(files, "body-files")
 
     at = files.select(*SEGMENT, "file", "start_pos", "end_pos", "is_table", "range_no", F.col("heading").alias("_heading"))
     inside = placed.select(*SEGMENT, "pos", "line", "page").join(at, SEGMENT).where("pos between start_pos and end_pos")

@@ -83,7 +83,7 @@ def test_split_documents(spark):
     assert next(r for r in got.values() if r.doc_id == 2).path == "指南/指南.md"
     whole = {r.doc_id: r for r in indexes.collect()}
     assert set(whole) == {1, 2, 3, 4} and (whole[1].chapters, whole[2].chapters, whole[4].files) == (2, 0, 0)
-    assert "- 第一章总则\n  - 1.1小节\n  - 1.2另一小节\n- 第二章罚则" in whole[1].text and "## 条目录\n\n- 第一条（第2页）" in whole[2].text
+    assert "- 第一章总则\n  - 1.1小节\n  - 1.2另一小节\n- 第二章罚则" in whole[1].text and "## 条目录\n\n- 1.1.1（第1页）\n- 第一条（第2页）" in whole[2].text
     flagged = {r.doc_id: r for r in driver.split_flag(indexes).collect()}
     assert flagged[1].flag and not flagged[4].flag
     shown = [r.value for r in report.text_of(report.split_report(indexes)).collect()]
@@ -100,7 +100,7 @@ def test_clean_documents(spark):
     text = "第 一 条 甲\n\n$x$ 乙 <!-- 第 1 页 -->"
     docs = spark.createDataFrame([(1, text), (2, None), (3, ""), (4, "坏" + text)], "doc_id long, text string")
     plain = {r.doc_id: r for r in driver.clean_documents(docs).collect()}
-    assert plain[1].text.startswith("第一条 甲") and plain[1].chunks == 0 and (plain[2].status, plain[2].error, plain[3].status) == ("failed", "no text", "ok")
+    assert plain[1].text.startswith("第一条甲") and plain[1].chunks == 0 and (plain[2].status, plain[2].error, plain[3].status) == ("failed", "no text", "ok")
 
     def make():
         def call(text):
@@ -152,8 +152,8 @@ def test_files_and_views(spark, tmp_path):
     assert {r.stem for r in files.read_markdown(spark, str(tmp_path), recursive=True).collect()} == {"a", "a-index", "b"}
     with pytest.raises(FileNotFoundError):
         files.read_markdown(spark, str(tmp_path / "n"), spark.createDataFrame([("zz.md",)], "name string"))
-    files.write_norms(docs.select(F.lit("n").alias("norm"), "path"), str(tmp_path / "norms"))
-    assert spark.read.parquet(str(tmp_path / "norms")).count() == 3
+    files.write_norms(docs.select(F.lit("n").alias("norm"), "path"), f"{tmp_path}-norms")
+    assert spark.read.parquet(f"{tmp_path}-norms").count() == 3
     (tmp_path / "x.gif").write_bytes(b"g")
     assert files.image_urls(files.list_files(spark, str(tmp_path), (".gif",))).first().url == "data:image/gif;base64,Zw=="
     register_views(spark.createDataFrame([(1, regulation())], "doc_id long, text string"))
