@@ -84,7 +84,7 @@ def cut(df: DataFrame, name: str, compression: str | None = None, stays: bool =
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bound_arrow_batches(spark: SparkSession, size: int = 2 << 20) -> None:
+def bound_arrow_batches(spark: SparkSession, size: int = 1 << 19) -> None:
     """Bound the bytes that a Python worker is handed at once: rows of whole texts are large.
 
     A smaller setting of the user's stays.  Batches of small rows are as before.
