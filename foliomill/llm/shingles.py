@@ -76,7 +76,7 @@ def shingle_sets(texts: list[bytes | None], width: int) -> tuple[np.ndarray, np.
     return owner[new], sums[new]
 
 
-def blocks(texts: list[bytes | None] | list[str | None], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def blocks(texts: list[bytes | None] | list[str | None], most: int = 1 << 18) -> Iterator[tuple[int, int]]:
     """Ranges of texts of at most about ``most`` bytes (or characters), to bound memory."""
     start, size = 0, 0
     for i, t in enumerate(texts):

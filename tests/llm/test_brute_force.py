@@ -209,7 +209,7 @@ def test_media_of_other_writers_and_malformed_ones(spark):
         "good": container(), "large sync": container(stss=u(0, 1, 9)), "sync 0": container(stss=u(0, 2, 0, 1)), "sync order": container(stss=u(0, 2, 3, 1)),
         "many equal": container(stsz=u(0, 1, 4_000_000_000)), "huge table": container(stsz=u(0, 0, 4_000_000_000)), "outside": container(stco=u(0, 2, 8, 4_000_000)),
         "no chunks": container(stco=u(0, 0)), "run 0": container(stsc=u(0, 1, 0, 2, 1)), "huge run": container(stsc=u(0, 1, 1, 4_000_000_000, 1)), "no map": container(stsc=None),
-        "overlap": container(stsz=u(0, 60, 3), stco=u(0, 3, 8, 8, 8), stsc=u(0, 1, 1, 1, 1)), "deep": deep, "short": b"\0\0\0", "box": b"\0\0\xff\xffmoov", "empty": b"", "none": None,
+        "overlap": container(stsz=u(0, 50, 3), stco=u(0, 3, 8, 8, 8), stsc=u(0, 1, 1, 1, 1)), "deep": deep, "short": b"\0\0\0", "box": b"\0\0\xff\xffmoov", "empty": b"", "none": None,
         "offset": container(stco=None, co64=u(0, 2) + struct.pack(">QQ", 1 << 63, 8)),
     }
     df = spark.createDataFrame([(k, bytearray(v) if v is not None else None) for k, v in cases.items()], "name string, media binary")
@@ -218,7 +218,7 @@ def test_media_of_other_writers_and_malformed_ones(spark):
     data = cases["good"]
     assert (good.status, good.n_samples, good.duration, good.timescale) == ("ok", 3, 777, 90000)
     assert bytes(good.payload) == data[8:19] + data[40:47] and [(k.offset, k.size) for k in good.keyframes] == [(8, 5), (40, 7)]
-    fine = {"good", "huge run"}  # a run may hold more samples than there are
+    fine = {"good", "huge run", "overlap"}  # a run may hold more samples than there are; what samples share is bounded by the file
     assert got["none"].status == "null" and got["empty"].status == got["short"].status == "no track"
     assert all(got[k].status.startswith("malformed") and got[k].payload is None for k in cases if k not in fine | {"none", "empty", "short"})
 
