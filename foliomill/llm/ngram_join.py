@@ -53,7 +53,7 @@ SKETCH, SLICES, MATCHES = 1 << 23, 64, 8
 #: Slots of a bit set as a power of two; documents that an element may have to have its pairs listed.
 BITS, FEW = 26, 16
 #: Elements and documents in a block, on average; blocks of a cluster that share a salt.
-BLOCK, BLOCK_DOCS, SALTED = 1 << 16, 1024, 64
+BLOCK, BLOCK_DOCS, SALTED = 1 << 16, 2048, 64
 
 
 def _sums(owner: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
@@ -204,8 +204,8 @@ def _live_postings(firsts: DataFrame) -> DataFrame:
 def _links_between(ids: list, ats: list, sets: list, split: int, num: int, den: int) -> tuple[list[tuple[int, int]], np.ndarray]:
     """Links that join documents of two blocks (before and from split) or, with split 0, of one; and each document's number of all links between them.
 
-    Shared elements are counted by products of 0/1 matrices, 256 documents by a
-    block by 2,048 elements at a time, so memory is bounded whatever the block.
+    Shared elements are counted by products of 0/1 matrices, 2,048 elements at a
+    time; as a block's documents are bounded, so is the memory.
     """
     sizes = np.array([len(x) for x in sets])
     flat, of = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
@@ -214,7 +214,12 @@ def _links_between(ids: list, ats: list, sets: list, split: int, num: int, den:
     order = np.argsort(column[keep], kind="stable")
     of, column = of[keep][order], np.unique(column[keep][order], return_inverse=True)[1]
     lefts, first = split or len(sets), split  # documents to the left, and the first one to the right
-    slabs = range(0, int(column.max(initial=-1)) + 1, 2048)
+    common = np.zeros((lefts, len(sets) - first), np.float32)
+    for start in range(0, int(column.max(initial=-1)) + 1, 2048):
+        a, b = np.searchsorted(column, [start, start + 2048])
+        cells = np.zeros((len(sets), 2048), np.float32)
+        cells[of[a:b], column[a:b] - start] = 1
+        common += cells[:lefts] @ cells[first:].T
     degrees, root, out = np.zeros(len(sets), np.int64), {}, []
     at = np.array(ats, np.int64)
 
@@ -226,14 +231,7 @@ def _links_between(ids: list, ats: list, sets: list, split: int, num: int, den:
 
     for low in range(0, lefts, 256):
         high = min(low + 256, lefts)
-        common = np.zeros((high - low, len(sets) - first), np.float32)
-        for start in slabs:
-            a, b = np.searchsorted(column, [start, start + 2048])
-            cells = np.zeros((len(sets), 2048), np.float32)
-            cells[of[a:b], column[a:b] - start] = 1
-            if cells[low:high].any():
-                common += cells[low:high] @ cells[first:].T
-        shared = common.astype(np.int64)
+        shared = common[low:high].astype(np.int64)
         hits = shared * den >= (sizes[low:high, None] + sizes[None, first:] - shared) * num
         if not split:
             hits[np.arange(high - low), np.arange(low, high)] = False
