@@ -63,17 +63,17 @@ def scratch(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        _OPEN.remove(mine)
+        del _OPEN[next(i for i, x in enumerate(_OPEN) if x is mine)]
         for path in mine:
             remove(spark, path)
 
 
-def cut(df: DataFrame, name: str, compression: str | None = None, stays: bool = False) -> DataFrame:
+def cut(df: DataFrame, name: str, compression: str | None = None, stays: int = 0) -> DataFrame:
     """Write df to the shared folder and read it back.
 
     It ends the lineage, survives the loss of executors and gives the planner
     the real size of the table.  The files go with the innermost open
-    ``scratch`` (the one around it if the table ``stays``), else with the driver.
+    ``scratch`` (the one so many levels around it as the table ``stays``), else with the driver.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
