@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import bound_arrow_batches, cut, read_table
-from . import language_id, media, ngram_join, packing, quality, sharding, substring_dedup, token_planes, topk, trie_bpe
+from . import ann, fim, language_id, media, ngram_join, packing, quality, sharding, substring_dedup, token_planes, topk, trie_bpe, vector_codes
 
 
 def tokenizer_path(name: str) -> str:
@@ -102,10 +104,34 @@ def op10_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bound_arrow_batches(spark)
+    made = fim.fill_in_middle(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    hashed = made.withColumn("output_sha256", F.sha2(F.col("output").cast("binary"), 256))
+    back = fim.restore(hashed)
+    return back.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", F.sha2(F.col("restored").cast("binary"), 256).alias("restored_sha256"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bound_arrow_batches(spark)
+    codes = vector_codes.compress(read_table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding"))
+    digest = hashlib.sha256(",".join(map(str, codes.books.ravel().tolist())).encode()).hexdigest()
+    labels = cut(codes.rows.groupBy(F.col("label").alias("label_")).agg(F.try_sum("error").alias("label_error")), "label-errors")
+    found = codes.rows.join(labels, F.col("label").eqNullSafe(F.col("label_")))
+    return found.select("vec_id", "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+
+
+def op13_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bound_arrow_batches(spark)
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
 def queries() -> dict:
     named = (
         op1_substring_dedup, op2_ngram_jaccard_join, op3_language_id, op4_token_planes, op5_media_columns,
         op6_exact_topk, op7_packing, op8_sharding, op9_quality_classifier, op10_trie_bpe,
+        op11_fill_in_middle, op12_vector_codes, op13_posting_lists,
     )
     return {f.__name__: f for f in named}
 
