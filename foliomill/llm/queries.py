@@ -144,6 +144,36 @@ TOP_K = """WITH v AS (
  QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5"""
 
 
+FILL_IN_MIDDLE = """WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256(concat('1:', doc_id)) AS h FROM documents),
+ g AS (SELECT *, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2, ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM d),
+ c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM g),
+ p AS (SELECT *, substr(t, 1, a) AS prefix, substr(t, a + 1, b - a) AS middle, substr(t, b + 1) AS suffix FROM c)
+ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN concat('<P>', prefix, '<S>', suffix, '<M>', middle) ELSE concat('<S>', suffix, '<P>', prefix, '<M>', middle) END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM p"""
+
+
+def _vector_codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """A pair of tables for each round: the parts' nearest entries, and the entries that follow from them."""
+    steps = [
+        """v AS MATERIALIZED (SELECT vec_id, label, row_number() OVER (ORDER BY vec_id NULLS LAST) AS rn, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+ FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"x AS MATERIALIZED (SELECT rn, p, list_slice(e, p * (len(e) // {parts}) + 1, (p + 1) * (len(e) // {parts})) AS y FROM v, range({parts}) AS r(p))",
+        f"c0 AS MATERIALIZED (SELECT p, rn - 1 AS j, y AS z FROM x WHERE rn <= {entries})",
+    ]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (SELECT rn, p, any_value(y) AS y, min({{'d': list_sum(list_transform(range(1, len(y) + 1), lambda k: (y[k] - z[k]) * (y[k] - z[k])))::BIGINT, 'j': j}}) AS near
+ FROM x JOIN c{i} USING (p) GROUP BY rn, p)""")
+        if i < rounds:
+            steps.append(f"""c{i + 1} AS MATERIALIZED (SELECT c.p, c.j, coalesce(m.z, c.z) AS z FROM c{i} c LEFT JOIN (SELECT p, j, list(CAST(floor(s / n) AS BIGINT) ORDER BY k) AS z
+ FROM (SELECT p, near.j AS j, k, sum(y[k]) AS s, count(*) AS n FROM a{i}, LATERAL (SELECT unnest(range(1, len(y) + 1)) AS k) GROUP BY ALL) GROUP BY p, j) m ON c.p = m.p AND c.j = m.j)""")
+    return f"""WITH {", ".join(steps)},
+ f AS (SELECT rn, string_agg(printf('%02x', near.j), '' ORDER BY p) AS code, CAST(sum(near.d) AS BIGINT) AS error FROM a{rounds} GROUP BY rn),
+ b AS (SELECT sha256(string_agg(array_to_string(z, ','), ',' ORDER BY p, j)) AS codebooks_sha256 FROM c{rounds})
+ SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM v JOIN f USING (rn), b"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL; the other operators rest on hashes, tokenizers or models that SQL lacks."""
-    return {"op6_exact_topk": TOP_K}
+    return {"op6_exact_topk": TOP_K, "op11_fill_in_middle": FILL_IN_MIDDLE, "op12_vector_codes": _vector_codes_sql()}
