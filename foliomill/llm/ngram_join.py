@@ -12,11 +12,14 @@ prefixes share at least the smaller of its two m.
 2. Prefix elements found in a single class are dropped.
 3. Each document is verified against the least document that holds most of its
    prefix elements; links join components.
-4. Components that meet in frequent prefix elements are one cluster.  Its
-   documents are dealt into blocks by size; two blocks are compared in one row,
-   which counts each document's links and gives back no more links than join
-   their documents.  Pairs of blocks are listed by number, salted, before the
-   sets are brought to them, so a cluster of any size spreads over all tasks.
+4. Components that meet in frequent prefix elements are one cluster, where the
+   elements can be the first that linked sets share: what follows them in both
+   sets must be enough for a link.  Documents of a cluster are dealt into blocks
+   by size; two blocks are compared in one row, which counts each document's
+   links and gives back no more links than join their documents.  Pairs of
+   blocks are listed by number, salted, before the sets are brought to them, so a
+   cluster of any size spreads over all tasks.  A large cluster whose elements
+   have few documents each falls into one cluster for each element.
 5. Pairs of different clusters that meet in a prefix element of few documents
    are counted, verified if they share enough, and linked.
 
@@ -40,7 +43,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut, scratch
@@ -184,7 +187,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, width: int, num: int, den: int,
 
 
 def _live_postings(firsts: DataFrame) -> DataFrame:
-    """element, id, n, m of the prefix elements that at least two documents hold."""
+    """element, id, n, m and p (its place in the prefix) of the prefix elements that at least two documents hold."""
     counted = firsts.select(F.explode("prefix").alias("element")).groupBy("element").agg(F.count("*").alias("df"))
     live = cut(counted.where("df > 1"), "elements")
     shared = firsts.sparkSession.sparkContext.broadcast(bitset.make(live, F.col("element"), BITS))
@@ -196,30 +199,101 @@ def _live_postings(firsts: DataFrame) -> DataFrame:
             flat = lists.flatten().to_numpy()
             hit = bitset.holds(shared.value, flat)
             row = pa.array(np.repeat(np.arange(len(sizes)), sizes)[hit])
-            yield pa.RecordBatch.from_arrays([pa.array(flat[hit]), *[batch.column(c).take(row) for c in range(3)]], ["element", "id", "n", "m"])
+            place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            yield pa.RecordBatch.from_arrays([pa.array(flat[hit]), *[batch.column(c).take(row) for c in range(3)], pa.array(place[hit])], ["element", "id", "n", "m", "p"])
 
-    return firsts.select("id", "n", "m", "prefix").mapInArrow(keep, "element long, id long, n long, m int").join(live, "element")
+    return firsts.select("id", "n", "m", "prefix").mapInArrow(keep, "element long, id long, n long, m int, p long").join(live, "element")
 
 
-def _links_between(ids: list, ats: list, sets: list, split: int, num: int, den: int) -> tuple[list[tuple[int, int]], np.ndarray]:
+def _fine(n: str = "n") -> Column:
+    """Sizes of about one number: exact below 64, then in steps of a fiftieth."""
+    return F.when(F.col(n) < 64, F.col(n)).otherwise(64 + F.floor(F.log(F.col(n).cast("double")) * 50)).cast("long")
+
+
+def _fit_first(postings: DataFrame, by: list[str], num: int, den: int) -> DataFrame:
+    """The postings (by, n, p) that can be the first element, among those of one ``by``, that two linked documents share.
+
+    Elements after place p of a set of n are n - p - 1, so a first shared one
+    leaves at most the smaller n - p shared.  Postings of about one size
+    (``fine``) are taken together, by their least size and greatest n - p, so an
+    element of any number of documents has few rows here.
+    """
+    rows = postings.withColumn("fine", _fine())
+    sized = rows.groupBy(*by, "fine").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(F.col("n") - F.col("p")).alias("rest"), F.count("*").alias("rows"))
+    band = F.floor(F.log(F.col("lo").cast("double")) / float(np.log(den / num))).cast("int")
+    left = cut(sized.withColumn("band", band), "posting-sizes")
+    right = left.select(*by, F.explode(F.sequence(F.col("band") - 2, F.col("band") + 2)).alias("band"), *[F.col(c).alias(f"{c}_") for c in ("fine", "lo", "hi", "rest")])
+    near = F.least("hi", "hi_") * den >= F.greatest("lo", "lo_") * num
+    enough = F.least("rest", "rest_") * (num + den) >= (F.col("lo") + F.col("lo_")) * num
+    two = (F.col("fine") != F.col("fine_")) | (F.col("rows") > 1)
+    fit = left.join(right, [*by, "band"]).where(near & enough & two).select(*by, "fine").distinct()
+    return rows.join(cut(fit, "first-elements"), [*by, "fine"], "left_semi").drop("fine")
+
+
+def _shared(column: np.ndarray, of: np.ndarray, lefts: int, first: int, n: int) -> np.ndarray:
+    """How many columns each document before ``lefts`` shares with each from ``first``; column and of are (column, document), ordered.
+
+    Columns of many documents are counted by products of 0/1 matrices, 2,048 at a
+    time; those of few by their pairs.
+    """
+    starts = np.flatnonzero(np.diff(column, prepend=-1))
+    at = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(column))))
+    left, right = (np.bincount(at[side], minlength=len(starts)) for side in (of < lefts, of >= first))
+    rights = n - first
+    pairs = left * right
+    dense = pairs * 48 > lefts * rights
+    common = np.zeros((lefts, rights), np.float32)
+    number = np.cumsum(dense) - 1
+    big = dense[at]
+    row, col = of[big], number[at[big]]
+    for low in range(0, int(dense.sum()), 2048):
+        a, b = np.searchsorted(col, [low, low + 2048])
+        cells = np.zeros((n, min(2048, int(dense.sum()) - low)), np.float32)
+        cells[row[a:b], col[a:b] - low] = 1
+        common += cells[:lefts] @ cells[first:].T
+    few = np.flatnonzero(~dense & (pairs > 0))
+    flat = common.ravel()
+    steps = np.append(0, np.cumsum(pairs[few]))
+    for low in np.searchsorted(steps, range(0, int(steps[-1]), 1 << 20)).tolist() if len(few) else []:
+        part = few[low : np.searchsorted(steps, steps[low] + (1 << 20))] if low < len(few) else few[:0]
+        if not len(part):
+            continue
+        chosen = np.zeros(len(starts), bool)
+        chosen[part] = True
+        inside = chosen[at]
+        who, group = of[inside], at[inside]
+        x, gx = who[who < lefts], group[who < lefts]
+        y, gy = who[who >= first], group[who >= first]
+        times = right[gx]
+        place = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
+        flat += np.bincount(np.repeat(x, times) * rights + y[np.repeat(np.searchsorted(gy, gx), times) + place] - first, minlength=len(flat)).astype(np.float32)
+    return common
+
+
+def _columns(sets: list[np.ndarray], split: int) -> tuple[np.ndarray, np.ndarray]:
+    """(column, document), ordered, of the elements that could be shared: two documents hold them, one on each side if there are two."""
+    flat, of = np.concatenate(sets) if sets else np.zeros(0, np.int64), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    order = np.argsort(flat, kind="stable")
+    flat, of = flat[order], of[order]
+    starts = np.flatnonzero(np.diff(flat, prepend=flat[:1] - 1) != 0) if len(flat) else np.zeros(0, np.int64)
+    column = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(flat))))
+    left = np.bincount(column[of < split], minlength=len(starts)) if split else np.bincount(column, minlength=len(starts)) - 1
+    keep = (left > 0) & (np.bincount(column[of >= split], minlength=len(starts)) > 0)
+    return column[keep[column]], of[keep[column]]
+
+
+def _links_between(ids: list, ats: list, sets: list, split: int, num: int, den: int, lives: list | None = None, element: int = 0) -> tuple[list[tuple[int, int]], np.ndarray]:
     """Links that join documents of two blocks (before and from split) or, with split 0, of one; and each document's number of all links between them.
 
-    Shared elements are counted by products of 0/1 matrices, 2,048 elements at a
-    time; as a block's documents are bounded, so is the memory.
+    With lives (each document's elements that have blocks of their own) pairs
+    that share one below ``element`` are left out: they are met there.
     """
     sizes = np.array([len(x) for x in sets])
-    flat, of = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
-    _, column, often = np.unique(flat, return_inverse=True, return_counts=True)
-    keep = often[column] > 1
-    order = np.argsort(column[keep], kind="stable")
-    of, column = of[keep][order], np.unique(column[keep][order], return_inverse=True)[1]
     lefts, first = split or len(sets), split  # documents to the left, and the first one to the right
-    common = np.zeros((lefts, len(sets) - first), np.float32)
-    for start in range(0, int(column.max(initial=-1)) + 1, 2048):
-        a, b = np.searchsorted(column, [start, start + 2048])
-        cells = np.zeros((len(sets), 2048), np.float32)
-        cells[of[a:b], column[a:b] - start] = 1
-        common += cells[:lefts] @ cells[first:].T
+    common = _shared(*_columns(sets, split), lefts, first, len(sets))
+    if lives is not None:
+        before = _shared(*_columns([x[x < element] for x in lives], split), lefts, first, len(sets))
+        common[before > 0] = -1
     degrees, root, out = np.zeros(len(sets), np.int64), {}, []
     at = np.array(ats, np.int64)
 
@@ -232,7 +306,7 @@ def _links_between(ids: list, ats: list, sets: list, split: int, num: int, den:
     for low in range(0, lefts, 256):
         high = min(low + 256, lefts)
         shared = common[low:high].astype(np.int64)
-        hits = shared * den >= (sizes[low:high, None] + sizes[None, first:] - shared) * num
+        hits = (shared >= 0) & (shared * den >= (sizes[low:high, None] + sizes[None, first:] - shared) * num)
         if not split:
             hits[np.arange(high - low), np.arange(low, high)] = False
         degrees[low:high] += hits.sum(axis=1)
@@ -248,7 +322,7 @@ def _links_between(ids: list, ats: list, sets: list, split: int, num: int, den:
 
 
 def _block_links(members: DataFrame, docs: DataFrame, width: int, num: int, den: int, key: str, text: str) -> DataFrame:
-    """Links (a, b) between the documents (cluster, id, n, at) of each cluster, that join different components (at).
+    """Links (a, b) between the documents (cluster, id, n, at, element, lives) of each cluster, that join different components (at).
 
     And rows with a null b: a document's number of links, in parts to be added up.
     Blocks hold documents of one cluster and one band of sizes, with about BLOCK
@@ -258,9 +332,9 @@ def _block_links(members: DataFrame, docs: DataFrame, width: int, num: int, den:
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(den / num)) + 1e-9).cast("int")
     banded = members.withColumn("band", band)
     deals = banded.groupBy("cluster", "band").agg(F.ceil(F.greatest(F.sum("n") / BLOCK, F.count("*") / BLOCK_DOCS)).alias("deals"))
-    sets = _sets(docs, members.select("id"), width, key, text)
+    sets = _sets(docs, members.select("id").distinct(), width, key, text)
     dealt = banded.join(deals, ["cluster", "band"]).withColumn("deal", F.pmod(F.xxhash64("id"), F.col("deals")))
-    packed = dealt.join(sets, "id").groupBy("cluster", "band", "deal").agg(F.collect_list(F.struct("id", "at", "elements")).alias("x"))
+    packed = dealt.join(sets, "id").groupBy("cluster", "band", "deal").agg(F.collect_list(F.struct("id", "at", "elements", "lives")).alias("x"), F.first("element").alias("element"))
     packed = cut(packed, "blocks")
     place = ["cluster", "band", "deal"]
     every = packed.select(*place)
@@ -284,10 +358,11 @@ def _block_links(members: DataFrame, docs: DataFrame, width: int, num: int, den:
 
         for batch in batches:
             for i in range(batch.num_rows):
-                sides = [column[i].values for column in batch.columns]
+                sides = [batch.column(0)[i].as_py(), *[column[i].values for column in batch.columns[1:]]]
+                element = sides.pop(0)
                 ids, ats = ([v for side in sides for v in side.field(f).to_pylist()] for f in (0, 1))
-                sets = [np.array(v.values, np.int64) for side in sides for v in side.field(2)]
-                found, degrees = _links_between(ids, ats, sets, len(sides[0]) if len(sides) > 1 else 0, num, den)
+                sets, lives = ([np.array(v.values, np.int64) for side in sides for v in side.field(f)] for f in (2, 3))
+                found, degrees = _links_between(ids, ats, sets, len(sides[0]) if len(sides) > 1 else 0, num, den, *((lives, element) if element is not None else ()))
                 for k in np.flatnonzero(degrees).tolist():
                     total[ids[k]] = total.get(ids[k], 0) + int(degrees[k])
                 if found:
@@ -297,7 +372,32 @@ def _block_links(members: DataFrame, docs: DataFrame, width: int, num: int, den:
         yield counts()
 
     schema = "a long, b long, links long"
-    return cut(packed.select("x").mapInArrow(compare, schema).unionByName(both.select("x", "y").mapInArrow(compare, schema)), "block-links")
+    return cut(packed.select("element", "x").mapInArrow(compare, schema).unionByName(both.select("element", "x", "y").mapInArrow(compare, schema)), "block-links")
+
+
+def _by_element(members: DataFrame, placed: DataFrame, num: int, den: int) -> DataFrame:
+    """members (cluster, id, n, at) with element and lives, for the block step.
+
+    All documents of a cluster are compared (element is null), unless comparing
+    those that share an element, for each element by itself, is far less: the
+    cluster falls into one for each element.  A document is in several then, and
+    a pair counts where its least common element is.
+    """
+    large = members.groupBy("cluster").agg(F.count("*").alias("docs"), F.sum("n").alias("elements")).where(F.col("docs") > 2 * BLOCK_DOCS)
+    large = cut(large, "large-clusters")
+    plain = members.select("cluster", "id", "n", "at", F.lit(None).cast("long").alias("element"), F.array().cast("array<long>").alias("lives"))
+    if large.isEmpty():
+        return plain
+    inside = placed.select("element", "id", "n", "p", "at").join(members.join(large, "cluster").select("id", "cluster"), "id")
+    inside = cut(_fit_first(inside, ["cluster", "element"], num, den), "large-postings")
+    held = inside.groupBy("cluster", "element").agg(F.count("*").cast("double").alias("docs_"), F.sum("n").alias("elements_"))
+    cost = held.groupBy("cluster").agg(F.sum(F.col("docs_") * F.col("docs_")).alias("pairs"), F.sum("elements_").alias("moved"))
+    less = (F.col("pairs") * 4 < F.col("docs").cast("double") * F.col("docs")) & (F.col("moved") < F.col("elements") * (F.col("docs") / BLOCK_DOCS))
+    apart = cut(large.join(cost, "cluster").where(less).select("cluster"), "clusters-by-element")
+    shared = cut(inside.join(apart, "cluster", "left_semi").join(held.where("docs_ > 1").select("cluster", "element"), ["cluster", "element"]), "element-members")
+    lives = shared.groupBy("id").agg(F.collect_list("element").alias("lives"))
+    split = shared.join(lives, "id").select(F.xxhash64("cluster", "element").alias("cluster"), "id", "n", "at", "element", "lives")
+    return cut(plain.join(apart, "cluster", "left_anti").unionByName(split), "members-by-element")
 
 
 def near_duplicates(docs: DataFrame, width: int, num: int, den: int, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -354,26 +454,34 @@ def _near_duplicates(docs: DataFrame, width: int, num: int, den: int, key: str =
     links = _verified(tried, docs, width, num, den, key, text)
     found = cut(connected_components(links), "components")
 
-    placed = postings.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("at", F.coalesce("component", "id")).select("element", "id", "n", "m", "at")
+    placed = postings.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("at", F.coalesce("component", "id")).select("element", "id", "n", "m", "p", "at")
     placed = cut(placed, "placed")
     open_ = cut(placed.groupBy("element").agg(F.min("at").alias("lo"), F.max("at").alias("hi"), F.count("*").alias("df")).where("lo < hi").select("element", "lo", "df"), "open")
     rest = cut(placed.join(open_, "element"), "open-postings")
 
-    # frequent elements: components that meet in one are of one cluster
-    often = rest.where(F.col("df") > FEW)
-    joined = connected_components(often.where("at <> lo").select(F.col("at").alias("a"), F.col("lo").alias("b")).distinct())
+    # frequent elements: components that meet in one are of one cluster, where it can be the first that links share
+    frequent = rest.where(F.col("df") > FEW)
+    often = cut(_fit_first(frequent, ["element"], num, den), "often")
+    held = often.groupBy("id").agg(F.count("*").alias("live"))
+    loose = frequent.groupBy("id").agg(F.count("*").alias("freq")).join(held, "id", "left")
+    loose = cut(loose.select("id", "freq", (F.col("freq") - F.coalesce("live", F.lit(0))).alias("dead")).where("dead > 0"), "dead-elements")
+    lows = often.groupBy("element").agg(F.min("at").alias("low"))
+    joined = connected_components(often.join(lows, "element").where("at <> low").select(F.col("at").alias("a"), F.col("low").alias("b")).distinct())
     cluster = cut(joined.select(F.col("node").alias("at"), F.col("component").alias("cluster")), "clusters")
     linked = placed.join(found.select(F.col("node").alias("id")), "id", "left_semi").select("id", "n", "at")
     members = often.select("id", "n", "at").unionByName(linked).distinct().join(cluster, "at", "left")
     members = cut(members.select(F.coalesce("cluster", "at").alias("cluster"), "id", "n", "at"), "members")
-    blocked = _block_links(members, docs, width, num, den, key, text)
+    blocked = _block_links(_by_element(members, placed, num, den), docs, width, num, den, key, text)
 
     # rare ones: their pairs are few
-    few = rest.where(F.col("df") <= FEW).join(members.select("id", "cluster"), "id", "left").select("element", "id", "n", "m", "at", "cluster")
-    other = few.select("element", *[F.col(c).alias(f"{c}_") for c in ("id", "n", "m", "at", "cluster")])
+    few = rest.where(F.col("df") <= FEW).join(members.select("id", "cluster"), "id", "left").join(loose, "id", "left")
+    few = few.select("element", "id", "n", "m", "at", "cluster", F.coalesce("freq", F.lit(0)).alias("freq"), F.coalesce("dead", F.lit(0)).alias("dead"))
+    other = few.select("element", *[F.col(c).alias(f"{c}_") for c in ("id", "n", "m", "at", "cluster", "freq", "dead")])
     apart = (F.col("at") != F.col("at_")) & ~F.coalesce(F.col("cluster") == F.col("cluster_"), F.lit(False))
     pairs = few.join(other, "element").where((F.col("id") < F.col("id_")) & apart & fits(F.col("n"), F.col("n_")))
-    enough = pairs.groupBy(F.col("id").alias("a"), F.col("id_").alias("b")).agg(F.count("*").alias("shared"), F.min(F.least("m", "m_")).alias("asked"))
+    # they may share frequent elements that are in no cluster of theirs: no more than one of them has dead
+    unseen = F.least("freq", "freq_", F.col("dead") + F.col("dead_"))
+    enough = pairs.groupBy(F.col("id").alias("a"), F.col("id_").alias("b")).agg((F.count("*") + F.max(unseen)).alias("shared"), F.min(F.least("m", "m_")).alias("asked"))
     asked = cut(enough.where("shared >= asked").select("a", "b").join(tried, ["a", "b"], "left_anti"), "pairs")
     apart_links = _verified(asked.select("a", "b"), docs, width, num, den, key, text)
     links = cut(links.unionByName(blocked.where("b is not null").select("a", "b")).unionByName(apart_links), "all-links")
