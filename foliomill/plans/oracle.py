@@ -151,6 +151,11 @@ EXTRACTION = f"WITH {RECORDS}, {TOTALS} " + " UNION ALL ".join(
 )
 CANDIDATES = f"""{GRID}, cand AS (SELECT l_orderkey, l_orderkey // 4 AS doc_id, CASE WHEN l_orderkey % 2 = 1 AND l_orderkey % 3 = 0 THEN 'strict' ELSE 'loose' END AS mode, grid, (l_orderkey % 10 * 1000) / 10000 AS area FROM grids)"""
 
+#: Terms of the documents (without Chinese) with their places, and those of the first n words of each item.
+TERMS = """t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS term, generate_subscripts(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+'), 1) AS pos FROM documents)"""
+ASKED = """q0 AS (SELECT item_id AS query_id, list_slice(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+'), 1, {n}) AS ws FROM benchmark),
+ q AS (SELECT query_id, len(ws) AS of, unnest(ws) AS term, generate_subscripts(ws, 1) AS slot FROM q0)"""
+
 SQL = {
     "outline_first": f"WITH {LABELS} SELECT doc_id, label, page FROM outline",
     "line_explode": f"WITH {LINES} SELECT doc_id, CAST(i AS INT) AS pos, raw AS line FROM lines WHERE NOT (raw = '' AND i = (SELECT max(i) FROM lines l WHERE l.doc_id = lines.doc_id))",
@@ -259,6 +264,14 @@ SQL = {
     "dead_links": """SELECT doc_id AS norm, 'i-index.md' AS index_path, 'b/c.md' AS target FROM documents WHERE doc_id % 2 = 1 UNION ALL SELECT doc_id, 'i-index.md', 'd' || doc_id || '.md' FROM documents WHERE doc_id % 3 <> 0""",
     "missing_references": "SELECT DISTINCT source, lang AS norm FROM documents WHERE lang IS NOT NULL AND source IS NOT NULL AND source <> lang AND lang <> 'en'",
     "citation_targets": f"""WITH {LABELS}, c AS (SELECT doc_id, '第 ' || (pos // 4) || ' 条' AS article, pos FROM reg WHERE pos % 4 = 0 AND pos < 400) SELECT '规范' || c.doc_id AS norm, article, c.pos, o.page FROM c LEFT JOIN outline o ON o.doc_id = c.doc_id AND o.label = article""",
+    "index_terms": f"WITH {TERMS} SELECT term, count(DISTINCT doc_id) AS docs, count(*) AS hits FROM t GROUP BY term",
+    "index_search": f"""WITH {TERMS}, {ASKED.format(n=5)}, tf AS (SELECT doc_id, term, count(*) AS n FROM t GROUP BY ALL), df AS (SELECT term, count(*) AS df FROM tf GROUP BY term)
+ SELECT query_id, doc_id, CAST(sum(n) AS BIGINT) AS hits, round(sum(n * ln(1 + (SELECT CAST(count(*) AS DOUBLE) FROM documents WHERE text IS NOT NULL) / df)), 6) AS score
+ FROM q JOIN tf USING (term) JOIN df USING (term) GROUP BY query_id, doc_id, of HAVING count(*) = of""",
+    "index_phrases": f"""WITH {TERMS}, {ASKED.format(n=3)}, df AS (SELECT term, count(DISTINCT doc_id) AS df FROM t GROUP BY term),
+ w AS (SELECT query_id, sum(ln(1 + (SELECT CAST(count(*) AS DOUBLE) FROM documents WHERE text IS NOT NULL) / df)) AS weight FROM q JOIN df USING (term) GROUP BY query_id),
+ m AS (SELECT query_id, doc_id, pos - slot AS start FROM q JOIN t USING (term) GROUP BY query_id, doc_id, pos - slot, of HAVING count(DISTINCT slot) = of)
+ SELECT query_id, doc_id, count(*) AS hits, round(count(*) * any_value(weight), 6) AS score FROM m JOIN w USING (query_id) GROUP BY query_id, doc_id""",
     "keyword_search": "SELECT doc_id, CAST((length(text) - length(replace(text, 'the', ''))) / 3 + (length(text) - length(replace(text, 'and', ''))) / 3 AS INT) AS hits FROM documents WHERE contains(text, 'the') AND contains(text, 'and')",
     "norm_anti": "SELECT DISTINCT lang || '-' || doc_id AS norm FROM labels JOIN documents USING (doc_id) WHERE lang IS NOT NULL AND lang || '-' || doc_id NOT IN (SELECT lang || '-' || doc_id FROM labels JOIN documents USING (doc_id) WHERE lang IS NOT NULL AND toxic = 1)",
     "modal_cols": f"""WITH {GRID}, c AS (SELECT list_transform(grid, lambda r: len(r)) AS c FROM grids) SELECT CAST(list_sort(list_transform(list_distinct(c), lambda n: {{'a': -len(list_filter(c, lambda x: x = n)), 'n': n}}))[1].n AS INT) AS cols, count(*) AS n FROM c GROUP BY 1""",

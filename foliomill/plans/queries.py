@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -10,8 +11,8 @@ from pyspark.sql import functions as F
 from ..functions import patterns as P
 from ..functions import predicates as Q
 from ..functions import text as T
-from ..operators import chunk, driver, integrity, layout, lines, mask, models, outline, qa, report, rules, split, structure
-from ..session import read_table
+from ..operators import chunk, driver, integrity, layout, lines, mask, models, outline, postings, qa, report, rules, split, structure
+from ..session import read_table, remove_at_end, shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -578,6 +579,42 @@ def citation_targets(spark, d):
     return integrity.resolve_citations(cited, pages)
 
 
+def stored_index(spark: SparkSession, d: str) -> str:
+    """The folder of an inverted index of the documents: those of even numbers first, the others appended."""
+    path = f"{shared_dir(spark)}/index-{uuid.uuid4().hex}"
+    docs = documents(spark, d)
+    postings.add(docs.where("doc_id % 2 = 0"), path)
+    postings.add(docs, path)
+    remove_at_end(spark, path)
+    return path
+
+
+def first_words(spark: SparkSession, d: str, n: int) -> DataFrame:
+    """Queries of the first words of each benchmark item."""
+    items = read_table(spark, d, "benchmark")
+    return items.select(F.col("item_id").alias("query_id"), F.array_join(F.slice(F.regexp_extract_all("text", F.lit(r"[\p{L}\p{N}]+"), F.lit(0)), 1, n), " ").alias("text"))
+
+
+@query
+def index_terms(spark, d):
+    """Every term of the stored index, how many documents hold it and how often."""
+    return postings.term_counts(spark, stored_index(spark, d))
+
+
+@query
+def index_search(spark, d):
+    """Documents with all of the first five words of a benchmark item."""
+    found = postings.search(spark, stored_index(spark, d), first_words(spark, d, 5))
+    return found.select("query_id", F.col("key").alias("doc_id"), "hits", F.round("score", 6).alias("score"))
+
+
+@query
+def index_phrases(spark, d):
+    """Documents where the first three words of a benchmark item follow each other."""
+    found = postings.search(spark, stored_index(spark, d), first_words(spark, d, 3), phrase=True)
+    return found.select("query_id", F.col("key").alias("doc_id"), "hits", F.round("score", 6).alias("score"))
+
+
 @query
 def keyword_search(spark, d):
     return integrity.keyword_search(documents(spark, d), ["the", "and"])
