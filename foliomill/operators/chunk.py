@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import re
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from ..functions import patterns as P
 from ..functions import text as T
 from . import mask as M
 
-CUT = "\x01"
+GAPS = re.compile(r"\n{2,}")
+#: Text up to and with a page marker, or what is left after the last.
+PIECE = rf"(?U)[\s\S]*?{P.PAGE_END}|[\s\S]+"
 
 
 def page_pieces(docs: DataFrame, text: str = "text", out: str = "pieces") -> DataFrame:
@@ -18,7 +25,7 @@ def page_pieces(docs: DataFrame, text: str = "text", out: str = "pieces") -> Dat
     ``page_no`` is the marker before the piece (null for the first), ``page`` its
     own; a blank tail goes.
     """
-    parts = F.split(F.regexp_replace(text, F.lit("(?U)" + P.PAGE_END), F.lit("$0" + CUT)), CUT, -1)
+    parts = F.regexp_extract_all(text, F.lit(PIECE), F.lit(0))
     own = F.transform(parts, lambda x: F.struct(F.try_element_at(F.regexp_extract_all(x, F.lit("(?U)" + P.PAGE_END), F.lit(1)), F.lit(-1)).alias("page"), x.alias("text")))
     d = docs.withColumn("_parts", F.transform(own, lambda x: F.struct(T.number(x["page"]).alias("page"), x["text"].alias("text"))))
     every = F.col("_parts")
@@ -26,30 +33,37 @@ def page_pieces(docs: DataFrame, text: str = "text", out: str = "pieces") -> Dat
     return d.withColumn(out, F.filter(pieces, lambda p: p["page"].isNotNull() | (T.strip(p["text"]) != ""))).drop("_parts")
 
 
-def _hard_cut(c: Column, most: int) -> Column:
-    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(c)), F.lit(most))
-    return F.transform(starts, lambda s: F.substr(c, s, F.lit(most)))
+@F.pandas_udf(ArrayType(StringType()))
+def _greedy_chunks(texts: pd.Series, most: pd.Series) -> pd.Series:
+    """Paragraphs packed greedily: from each start on, the running sum of lengths says how far a chunk reaches."""
+
+    def chunks(text: str, limit: int) -> list[str]:
+        ends = np.array([x for m in GAPS.finditer(text) for x in m.span()] + [len(text)], np.int64)
+        ends = np.unique(ends[ends > 0])
+        out, at = [], 0
+        while at < len(text):
+            reach = int(np.searchsorted(ends, at + limit, side="right")) - 1
+            if reach >= 0 and ends[reach] > at:
+                out.append(text[at : ends[reach]])
+                at = int(ends[reach])
+            else:  # a paragraph beyond the limit is cut
+                end = int(ends[reach + 1])
+                out += [text[i : min(i + limit, end)] for i in range(at, end, limit)]
+                at = end
+        return out
+
+    return pd.Series([None if x is None else chunks(x, int(m)) for x, m in zip(texts, most, strict=True)])
 
 
 def split_by_size(text: Column, most: int = P.CHUNK_CHARS) -> Column:
     """Paragraphs packed greedily into strings of at most ``most`` characters; longer ones are cut.
 
-    The fill of the open chunk depends on all before it, so this is a fold.
+    Where a chunk begins depends on all chunks before it, which built-in folds
+    can only follow by copying what they have; so texts beyond one chunk, and
+    they alone, go through Python, in time linear in their length.
     """
-    atoms = F.regexp_extract_all(text, F.lit(r"\n{2,}|(?:(?!\n{2})[\s\S])+"), F.lit(0))
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"))
-
-    def step(a: Column, x: Column) -> Column:
-        flushed = F.when(a["open"] == "", a["done"]).otherwise(F.array_append(a["done"], a["open"]))
-        fits = F.length(a["open"]) + F.length(x) <= most
-        cut = F.concat(flushed, _hard_cut(x, most))
-        return F.struct(
-            F.when(fits, a["done"]).when(F.length(x) > most, cut).otherwise(flushed).alias("done"),
-            F.when(fits, F.concat(a["open"], x)).when(F.length(x) > most, F.lit("")).otherwise(x).alias("open"),
-        )
-
-    folded = F.aggregate(atoms, start, step, lambda a: F.when(a["open"] == "", a["done"]).otherwise(F.array_append(a["done"], a["open"])))
-    return F.when(F.length(text) <= most, F.array(text)).otherwise(folded)
+    short = F.length(text) <= most
+    return F.when(short, F.array(text)).otherwise(_greedy_chunks(F.when(~short, text), F.lit(most)))
 
 
 def chunk_documents(docs: DataFrame, most: int = P.CHUNK_CHARS, key: str = "doc_id", text: str = "text", mask_first: bool = False) -> DataFrame:

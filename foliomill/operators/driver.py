@@ -11,7 +11,8 @@ from ..functions import patterns as P
 from ..functions import predicates as Q
 from ..functions import text as T
 from ..session import cut
-from . import chunk, lines, models, outline, rules, split, structure
+from . import chunk, keys, lines, models, outline, rules, split, structure
+from .intervals import interval_join
 
 SEGMENT = ["doc_id", "chapter_id", "group_no"]
 
@@ -48,8 +49,10 @@ def split_documents(docs: DataFrame, most_pages: int = 2) -> tuple[DataFrame, Da
     end_page, is_table, text, index_text.  Indexes: doc_id, path, text and the
     figures of the run: chapters, files, src_lines, body_lines.  Text parts after
     the first of their piece begin with the segment's heading.  Tables keep the
-    short lines above them and are listed by their label.
+    short lines above them and are listed by their label.  Rows of equal or null
+    doc_ids are documents of their own; equal names give equal paths.
     """
+    docs, names = keys.numbered(docs.select("doc_id", "name", "text"))
     placed = cut(segment_lines(docs), "segment-lines")  # read several times below
     files = split.split_chunks(placed, SEGMENT, most_pages, preambles=True)
     spans = split.table_spans(placed, "doc_id").select("doc_id", "end_pos", F.lit(True).alias("is_table"), "label")
@@ -61,7 +64,7 @@ def split_documents(docs: DataFrame, most_pages: int = 2) -> tuple[DataFrame, Da
     files = cut(files, "body-files")
 
     at = files.select(*SEGMENT, "file", "start_pos", "end_pos", "is_table", "range_no", F.col("heading").alias("_heading"))
-    inside = placed.select(*SEGMENT, "pos", "line", "page").join(at, SEGMENT).where("pos between start_pos and end_pos")
+    inside = interval_join(placed.select(*SEGMENT, "pos", "line", "page"), at, SEGMENT, "pos", "start_pos", "end_pos")
     shown = inside.groupBy("file").agg(F.array_sort(F.collect_list(F.struct("pos", split.render_line(F.col("line")).alias("l")))).alias("x"), F.first("_heading").alias("h"), F.first("range_no").alias("n"), F.first("is_table").alias("t"))
     body = F.transform("x", lambda x: x["l"])
     body = F.when(~F.col("t") & (F.col("n") > 1) & F.col("h").isNotNull(), F.concat(F.array(split.render_line(F.col("h")), F.lit("")), body)).otherwise(body)
@@ -93,7 +96,7 @@ def split_documents(docs: DataFrame, most_pages: int = 2) -> tuple[DataFrame, Da
         F.size(chapters).alias("chapters"), F.size(listed).alias("files"), F.coalesce("src_lines", F.lit(0)).alias("src_lines"), F.coalesce("body_lines", F.lit(0)).alias("body_lines"),
     )
     kept = ("doc_id", "path", "stem", "chapter_id", "group_no", "part_no", "parts", "start_page", "end_page", "is_table", "text", "index_text")
-    return written.select(*kept), indexes
+    return keys.named(written.select(*kept), names), keys.named(indexes, names)
 
 
 def clean_documents(docs: DataFrame, make: Callable[[], Callable[[str], str]] | None = None, text: str = "text") -> DataFrame:
@@ -101,9 +104,11 @@ def clean_documents(docs: DataFrame, make: Callable[[], Callable[[str], str]] |
 
     Rules alone without a model; else their text goes through it by chunks.  A
     chunk whose call fails, or whose answer lacks a placeholder, stays as it was
-    and is counted.  A null text is a failed document; it keeps its row.
+    and is counted.  A null text is a failed document; it keeps its row.  Rows of
+    equal or null doc_ids are documents of their own.
     """
-    raw = docs.select("doc_id", F.col(text).alias("text"), F.length(text).alias("chars_before"))
+    docs, names = keys.numbered(docs.select("doc_id", F.col(text).alias("text"))) if make is not None else (docs.select("doc_id", F.col(text).alias("text")), None)
+    raw = docs.select("doc_id", "text", F.length("text").alias("chars_before"))
     ruled = rules.apply_rules(raw)
     status = F.when(F.col("chars_before").isNull(), "failed").otherwise("ok").alias("status")
     error = F.when(F.col("chars_before").isNull(), "no text").alias("error")
@@ -117,7 +122,8 @@ def clean_documents(docs: DataFrame, make: Callable[[], Callable[[str], str]] |
     joined = ruled.drop("text").join(chunk.reassemble(done), "doc_id", "left").join(counted, "doc_id", "left")
     figures = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("chunks", "chunks_ok", "chunks_failed", "tables_recovered")]
     whole = F.when(F.col("chars_before").isNotNull(), F.coalesce("text", F.lit("\n")))
-    return joined.select("doc_id", whole.alias("text"), status, error, "chars_before", F.length(whole).alias("chars_after"), *figures, *rules.COUNTERS)
+    found = joined.select("doc_id", whole.alias("text"), status, error, "chars_before", F.length(whole).alias("chars_after"), *figures, *rules.COUNTERS)
+    return keys.named(found, names)
 
 
 def fix_index(index_lines: DataFrame, page_map: DataFrame, body_labels: DataFrame | None = None) -> DataFrame:

@@ -45,10 +45,10 @@ def check_pages(refs: DataFrame, page_map: DataFrame, ranges: DataFrame | None =
 def fix_pages(index_lines: DataFrame, issues: DataFrame) -> DataFrame:
     """Index lines with wrong pages put right, and whether each changed; the rest of a line stays."""
     joined = index_lines.join(issues.select("norm", "index_path", "pos", "start", "end"), ["norm", "index_path", "pos"], "left")
-    one = T.sub(F.col("line"), r"（第\d+页）", "（第\u0002页）")
-    both = T.sub(F.col("line"), r"（第\d+～\d+页）", "（第\u0002～\u0003页）")
-    to = lambda c: F.replace(F.replace(c, F.lit("\u0002"), F.col("start").cast("string")), F.lit("\u0003"), F.coalesce(F.col("end").cast("string"), F.lit("")))
-    fixed = F.when(F.col("start").isNull(), F.col("line")).when(F.col("end").isNull(), to(one)).otherwise(to(both))
+    page = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    one = F.regexp_replace("line", F.lit(r"（第\d+页）"), F.concat(F.lit("（第"), page(F.col("start")), F.lit("页）")))
+    both = F.regexp_replace("line", F.lit(r"（第\d+～\d+页）"), F.concat(F.lit("（第"), page(F.col("start")), F.lit("～"), page(F.col("end")), F.lit("页）")))
+    fixed = F.when(F.col("start").isNull(), F.col("line")).when(F.col("end").isNull(), one).otherwise(both)
     return joined.select("norm", "index_path", "pos", fixed.alias("line"), F.col("start").isNotNull().alias("changed"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import patterns as P
 from ..functions import predicates as Q
 from ..functions import text as T
+from .intervals import interval_join
 
 OPEN, CLOSE = r"(?i)<table\b", r"(?i)</table>"
 
@@ -143,7 +144,7 @@ def render_line(line: Column) -> Column:
 
 def render_bodies(lines: DataFrame, chunks: DataFrame, segment: list[str]) -> DataFrame:
     """segment, part_no and the text of each body file; blank runs become one line."""
-    inside = lines.join(chunks.select(*segment, "part_no", "start_pos", "end_pos"), segment).where("pos between start_pos and end_pos")
+    inside = interval_join(lines, chunks.select(*segment, "part_no", "start_pos", "end_pos"), segment, "pos", "start_pos", "end_pos")
     rows = inside.select(*segment, "part_no", F.struct("pos", render_line(F.col("line")).alias("l")).alias("x"))
     body = rows.groupBy(*segment, "part_no").agg(F.array_sort(F.collect_list("x")).alias("x"))
     text = F.array_join(F.transform("x", lambda x: x["l"]), "\n")

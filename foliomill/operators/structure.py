@@ -7,8 +7,10 @@ which chapter lines alone decide.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from ..functions import patterns as P
 from ..functions import predicates as Q
@@ -88,25 +90,38 @@ def sections(structured: DataFrame, key: str = "doc_id") -> DataFrame:
     )
 
 
+@F.pandas_udf(ArrayType(IntegerType()))
+def _greedy_groups(small: pd.Series, n_lines: pd.Series, n_chars: pd.Series, lines: pd.Series, chars: pd.Series, most: pd.Series) -> pd.Series:
+    """Group numbers: a big section stands alone; a full group is closed before the next section."""
+
+    def groups(of: list, lined: list, lettered: list, enough_lines: int, enough_chars: int, limit: int) -> list[int]:
+        out, g, n, line, char = [], 0, 0, 0, 0
+        for is_small, x, y in zip(of, lined, lettered, strict=True):
+            fresh = not is_small or n == 0 or n >= limit or (line >= enough_lines and char >= enough_chars)
+            g += fresh
+            out.append(g)
+            if not is_small:
+                n = line = char = 0
+            elif fresh:
+                n, line, char = 1, x, y
+            else:
+                n, line, char = n + 1, line + x, char + y
+        return out
+
+    return pd.Series([groups(*row) for row in zip(small, n_lines, n_chars, lines, chars, most, strict=True)])
+
+
 def group_sections(found: DataFrame, key: str = "doc_id", lines: int = P.SMALL_LINES, chars: int = P.SMALL_CHARS, most: int = P.MERGED_MOST) -> DataFrame:
     """Small sections in a row merged until they have enough lines and characters, or ``most`` of them.
 
-    A fold over each chapter's sections: where a group ends depends on where it
-    began.  Adds group_no, merged and stem.
+    Where a group ends depends on where it began: one walk over the figures of
+    each chapter's sections.  Adds group_no, merged and stem.
     """
     small = (F.col("n_lines") < lines) | (F.col("n_chars") < chars)
     cols = ["section_id", "title", "start_pos", "end_pos", "start_page", "end_page", "n_lines", "n_chars"]
     packed = found.withColumn("small", small).groupBy(key, "chapter_id").agg(F.array_sort(F.collect_list(F.struct(*cols, "small"))).alias("s"))
-    start = F.struct(F.array().cast("array<int>").alias("ids"), F.lit(0).alias("g"), F.lit(0).alias("n"), F.lit(0).alias("l"), F.lit(0).alias("c"))
-
-    def step(a: Column, x: Column) -> Column:
-        # a big section stands alone; a full group is closed before the next section
-        fresh = ~x["small"] | (a["n"] == 0) | (a["n"] >= most) | ((a["l"] >= lines) & (a["c"] >= chars))
-        g = a["g"] + F.when(fresh, 1).otherwise(0)
-        add = lambda now, more: F.when(~x["small"], 0).when(fresh, more).otherwise(now + more)
-        return F.struct(F.array_append(a["ids"], g).alias("ids"), g.alias("g"), add(a["n"], F.lit(1)).alias("n"), add(a["l"], x["n_lines"]).alias("l"), add(a["c"], x["n_chars"]).alias("c"))
-
-    placed = packed.withColumn("ids", F.aggregate("s", start, step, lambda a: a["ids"]))
+    figures = [F.col(f"s.{c}") for c in ("small", "n_lines", "n_chars")]
+    placed = packed.withColumn("ids", _greedy_groups(*figures, F.lit(lines), F.lit(chars), F.lit(most)))
     rows = placed.select(key, "chapter_id", F.explode(F.arrays_zip("s", "ids")).alias("z")).select(key, "chapter_id", *[F.col(f"z.s.{c}").alias(c) for c in cols], F.col("z.ids").alias("group_no"))
     size = F.count("*").over(Window.partitionBy(key, "chapter_id", "group_no"))
     d = rows.withColumn("merged", size > 1)
