@@ -11,7 +11,7 @@ from ..functions import patterns as P
 from ..functions import predicates as Q
 from ..functions import text as T
 from ..session import cut
-from . import chunk, keys, lines, models, outline, rules, split, structure
+from . import chunk, keys, lines, models, outline, rules, scan, split, structure
 from .intervals import interval_join
 
 SEGMENT = ["doc_id", "chapter_id", "group_no"]
@@ -22,16 +22,17 @@ def segment_lines(docs: DataFrame) -> DataFrame:
 
     A chapter's lines before its first section are segment 0 (all of a chapter
     without sections); its sections follow in groups.  A document without
-    chapters is one segment, and its name is the stem.
+    chapters is one segment, and its name is the stem; a heading that is the name
+    begins none.
     """
-    exploded = lines.explode_lines(docs, universal=True)
-    d = structure.structure_lines(exploded)
+    exploded = lines.explode_lines(docs, universal=True).join(docs.select("doc_id", "name"), "doc_id")
+    d = structure.structure_lines(exploded, block=scan.block_for(docs), name=F.col("name"))
     groups = structure.group_sections(structure.sections(d).where("section_id > 0"))
     named = groups.groupBy("doc_id", "chapter_id", "group_no").agg(
         F.first("stem").alias("_stem"), F.first("merged").alias("_merged"), F.array_sort(F.collect_list(F.struct("section_id", "title"))).alias("_titles")
     )
     placed = d.join(groups.select("doc_id", "chapter_id", "section_id", "group_no"), ["doc_id", "chapter_id", "section_id"], "left").withColumn("group_no", F.coalesce("group_no", F.lit(0)))
-    placed = placed.join(named, SEGMENT, "left").join(docs.select("doc_id", "name"), "doc_id")
+    placed = placed.join(named, SEGMENT, "left")
     top = Window.partitionBy("doc_id", "chapter_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     own = Window.partitionBy(*SEGMENT).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     placed = placed.withColumn("chapter", F.when(F.col("chapter_id") > 0, F.first("title").over(top))).withColumn("heading", F.when(F.col("chapter_id") > 0, F.first("line").over(own)))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions import text as T
+from .scan import looking_back, running
 
 
 def split_lines(text: Column, universal: bool = False) -> Column:
@@ -26,25 +27,28 @@ def by_line(key: str = "doc_id") -> Window:
     return Window.partitionBy(key).orderBy("pos")
 
 
-def with_pages(lines: DataFrame, start: int = 1, origin: str = "document", key: str = "doc_id", first: Column | None = None) -> DataFrame:
+def with_pages(lines: DataFrame, start: int = 1, origin: str = "document", key: str = "doc_id", first: Column | None = None, block: int | None = None) -> DataFrame:
     """Add the page of each line: a marker ends its page, and its own line is on the next.
 
     With origin ``content`` markers before the first content line (``first`` is
-    true) don't count.
+    true) don't count.  Long documents are taken in blocks (``scan.running``).
     """
-    upto = by_line(key).rowsBetween(Window.unboundedPreceding, 0)
     marker = T.page_of_marker(F.col("line"))
     if origin == "content" and first is not None:
-        marker = F.when(F.coalesce(F.max(first.cast("int")).over(upto), F.lit(0)) == 1, marker)
-    seen = F.max(marker + 1).over(upto)
-    return lines.withColumn("page", F.greatest(F.lit(start), F.coalesce(seen, F.lit(start))))
+        lines = running(lines, [key], block, _begun=("max", first.cast("int")))
+        marker = F.when(F.coalesce(F.col("_begun"), F.lit(0)) == 1, marker)
+    d = running(lines, [key], block, _seen=("max", marker + 1))
+    return d.withColumn("page", F.greatest(F.lit(start), F.coalesce("_seen", F.lit(start)))).drop("_seen", "_begun")
 
 
-def collapse_blanks(lines: DataFrame, key: str = "doc_id") -> DataFrame:
+def collapse_blanks(lines: DataFrame, key: str = "doc_id", block: int | None = None) -> DataFrame:
     """Runs of blank lines become one."""
     blank = T.strip(F.col("line")) == ""
-    before = F.lag(blank, 1, False).over(by_line(key))
-    return lines.withColumn("_drop", blank & before).where("not _drop").drop("_drop")
+
+    def mark(d: DataFrame, keys: list[str]) -> DataFrame:
+        return d.withColumn("_drop", blank & F.lag(blank, 1, False).over(Window.partitionBy(*keys).orderBy("pos")))
+
+    return looking_back(lines, [key], 1, mark, block).where("not _drop").drop("_drop")
 
 
 def join_lines(lines: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -9,35 +9,34 @@ from ..functions import patterns as P
 from ..functions import predicates as Q
 from ..functions import text as T
 from .intervals import interval_join
+from .scan import looking_back, running
 
 OPEN, CLOSE = r"(?i)<table\b", r"(?i)</table>"
 
 
-def table_islands(lines: DataFrame, parts: list[str], out: str = "table_no") -> DataFrame:
+def table_islands(lines: DataFrame, parts: list[str], out: str = "table_no", block: int | None = None) -> DataFrame:
     """Number the tables of each part; lines outside have null.
 
     An island runs from a line that opens a table to the first line that closes
     one, or to the end.  Being inside is whether the last line with either mark
     opened without closing, so a window finds it without a fold.
     """
-    w = Window.partitionBy(*parts).orderBy("pos")
     opens, closes = F.col("line").rlike(OPEN), F.col("line").rlike(CLOSE)
     mark = F.when(closes, F.lit("c")).when(opens, F.lit("o"))
-    inside = F.coalesce(F.last(mark, True).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit("c")) == "o"
-    d = lines.withColumn("_in", inside)
+    d = running(lines, parts, block, before=True, _mark=("last", mark))
+    d = d.withColumn("_in", F.coalesce("_mark", F.lit("c")) == "o")
     d = d.withColumn("_start", opens & ~F.col("_in"))
-    count = F.sum(F.col("_start").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("int")
-    return d.withColumn(out, F.when(F.col("_in") | F.col("_start"), count)).drop("_in", "_start")
+    d = running(d, parts, block, _count=("sum", F.col("_start").cast("int")))
+    return d.withColumn(out, F.when(F.col("_in") | F.col("_start"), F.col("_count").cast("int"))).drop("_in", "_start", "_mark", "_count")
 
 
-def table_spans(lines: DataFrame, key: str = "doc_id") -> DataFrame:
+def table_spans(lines: DataFrame, key: str = "doc_id", block: int | None = None) -> DataFrame:
     """key, table_no, start_pos, end_pos, start_page, end_page and label of every table.
 
     The label comes from the nearest of the seven lines above that names the
     table: a caption with its page, a heading, or a short line with 表; at most
     36 characters of it, else 表n.
     """
-    w = Window.partitionBy(key).orderBy("pos").rowsBetween(-P.LABEL_LINES, -1)
     line = F.col("line")
     body = F.when(line.contains("表"), T.body_after_marker(line))
     paged = T.group(body, "(?U)" + P.PAGED_CAPTION)
@@ -49,7 +48,11 @@ def table_spans(lines: DataFrame, key: str = "doc_id") -> DataFrame:
         .when(title.isNotNull(), F.substring(T.slug_title(title), 1, P.LABEL_CHARS))
         .when(named, F.substring(T.slug_title(body), 1, P.LABEL_CHARS))
     )
-    d = table_islands(lines.withColumn("_named", candidate), [key]).withColumn("_above", F.last("_named", True).over(w))
+
+    def above(d: DataFrame, keys: list[str]) -> DataFrame:
+        return d.withColumn("_above", F.last("_named", True).over(Window.partitionBy(*keys).orderBy("pos").rowsBetween(-P.LABEL_LINES, -1)))
+
+    d = looking_back(table_islands(lines.withColumn("_named", candidate), [key], block=block), [key], P.LABEL_LINES, above, block)
     found = d.where("table_no is not null").groupBy(key, "table_no")
     label = F.coalesce(F.nullif(F.min_by("_above", "pos"), F.lit("")), F.concat(F.lit("表"), F.col("table_no").cast("string")))
     return found.agg(

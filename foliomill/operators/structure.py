@@ -15,11 +15,11 @@ from pyspark.sql.types import ArrayType, IntegerType
 from ..functions import patterns as P
 from ..functions import predicates as Q
 from ..functions import text as T
-from .lines import by_line, with_pages
+from .lines import with_pages
+from .scan import running
 
 #: First characters of 一、, （一）, 附： and tail lines.
 OPENERS = [*P.CN_NUM_LONG, "（", "(", "附", "本", "引", "条", "修"]
-TRAIL = lambda key: by_line(key).rowsBetween(Window.unboundedPreceding, 0)
 
 
 def classify(lines: DataFrame, key: str = "doc_id", name: Column | None = None) -> DataFrame:
@@ -46,25 +46,29 @@ def classify(lines: DataFrame, key: str = "doc_id", name: Column | None = None)
     return d.withColumn("title", shown).drop("_body", "_plain", "_part_title")
 
 
-def structure_lines(lines: DataFrame, origin: str = "document", key: str = "doc_id") -> DataFrame:
+def structure_lines(lines: DataFrame, origin: str = "document", key: str = "doc_id", block: int | None = None, name: Column | None = None) -> DataFrame:
     """Content lines with page, chapter_id, section_id (0: before the first section) and the marks of classify.
 
     Content begins at the first part and ends before a tail heading.  Documents
-    without a part keep all their lines in chapter 0.
+    without a part keep all their lines in chapter 0.  A heading that is the
+    document's own title (``name``) is no part.  Long documents are taken in
+    blocks (``scan.running``).
     """
-    d = classify(lines, key)
-    upto = TRAIL(key)
-    whole = Window.partitionBy(key)
-    d = with_pages(d, origin=origin, key=key, first=F.col("is_part"))
-    d = d.withColumn("chapter_id", F.sum(F.col("is_part").cast("int")).over(upto).cast("int"))
-    d = d.withColumn("_parts", F.max("chapter_id").over(whole))
-    ended = F.max(F.when(F.col("is_tail") & (F.col("chapter_id") > 0), 1).otherwise(0)).over(upto)
-    d = d.withColumn("_ended", ended)
-    d = d.where("(_parts = 0) or (chapter_id > 0 and _ended = 0)").drop("_ended")
-    chapter_kind = F.last(F.when(F.col("is_part"), Q.is_chapter(F.col("title"))), True).over(upto)
-    d = d.withColumn("starts_section", F.col("is_section_line") | (F.col("is_item") & ~F.coalesce(chapter_kind, F.lit(True))))
-    inner = Window.partitionBy(key, "chapter_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    return d.withColumn("section_id", F.sum(F.col("starts_section").cast("int")).over(inner).cast("int")).drop("_parts", "is_section_line", "is_item", "is_tail")
+    d = with_pages(classify(lines, key, name), origin=origin, key=key, first=F.col("is_part"), block=block)
+    d = running(d, [key], block, _chapter=("sum", F.col("is_part").cast("int")))
+    d = d.withColumn("chapter_id", F.col("_chapter").cast("int"))
+    if block:
+        parts = d.groupBy(F.col(key).alias("_key")).agg(F.max("chapter_id").alias("_parts"))
+        d = d.join(parts, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
+    else:
+        d = d.withColumn("_parts", F.max("chapter_id").over(Window.partitionBy(key)))
+    ended = F.when(F.col("is_tail") & (F.col("chapter_id") > 0), 1).otherwise(0)
+    d = running(d, [key], block, _ended=("max", ended))
+    d = d.where("(_parts = 0) or (chapter_id > 0 and _ended = 0)").drop("_ended", "_chapter")
+    d = running(d, [key], block, _kind=("last", F.when(F.col("is_part"), Q.is_chapter(F.col("title")))))
+    d = d.withColumn("starts_section", F.col("is_section_line") | (F.col("is_item") & ~F.coalesce("_kind", F.lit(True))))
+    d = running(d, [key, "chapter_id"], block, _section=("sum", F.col("starts_section").cast("int")))
+    return d.withColumn("section_id", F.col("_section").cast("int")).drop("_parts", "is_section_line", "is_item", "is_tail", "_kind", "_section")
 
 
 def chapters(structured: DataFrame, key: str = "doc_id") -> DataFrame:

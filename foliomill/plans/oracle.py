@@ -264,6 +264,14 @@ SQL = {
     "dead_links": """SELECT doc_id AS norm, 'i-index.md' AS index_path, 'b/c.md' AS target FROM documents WHERE doc_id % 2 = 1 UNION ALL SELECT doc_id, 'i-index.md', 'd' || doc_id || '.md' FROM documents WHERE doc_id % 3 <> 0""",
     "missing_references": "SELECT DISTINCT source, lang AS norm FROM documents WHERE lang IS NOT NULL AND source IS NOT NULL AND source <> lang AND lang <> 'en'",
     "citation_targets": f"""WITH {LABELS}, c AS (SELECT doc_id, '第 ' || (pos // 4) || ' 条' AS article, pos FROM reg WHERE pos % 4 = 0 AND pos < 400) SELECT '规范' || c.doc_id AS norm, article, c.pos, o.page FROM c LEFT JOIN outline o ON o.doc_id = c.doc_id AND o.label = article""",
+    "long_document_scan": f"""WITH {REG}, one AS (SELECT 'all' AS doc_id, doc_id * 1000000 + pos AS pos, line FROM reg)
+ SELECT doc_id, pos, CAST(greatest(1, coalesce(max(CASE WHEN line LIKE '<!-- 第 %' THEN CAST(regexp_extract(line, '([0-9]+)', 1) AS INT) + 1 END) OVER w, 1)) AS INT) AS page,
+ CASE WHEN line LIKE '<table%' THEN CAST(count(*) FILTER (line LIKE '<table%') OVER w AS INT) END AS table_no FROM one WINDOW w AS (ORDER BY pos ROWS UNBOUNDED PRECEDING)""",
+    "long_document_tables": f"""WITH {RICH}, one AS (SELECT doc_id * 1000000 + pos AS k, pos, line FROM rpaged),
+ p AS (SELECT *, CAST(greatest(1, coalesce(max(CASE WHEN line LIKE '<!-- 第 %' THEN CAST(regexp_extract(line, '([0-9]+)', 1) AS INT) + 1 END) OVER (ORDER BY k ROWS UNBOUNDED PRECEDING), 1)) AS INT) AS gpage FROM one)
+ SELECT 'all' AS doc_id, CAST(row_number() OVER (ORDER BY k) AS INT) AS table_no, k AS start_pos, k + 2 AS end_pos, gpage AS start_page, gpage AS end_page, CASE WHEN pos // 4 % 18 = 5 THEN '表格第2页' ELSE '样表' || (pos // 4) END AS label FROM p WHERE line = '<table>'""",
+    "content_pages": f"WITH {STRUCTURE} SELECT doc_id, pos, page, chapter_id FROM struct",
+    "title_lines": f"WITH {STRUCTURE} SELECT doc_id, pos, page, chapter_id FROM struct",
     "index_terms": f"WITH {TERMS} SELECT term, count(DISTINCT doc_id) AS docs, count(*) AS hits FROM t GROUP BY term",
     "index_search": f"""WITH {TERMS}, {ASKED.format(n=5)}, tf AS (SELECT doc_id, term, count(*) AS n FROM t GROUP BY ALL), df AS (SELECT term, count(*) AS df FROM tf GROUP BY term)
  SELECT query_id, doc_id, CAST(sum(n) AS BIGINT) AS hits, round(sum(n * ln(1 + (SELECT CAST(count(*) AS DOUBLE) FROM documents WHERE text IS NOT NULL) / df)), 6) AS score

@@ -579,6 +579,41 @@ def citation_targets(spark, d):
     return integrity.resolve_citations(cited, pages)
 
 
+@query
+def long_document_scan(spark, d):
+    """All documents as one long one, taken in blocks: page and table of each line."""
+    one = reg(spark, d).select(F.lit("all").alias("doc_id"), (F.col("doc_id") * 1000000 + F.col("pos")).alias("pos"), "line")
+    paged = lines.with_pages(one, block=1 << 22)
+    return split.table_islands(paged, ["doc_id"], block=1 << 22).select("doc_id", "pos", "page", "table_no")
+
+
+@query
+def long_document_tables(spark, d):
+    """Tables of all documents as one long one, taken in blocks."""
+    one = rich(spark, d).select(F.lit("all").alias("doc_id"), (F.col("doc_id") * 1000000 + F.col("pos")).alias("pos"), "line")
+    return split.table_spans(lines.with_pages(one, block=1 << 22), block=1 << 22)
+
+
+def prefaced(spark: SparkSession, d: str, line) -> DataFrame:
+    """Lines of the dressed documents after one more."""
+    return reg(spark, d).unionByName(documents(spark, d).where("text is not null").select("doc_id", F.lit(-1).alias("pos"), line.alias("line")))
+
+
+@query
+def content_pages(spark, d):
+    """Pages of lines, where a marker before the first part doesn't count."""
+    found = structure.structure_lines(prefaced(spark, d, F.lit("<!-- 第 5 页 -->")), origin="content")
+    return found.select("doc_id", "pos", "page", "chapter_id")
+
+
+@query
+def title_lines(spark, d):
+    """Structure of documents that begin with their own title: a heading that would be a part but for the document's name."""
+    title = F.lit("医疗器械管理规范附则")
+    found = structure.structure_lines(prefaced(spark, d, F.concat(F.lit("# "), title)), name=title)
+    return found.select("doc_id", "pos", "page", "chapter_id")
+
+
 def stored_index(spark: SparkSession, d: str) -> str:
     """The folder of an inverted index of the documents: those of even numbers first, the others appended."""
     path = f"{shared_dir(spark)}/index-{uuid.uuid4().hex}"
