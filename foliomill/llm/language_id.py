@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .rows import under_plain_names
+
 UND = "und"
 HASHES = 3
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
@@ -161,4 +163,4 @@ def keep_known(docs: DataFrame, model: dict, least: float = 0.3, text: str = "te
             found = [identify(x.as_py(), shared.value) for x in batch.column(at)]
             yield batch.filter(pa.array([name != UND and score >= least for name, score in found], pa.bool_()))
 
-    return docs.mapInArrow(rows, docs.schema)
+    return under_plain_names(docs, [text], [], lambda d: d.mapInArrow(rows, d.schema))

@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .rows import under_plain_names
+
 FRAME, GOP, CHUNK, SCALE = 64, 16, 256, 25
 DEEPEST = 32
 CONTAINERS = {b"moov", b"trak", b"mdia", b"minf", b"stbl", b"dinf", b"edts", b"udta"}
@@ -184,7 +186,10 @@ def read_media(df: DataFrame, media: str = "media", payload: bool = True) -> Dat
     Only the box headers and sample tables are parsed for codec, duration and
     keyframe ranges.  Columns of df with the names of these facts give way.
     """
-    df = df.drop(*FACTS.names)
+    return under_plain_names(df, [media], FACTS.names, lambda d: _read_media(d, media, payload))
+
+
+def _read_media(df: DataFrame, media: str, payload: bool) -> DataFrame:
     columns = df.columns
 
     def one(content: bytes | None) -> dict:

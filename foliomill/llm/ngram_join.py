@@ -49,7 +49,7 @@ from pyspark.sql import functions as F
 from ..session import cut, scratch
 from . import bitset
 from .components import connected_components
-from .rows import number_rows
+from .rows import number_rows, under_plain_names
 from .shingles import M2, M3, blocks, mix, shingle_sets
 
 SKETCH, SLICES, MATCHES = 1 << 23, 64, 8
@@ -418,7 +418,10 @@ def near_duplicates(docs: DataFrame, width: int, num: int, den: int, key: str =
 
 def keep_first(docs: DataFrame, width: int, num: int, den: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs that are the least of their component, with their columns; of rows equal in key and text the least one."""
-    docs = docs.drop("_row")
+    return under_plain_names(docs, [key, text], [], lambda d: _keep_first(d, width, num, den, key, text))
+
+
+def _keep_first(docs: DataFrame, width: int, num: int, den: int, key: str, text: str) -> DataFrame:
     with scratch(docs.sparkSession):
         rows, _ = number_rows(docs, key, text)
         ids = rows.select(F.when(F.col(key).isNotNull(), F.col("_row")).alias("id"), F.col(text).alias("text"))

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut
+from .rows import under_plain_names
 
 
 def _classes() -> np.ndarray:
@@ -146,4 +147,4 @@ def keep_good(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
             kept = raw >= model["at"] if model["prior"] is None else np.full(batch.num_rows, model["prior"] >= model["cutoff"])
             yield batch.filter(pa.array(kept))
 
-    return docs.mapInArrow(rows, docs.schema)
+    return under_plain_names(docs, [text], [], lambda d: d.mapInArrow(rows, d.schema))

@@ -2,10 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut
+from .vectors import quoted
+
+
+def under_plain_names(docs: DataFrame, known: list[str], results: list[str], work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What work makes of docs, whose columns other than the known ones have names that can't clash meanwhile.
+
+    Columns named as one of the results are left out.
+    """
+    kept = [c for c in docs.columns if c in known or c.lower() not in results]
+    names = {c if c in known else f"_x{i}": c for i, c in enumerate(kept)}
+    out = work(docs.select(*[quoted(c).alias(n) for n, c in names.items()]))
+    return out.toDF(*[names.get(c, c) for c in out.columns])
 
 
 def number_rows(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame | None]:

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut, scratch
 from . import bitset
-from .rows import number_rows
+from .rows import number_rows, under_plain_names
 from .shingles import M1, M2, blocks, mix
 
 #: Letters of Thai, Lao, Burmese, Khmer, kana and Han, which stand without spaces.
@@ -221,7 +221,10 @@ def covered_units(docs: DataFrame, row: str, text: str, sentences: int, words: i
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", sentences: int = 3, words: int = 24) -> DataFrame:
     """docs with text cut and the columns removed_units and removed_chars."""
-    docs = docs.drop("removed_units", "removed_chars", "_row", "_spans")
+    return under_plain_names(docs, [key, text], ["removed_units", "removed_chars"], lambda d: _remove_repeats(d, key, text, sentences, words))
+
+
+def _remove_repeats(docs: DataFrame, key: str, text: str, sentences: int, words: int) -> DataFrame:
     columns = docs.columns
     numbered, _ = number_rows(docs, key, text)
     with scratch(docs.sparkSession):

@@ -11,7 +11,9 @@ no more than k by (score, smaller id), and k of those remain.
 Vectors that are null, or hold null or non-finite components, take no part;
 nor do null ids, and vectors of another length than the query's score nothing.
 Candidates of equal ids count each; query rows of equal ids ask once, with the
-least of their vectors, and none of the candidates of that id is theirs.  Ties
+least of their vectors, and none of the candidates of that id is theirs.  Large
+finite components are exact, however large; a score beyond 2^62 - 1 counts as
+that.  Ties
 go to the smaller id.  Fewer than k candidates give all; no rows give none.
 Extra columns are ignored, whatever their names.
 """
@@ -30,11 +32,16 @@ from ..session import cut, scratch
 
 BLOCK = "ids binary, vectors binary"
 NONE_BELOW = -(1 << 62)
+#: Scores beyond it count as it, so that differences of scores fit a long.
+MOST = (1 << 62) - 1
 
 
 def quantise(df: DataFrame, key: str, vector: str, scale: int = 256) -> DataFrame:
     """id, v (whole numbers floor(scale * x)) and dim of the vectors that take part."""
-    v = F.transform(F.col(vector), lambda x: F.floor(x.cast("double") * scale).cast("double"))
+    largest = F.lit(float(np.finfo(np.float64).max))
+    # doubles from 2^53 on are whole already; times the scale they are no more than the largest double
+    scaled = lambda x: F.greatest(-largest, F.least(largest, x.cast("double") * scale))
+    v = F.transform(F.col(vector), lambda x: F.when(F.abs(scaled(x)) < F.lit(2.0**53), F.floor(scaled(x)).cast("double")).otherwise(scaled(x)))
     whole = F.forall(F.col(vector), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < F.lit(float("inf"))))
     return df.where(F.col(key).isNotNull() & F.col(vector).isNotNull() & whole).select(F.col(key).cast("long").alias("id"), v.alias("v"), F.size(vector).alias("dim"))
 
@@ -77,12 +84,18 @@ def _grid(queries: DataFrame, candidates: DataFrame, n_candidates: int) -> DataF
 
 
 def _scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Integer inner products; exact in doubles below 2^53, else in whole numbers of any size."""
-    bound = np.abs(q).sum(axis=1).max(initial=0) * np.abs(c).max(initial=0)
-    if bound < 2**53:
-        return (q @ c.T).astype(np.int64)
-    exact = q.astype(object) @ c.astype(object).T
-    return exact.astype(np.int64)
+    """Integer inner products, at most MOST either way: exact in doubles for components below 2^23, else in whole numbers of any size."""
+    dim = max(1, q.shape[1])
+    reach = np.sqrt(2.0**52 / dim)  # products of two vectors within it stay below 2^53
+    q_big, c_big = (np.abs(x).max(axis=1, initial=0) > reach for x in (q, c))
+    out = np.zeros((len(q), len(c)), np.int64)
+    out[np.ix_(~q_big, ~c_big)] = (q[~q_big] @ c[~c_big].T).astype(np.int64)
+    whole = np.frompyfunc(int, 1, 1)
+    for rows, columns in ((q_big, np.ones(len(c), bool)), (~q_big, c_big)):
+        if rows.any() and columns.any():
+            exact = whole(q[rows]) @ whole(c[columns]).T
+            out[np.ix_(rows, columns)] = np.clip(exact, -MOST, MOST).astype(np.int64)
+    return out
 
 
 def top_k(df: DataFrame, query: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int = 5, scale: int = 256, bins: int = 1024, block: int = 4096, query_block: int = 512) -> DataFrame:
@@ -103,7 +116,8 @@ def _top_k(df: DataFrame, query: DataFrame, key: str, vector: str, k: int, scale
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
     most = quantise(df, key, vector, scale).agg(F.max(norm)).first()[0] or 0.0
     most_asked = asked.agg(F.max(norm)).first()[0] or 0.0
-    reach = math.ceil(most * most_asked) + 2
+    product = most * most_asked
+    reach = math.ceil(product) + 2 if product < MOST else MOST
     width = 1  # a power of bins, so that the next pass's bins fill a bin exactly
     while width * bins < 2 * reach:
         width *= bins
