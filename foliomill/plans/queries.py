@@ -750,6 +750,20 @@ def prompt_messages(spark, d):
     return read_table(spark, d, "benchmark").select("item_id", F.to_json(T.chat_messages(F.lit("清洗"), F.concat(F.lit("n"), F.col("item_id").cast("string")))).alias("messages"))
 
 
+@query
+def verdict_classes(spark, d):
+    """Excerpts of every document, right, under another article, misspelt or turned round, judged by the passages of all documents."""
+    docs = documents(spark, d).withColumn("path", F.col("doc_id").cast("string"))
+    parts = F.transform(F.split("text", "\n", -1), lambda x, i: F.struct(i.alias("i"), x.alias("x")))
+    lined = docs.select("path", F.explode(parts).alias("l")).select("path", F.expr("l.i div 6 + 1").alias("n"), F.struct("l.i", "l.x").alias("l"))
+    grouped = lined.groupBy("path", "n").agg(F.array_sort(F.collect_list("l")).alias("l"))
+    passages = grouped.select("path", F.concat(F.lit("第"), F.col("n").cast("string"), F.lit("条")).alias("article"), F.array_join(F.transform("l", lambda x: x["x"]), "\n").alias("text"))
+    kind, start = F.col("doc_id") % 4, F.substring(F.split_part("text", F.lit("\n"), F.lit(1)), 1, 80)
+    excerpt = F.when(kind == 2, F.regexp_replace(start, "(.{17})e", "$1ea")).when(kind == 3, F.reverse(start)).otherwise(start)
+    cited = docs.select(F.col("doc_id").alias("answer_id"), F.lit(1).alias("seq"), "path", F.when(kind == 1, "第2条").otherwise("第1条").alias("article"), excerpt.alias("excerpt"))
+    return qa.verdicts(cited, passages)
+
+
 @query
 def page_overlap(spark, d):
     """Pages of every document that more than one body file holds."""
