@@ -263,7 +263,7 @@ SQL = {
     "file_ranges_fix": f"""WITH {LABELS}, r AS (SELECT doc_id AS norm, CAST(pos % 3 AS VARCHAR) AS stem, min(page) AS a, max(page) AS b FROM outline GROUP BY ALL) SELECT norm, CAST(stem AS INT) AS pos, '- ' || stem || '（第' || a || '～' || b || '页）' AS line, norm % 2 = 1 AS changed FROM r""",
     "dead_links": """SELECT doc_id AS norm, 'i-index.md' AS index_path, 'b/c.md' AS target FROM documents WHERE doc_id % 2 = 1 UNION ALL SELECT doc_id, 'i-index.md', 'd' || doc_id || '.md' FROM documents WHERE doc_id % 3 <> 0""",
     "missing_references": "SELECT DISTINCT source, lang AS norm FROM documents WHERE lang IS NOT NULL AND source IS NOT NULL AND source <> lang AND lang <> 'en'",
-    "citation_targets": f"""WITH {LABELS}, c AS (SELECT doc_id, '第 ' || (pos // 4) || ' 条' AS article, pos FROM reg WHERE pos % 4 = 0 AND pos < 400) SELECT '规范' || c.doc_id AS norm, article, c.pos, o.page FROM c LEFT JOIN outline o ON o.doc_id = c.doc_id AND o.label = article""",
+    "citation_targets": f"""WITH {LABELS}, c AS (SELECT doc_id, '第 ' || (pos // 4) || ' 条' AS article, pos FROM reg WHERE pos % 4 = 0) SELECT '规范' || c.doc_id AS norm, article, c.pos, o.page FROM c LEFT JOIN outline o ON o.doc_id = c.doc_id AND o.label = article""",
     "long_document_scan": f"""WITH {REG}, one AS (SELECT 'all' AS doc_id, doc_id * 1000000 + pos AS pos, line FROM reg)
  SELECT doc_id, pos, CAST(greatest(1, coalesce(max(CASE WHEN line LIKE '<!-- 第 %' THEN CAST(regexp_extract(line, '([0-9]+)', 1) AS INT) + 1 END) OVER w, 1)) AS INT) AS page,
  CASE WHEN line LIKE '<table%' THEN CAST(count(*) FILTER (line LIKE '<table%') OVER w AS INT) END AS table_no FROM one WINDOW w AS (ORDER BY pos ROWS UNBOUNDED PRECEDING)""",
@@ -293,10 +293,10 @@ SQL = {
     "provenance_fill": "SELECT conv_id AS answer_id, CAST(turn AS INT) AS seq, last_value(CASE WHEN turn % 3 = 0 THEN 'p' || turn END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS path FROM conversations",
     "provenance_pages": f"WITH {LABELS} SELECT doc_id AS norm, label, CAST(page + 1 AS INT) AS cited_page, page FROM outline WHERE pos // 4 % 2 = 1",
     "topic_labels": """SELECT p_partkey, '第' || p_size || '条' AS article, p_size || '.1.2' AS clause, string_split(p_name, ' ')[1] AS word, substring('第' || p_size || '章' || replace(p_name, ' ', ''), 1, 40) AS dir, substring(replace(p_name, ' ', ''), 1, 40) AS stem FROM part""",
-    "prompt_messages": """SELECT item_id, '[{"role":"system","content":"清洗"},{"role":"user","content":"n' || item_id || '"}]' AS messages FROM benchmark""",
+    "prompt_messages": """SELECT item_id, '[{"role":"system","content":"清洗"},{"role":"user","content":' || CAST(to_json(text) AS VARCHAR) || '}]' AS messages FROM benchmark""",
     "paragraphs_markdown": f"""WITH {LINES}, c AS (SELECT doc_id, i, trim(regexp_replace(CASE WHEN i % 6 = 0 THEN '第' || (i + 1) || '章 ' ELSE '' END || raw, '[ \\t]+', ' ', 'g')) AS t FROM lines)
  SELECT doc_id, string_agg(CASE WHEN length(t) <= 40 AND regexp_matches(t, '^第[0-9]+\\s*章') THEN '# ' || t ELSE t END, chr(10) || chr(10) ORDER BY i) AS text FROM c WHERE t <> '' GROUP BY doc_id""",
     "rules_clean": f"WITH {CLEAN} SELECT doc_id, text, {', '.join(COUNTED)} FROM c9",
     "clean_report": f"WITH {CLEAN} SELECT count(*) AS n_docs, {', '.join(f'CAST(sum({c}) AS BIGINT) AS {c}' for c in COUNTED)} FROM c9",
-    "clean_rules_only": f"WITH {CLEAN} SELECT doc_id, 'ok' AS status, CAST(NULL AS VARCHAR) AS error, CAST(length(source) AS INT) AS chars_before, CAST(length(text) AS INT) AS chars_after, CAST(0 AS BIGINT) AS chunks, lines_merged FROM c9",
+    "clean_rules_only": f"WITH {CLEAN} SELECT doc_id, md5(text) AS text_md5, 'ok' AS status, CAST(NULL AS VARCHAR) AS error, CAST(length(source) AS INT) AS chars_before, CAST(length(text) AS INT) AS chars_after, CAST(0 AS BIGINT) AS chunks, lines_merged FROM c9",
 }

@@ -455,7 +455,7 @@ def split_report(spark, d):
 
 @query
 def clean_rules_only(spark, d):
-    return driver.clean_documents(reg_docs(spark, d)).select("doc_id", "status", "error", "chars_before", "chars_after", "chunks", "lines_merged")
+    return driver.clean_documents(reg_docs(spark, d)).select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"), "status", "error", "chars_before", "chars_after", "chunks", "lines_merged")
 
 
 @query
@@ -574,7 +574,7 @@ def missing_references(spark, d):
 @query
 def citation_targets(spark, d):
     """Cited articles with the page where each stands in its norm."""
-    cited = reg(spark, d).where("pos % 4 = 0 and pos < 400").select(F.concat(F.lit("规范"), F.col("doc_id").cast("string")).alias("norm"), F.concat(F.lit("第 "), F.expr("cast(pos div 4 as string)"), F.lit(" 条")).alias("article"), "pos")
+    cited = reg(spark, d).where("pos % 4 = 0").select(F.concat(F.lit("规范"), F.col("doc_id").cast("string")).alias("norm"), F.concat(F.lit("第 "), F.expr("cast(pos div 4 as string)"), F.lit(" 条")).alias("article"), "pos")
     pages = _page_map(spark, d).select(F.concat(F.lit("规范"), F.col("norm").cast("string")).alias("norm"), "label", "page")
     return integrity.resolve_citations(cited, pages)
 
@@ -747,7 +747,7 @@ def paragraphs_markdown(spark, d):
 @query
 def prompt_messages(spark, d):
     """Chat messages of each benchmark item, as JSON."""
-    return read_table(spark, d, "benchmark").select("item_id", F.to_json(T.chat_messages(F.lit("清洗"), F.concat(F.lit("n"), F.col("item_id").cast("string")))).alias("messages"))
+    return read_table(spark, d, "benchmark").select("item_id", F.to_json(T.chat_messages(F.lit("清洗"), F.col("text"))).alias("messages"))
 
 
 @query
