@@ -100,12 +100,13 @@ def split_documents(docs: DataFrame, most_pages: int = 2) -> tuple[DataFrame, Da
     return keys.named(written.select(*kept), names), keys.named(indexes, names)
 
 
-def clean_documents(docs: DataFrame, make: Callable[[], Callable[[str], str]] | None = None, text: str = "text") -> DataFrame:
+def clean_documents(docs: DataFrame, make: Callable[[], Callable[[str], str]] | None = None, text: str = "text", store: str | None = None) -> DataFrame:
     """doc_id, text, status, error, figures and rule counters of cleaned documents.
 
     Rules alone without a model; else their text goes through it by chunks.  A
     chunk whose call fails, or whose answer lacks a placeholder, stays as it was
-    and is counted.  A null text is a failed document; it keeps its row.  Rows of
+    and is counted; with a ``store`` of answers (``models.call_model``) equal chunks
+    are asked once, in this run and in later ones.  A null text is a failed document; it keeps its row.  Rows of
     equal or null doc_ids are documents of their own.
     """
     docs, names = keys.numbered(docs.select("doc_id", F.col(text).alias("text"))) if make is not None else (docs.select("doc_id", F.col(text).alias("text")), None)
@@ -118,7 +119,8 @@ def clean_documents(docs: DataFrame, make: Callable[[], Callable[[str], str]] |
         return ruled.select("doc_id", "text", status, error, "chars_before", F.length("text").alias("chars_after"), *zero, *rules.COUNTERS)
     # used twice, and filters that the planner would draw from the chunks mustn't repeat the rules
     ruled = cut(ruled, "ruled")
-    done = models.clean_chunks(chunk.chunk_documents(ruled.select("doc_id", "text")), make)
+    # the figures and the texts are both made of it, and calls are to be paid for once
+    done = cut(models.clean_chunks(chunk.chunk_documents(ruled.select("doc_id", "text")), make, store), "model-chunks")
     counted = done.groupBy("doc_id").agg(F.count("*").alias("chunks"), F.count_if("ok").alias("chunks_ok"), F.count_if(~F.col("ok")).alias("chunks_failed"), F.sum(F.when(F.col("ok"), F.col("new_tables")).otherwise(0)).cast("long").alias("tables_recovered"))
     joined = ruled.drop("text").join(chunk.reassemble(done), "doc_id", "left").join(counted, "doc_id", "left")
     figures = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("chunks", "chunks_ok", "chunks_failed", "tables_recovered")]

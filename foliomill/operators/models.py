@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -11,32 +10,22 @@ from pyspark.sql import functions as F
 
 from ..functions import predicates as Q
 from ..functions import text as T
+from . import answers
 from . import mask as M
+from .answers import with_retries
 
 
-def with_retries(call: Callable[[str], str], attempts: int = 3, least: float = 2.0, most: float = 15.0) -> Callable[[str], str]:
-    """call, tried again with growing pauses; the last error is raised."""
-
-    def tried(text: str) -> str:
-        for n in range(attempts):
-            try:
-                return call(text)
-            except Exception:
-                if n + 1 == attempts:
-                    raise
-                time.sleep(min(most, least * 2**n))
-        raise AssertionError
-
-    return tried
-
-
-def call_model(df: DataFrame, make: Callable[[], Callable[[str], str]], column: str = "text", fallback: str | None = None) -> DataFrame:
+def call_model(df: DataFrame, make: Callable[[], Callable[[str], str]], column: str = "text", fallback: str | None = None, store: str | None = None, prompt: str = "") -> DataFrame:
     """Add model_text, model_ok and model_error.
 
     ``make`` builds the client once in each Python worker.  Blank texts aren't
     sent.  A failed call gives the input back, or ``fallback`` where it is set.
-    Store the result before using it twice, or calls are paid for again.
+    Store the result before using it twice, or calls are paid for again; or name
+    a ``store`` of answers on storage that all executors share (``answers.ask``),
+    where each text is asked once for each prompt.
     """
+    if store is not None:
+        return answers.ask(df, make, store, column, prompt, fallback)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         call = with_retries(make())
@@ -59,14 +48,14 @@ def identity() -> Callable[[str], str]:
     return lambda text: text
 
 
-def clean_chunks(chunks: DataFrame, make: Callable[[], Callable[[str], str]] = identity) -> DataFrame:
+def clean_chunks(chunks: DataFrame, make: Callable[[], Callable[[str], str]] = identity, store: str | None = None) -> DataFrame:
     """Chunks with the model's text where it kept all placeholders; else as they were, with the reason.
 
-    Adds ok, error and new_tables.
+    Adds ok, error and new_tables.  With a store of answers equal chunks are asked once.
     """
     keyed = chunks.withColumn("_json", F.to_json("placeholders")).withColumn("_ord", F.to_json("chunk_ord"))
     flat = keyed.select("doc_id", "_ord", "page_no", "seq", "text", "_json")
-    answered = call_model(flat, make)
+    answered = call_model(flat, make, store=store, prompt="clean")
     back = answered.select(
         "doc_id", F.from_json("_ord", chunks.schema["chunk_ord"].dataType.simpleString()).alias("chunk_ord"), "page_no", "seq", "text",
         F.from_json("_json", chunks.schema["placeholders"].dataType.simpleString()).alias("placeholders"), T.strip_code_fence(F.col("model_text")).alias("_new"), "model_ok", "model_error",
@@ -82,20 +71,20 @@ def clean_chunks(chunks: DataFrame, make: Callable[[], Callable[[str], str]] = i
     )
 
 
-def describe_images(images: DataFrame, make: Callable[[], Callable[[str], str]]) -> DataFrame:
+def describe_images(images: DataFrame, make: Callable[[], Callable[[str], str]], store: str | None = None) -> DataFrame:
     """Images (path, content) with model_text, model_ok and model_error: the model is given a data URL; a failed call describes nothing."""
     asked = images.withColumn("_url", T.data_url(F.col("content"), F.col("path")))
-    return call_model(asked.drop("content"), make, "_url", fallback="").drop("_url")
+    return call_model(asked.drop("content"), make, "_url", "", store, "describe").drop("_url")
 
 
-def rescue_tables(candidates: DataFrame, make: Callable[[], Callable[[str], str]]) -> DataFrame:
+def rescue_tables(candidates: DataFrame, make: Callable[[], Callable[[str], str]], store: str | None = None) -> DataFrame:
     """Scored candidates (of ``layout.accept_tables``, with path and content of their picture); a rejected one that the model calls a table is accepted.
 
     Its score is then at least 0.5.  Accepted ones aren't sent; a failed call rescues nothing.
     """
     asked = candidates.withColumn("_url", F.when(~F.col("accepted"), T.data_url(F.col("content"), F.col("path"))))
     keyed = asked.drop("content").withColumn("_s", F.to_json(F.struct(*[c for c in asked.columns if c not in ("content", "_url", "path")])))
-    answered = call_model(keyed.select("path", "_url", "_s"), make, "_url", fallback="")
+    answered = call_model(keyed.select("path", "_url", "_s"), make, "_url", "", store, "rescue")
     schema = asked.drop("content", "_url", "path").schema.simpleString()
     back = answered.select("path", F.from_json("_s", schema).alias("c"), Q.yes_no(F.when(F.col("_url").isNotNull(), F.col("model_text"))).alias("rescued"), "model_ok").select("path", "c.*", "rescued", "model_ok")
     rescued = F.coalesce(F.col("rescued"), F.lit(False))

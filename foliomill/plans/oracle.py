@@ -263,6 +263,7 @@ SQL = {
     "file_ranges_fix": f"""WITH {LABELS}, r AS (SELECT doc_id AS norm, CAST(pos % 3 AS VARCHAR) AS stem, min(page) AS a, max(page) AS b FROM outline GROUP BY ALL) SELECT norm, CAST(stem AS INT) AS pos, '- ' || stem || '（第' || a || '～' || b || '页）' AS line, norm % 2 = 1 AS changed FROM r""",
     "dead_links": """SELECT doc_id AS norm, 'i-index.md' AS index_path, 'b/c.md' AS target FROM documents WHERE doc_id % 2 = 1 UNION ALL SELECT doc_id, 'i-index.md', 'd' || doc_id || '.md' FROM documents WHERE doc_id % 3 <> 0""",
     "missing_references": "SELECT DISTINCT source, lang AS norm FROM documents WHERE lang IS NOT NULL AND source IS NOT NULL AND source <> lang AND lang <> 'en'",
+    "model_answers": r"SELECT doc_id, md5(CASE WHEN regexp_matches(text, '^\s*$') THEN text ELSE '答：' || text END) AS text_md5, TRUE AS model_ok FROM documents",
     "citation_targets": f"""WITH {LABELS}, c AS (SELECT doc_id, '第 ' || (pos // 4) || ' 条' AS article, pos FROM reg WHERE pos % 4 = 0) SELECT '规范' || c.doc_id AS norm, article, c.pos, o.page FROM c LEFT JOIN outline o ON o.doc_id = c.doc_id AND o.label = article""",
     "long_document_scan": f"""WITH {REG}, one AS (SELECT 'all' AS doc_id, doc_id * 1000000 + pos AS pos, line FROM reg)
  SELECT doc_id, pos, CAST(greatest(1, coalesce(max(CASE WHEN line LIKE '<!-- 第 %' THEN CAST(regexp_extract(line, '([0-9]+)', 1) AS INT) + 1 END) OVER w, 1)) AS INT) AS page,

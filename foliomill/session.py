@@ -35,20 +35,21 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-def _hadoop_path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system of a path, and the path as that knows it."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
 
 
 def remove(spark: SparkSession, path: str) -> None:
     """Remove a folder of the shared store, if it is there."""
-    files, hadoop = _hadoop_path(spark, path)
+    files, hadoop = hadoop_path(spark, path)
     files.delete(hadoop, True)
 
 
 def remove_at_end(spark: SparkSession, path: str) -> None:
     """Remove a folder of the shared store when the driver ends."""
-    files, hadoop = _hadoop_path(spark, path)
+    files, hadoop = hadoop_path(spark, path)
     files.deleteOnExit(hadoop)
 
 

@@ -76,19 +76,22 @@ def parse_docx(content: bytes) -> list[dict]:
     return [{"block_pos": i} | b for i, b in enumerate(out)]
 
 
+def blocks_of(path: str, content: bytes | None) -> list[dict]:
+    """Rows of one file by column; one with its error, if it can't be read.  An old .doc needs no content."""
+    try:
+        if path.lower().endswith(".doc"):
+            raise ValueError("no converter for .doc")
+        return [{"path": path, "status": "ok", "error": None} | b for b in parse_docx(content)]
+    except (ValueError, KeyError, zipfile.BadZipFile, ElementTree.ParseError) as e:
+        return [{"path": path, "status": "failed", "error": str(e), "block_pos": None, "kind": None, "style": None, "runs": None, "grid": None}]
+
+
 def docx_blocks(files: DataFrame) -> DataFrame:
     """Blocks of binary files (path, content); a file that can't be read gives one row with its error."""
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for path, content in zip(batch["path"], batch["content"], strict=True):
-                try:
-                    if path.lower().endswith(".doc"):
-                        raise ValueError("no converter for .doc")
-                    rows += [{"path": path, "status": "ok", "error": None} | b for b in parse_docx(content)]
-                except (ValueError, KeyError, zipfile.BadZipFile, ElementTree.ParseError) as e:
-                    rows.append({"path": path, "status": "failed", "error": str(e), "block_pos": None, "kind": None, "style": None, "runs": None, "grid": None})
+            rows = [b for path, content in zip(batch["path"], batch["content"], strict=True) for b in blocks_of(path, content)]
             columns = [c.split()[0] for c in BLOCKS.split(", ")]
             frame = pd.DataFrame(rows, columns=columns)
             frame["block_pos"] = frame["block_pos"].astype("Int32")
