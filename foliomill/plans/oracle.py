@@ -16,6 +16,13 @@ reg AS (SELECT doc_id, CAST(i * 4 AS INT) AS pos, line FROM deco
 )
 PAGED = REG + """, paged AS (SELECT doc_id, pos, line, CAST(greatest(1, coalesce(max(CASE WHEN line LIKE '<!-- 第 %' THEN CAST(regexp_extract(line, '([0-9]+)', 1) AS INT) + 1 END)
  OVER (PARTITION BY doc_id ORDER BY pos), 1)) AS INT) AS page FROM reg)"""
+CITES = LINES + """, art AS (SELECT doc_id, i FROM lines WHERE i % 4 = 1),
+named_cites AS (SELECT doc_id, i, i AS si, 0 AS ord, 'named' AS kind, doc_id + 1 AS t, 1 AS ti FROM art WHERE i % 8 = 5
+ UNION ALL SELECT doc_id, i, i, 1, '前条', doc_id, i - 4 FROM art WHERE i % 8 = 5 AND doc_id % 6 = 0
+ UNION ALL SELECT doc_id, i, i, CASE WHEN doc_id % 6 = 0 THEN 2 ELSE 1 END, 'own', doc_id, 9 FROM art WHERE i % 16 = 13
+ UNION ALL SELECT doc_id, i, i, 0, 'own', doc_id, 5 FROM art WHERE i = 1
+ UNION ALL SELECT doc_id, i, i, 0, '前条', doc_id, i - 4 FROM art WHERE i % 8 = 1 AND i > 1),
+cites AS (SELECT * FROM named_cites UNION ALL SELECT doc_id, i, i - 1, k.ord, k.kind, doc_id, i - 1 FROM lines, (VALUES (0, '前款'), (1, '本条'), (2, '本章')) k(ord, kind) WHERE i % 4 = 2)"""
 LABELS = PAGED + """, named AS (SELECT doc_id, pos, page, line, CASE WHEN NOT (line LIKE '%....%') AND line LIKE '## %' THEN regexp_extract(line, '^## ([0-9]+\\.[0-9]+)', 1)
  WHEN NOT (line LIKE '%....%') AND regexp_matches(line, '^第 [0-9]+ 条') THEN regexp_extract(line, '^(第 [0-9]+ 条)', 1) END AS label FROM paged),
 outline AS (SELECT doc_id, label, CAST(arg_min(page, pos) AS INT) AS page, min(pos) AS pos FROM named WHERE label IS NOT NULL AND label <> '' GROUP BY ALL)"""
@@ -264,6 +271,13 @@ SQL = {
     "dead_links": """SELECT doc_id AS norm, 'i-index.md' AS index_path, 'b/c.md' AS target FROM documents WHERE doc_id % 2 = 1 UNION ALL SELECT doc_id, 'i-index.md', 'd' || doc_id || '.md' FROM documents WHERE doc_id % 3 <> 0""",
     "missing_references": "SELECT DISTINCT source, lang AS norm FROM documents WHERE lang IS NOT NULL AND source IS NOT NULL AND source <> lang AND lang <> 'en'",
     "model_answers": r"SELECT doc_id, md5(CASE WHEN regexp_matches(text, '^\s*$') THEN text ELSE '答：' || text END) AS text_md5, TRUE AS model_ok FROM documents",
+    "citation_graph": f"""WITH {CITES} SELECT CAST(doc_id AS VARCHAR) AS norm, CAST(i * 4 AS INT) AS pos, CAST(ord AS INT) AS ord, '第' || (si + 1) || '条' AS article, kind, CAST(t AS VARCHAR) AS target_norm,
+ CASE WHEN kind = '本章' THEN '第' || (i // 12 + 1) || '章' WHEN ti >= 0 THEN '第' || (ti + 1) || '条' END AS target_article, CAST(CASE WHEN kind = '前款' THEN 1 ELSE 0 END AS BIGINT) AS target_paragraph,
+ kind IN ('前款', '本条', '本章') OR (ti >= 0 AND EXISTS (SELECT 1 FROM art WHERE art.doc_id = t AND art.i = ti)) AS found FROM cites""",
+    "citation_reach": f"""WITH RECURSIVE {CITES}, e AS (SELECT DISTINCT doc_id AS s, si, t, ti FROM cites WHERE kind <> '本章' AND EXISTS (SELECT 1 FROM art WHERE art.doc_id = t AND art.i = ti)),
+r AS (SELECT doc_id AS s, i AS si, doc_id AS t, i AS ti, 0 AS n FROM art UNION SELECT r.s, r.si, e.t, e.ti, r.n + 1 FROM r JOIN e ON e.s = r.t AND e.si = r.ti WHERE r.n < 3)
+SELECT CAST(s AS VARCHAR) AS start_norm, '第' || (si + 1) || '条' AS start_article, CAST(t AS VARCHAR) AS norm, '第' || (ti + 1) || '条' AS article, CAST(min(n) AS INT) AS distance,
+ EXISTS (SELECT 1 FROM e WHERE e.s = r.t AND e.si = r.ti AND e.t = r.s AND e.ti = r.si) AS closes FROM r GROUP BY s, si, t, ti""",
     "citation_targets": f"""WITH {LABELS}, c AS (SELECT doc_id, '第 ' || (pos // 4) || ' 条' AS article, pos FROM reg WHERE pos % 4 = 0) SELECT '规范' || c.doc_id AS norm, article, c.pos, o.page FROM c LEFT JOIN outline o ON o.doc_id = c.doc_id AND o.label = article""",
     "long_document_scan": f"""WITH {REG}, one AS (SELECT 'all' AS doc_id, doc_id * 1000000 + pos AS pos, line FROM reg)
  SELECT doc_id, pos, CAST(greatest(1, coalesce(max(CASE WHEN line LIKE '<!-- 第 %' THEN CAST(regexp_extract(line, '([0-9]+)', 1) AS INT) + 1 END) OVER w, 1)) AS INT) AS page,

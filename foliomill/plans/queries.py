@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import patterns as P
 from ..functions import predicates as Q
 from ..functions import text as T
-from ..operators import answers, chunk, driver, integrity, layout, lines, mask, models, outline, postings, qa, report, rules, split, structure
+from ..operators import answers, chunk, citations, driver, integrity, layout, lines, mask, models, outline, postings, qa, report, rules, split, structure
 from ..session import read_table, remove_at_end, shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -788,3 +788,25 @@ def page_overlap(spark, d):
     files = split.split_chunks(s, ["doc_id", "chapter_id"]).where("not is_table")
     pages = files.select("doc_id", "chapter_id", "part_no", F.explode(F.sequence("start_page", "end_page")).alias("page"))
     return pages.groupBy("doc_id", "chapter_id", "page").agg(F.count("*").alias("files")).where("files > 1")
+
+
+def _citing(spark, d):
+    """Body lines of the dressed documents as norms; articles cite one another and the next document, other lines what stands before them."""
+    i, norm = F.expr("pos div 4"), F.col("doc_id").cast("string")
+    following = F.concat(F.lit("《"), (F.col("doc_id") + 1).cast("string"), F.lit("》第 2 条"))
+    cites = F.when(i % 8 == 5, F.concat(F.lit(" 见"), following, F.when(F.col("doc_id") % 6 == 0, "、前条").otherwise(F.lit("")), F.when(i % 16 == 13, "、第 10 条").otherwise(F.lit(""))))
+    cites = cites.when(i == 1, F.lit(" 见第 6 条")).when(i % 8 == 1, F.lit(" 见前条")).when(i % 4 == 2, F.lit(" 按前款、本条和本章")).otherwise(F.lit(""))
+    return reg(spark, d).where("pos % 4 = 0").select(norm.alias("norm"), "pos", F.concat("line", cites).alias("line"))
+
+
+@query
+def citation_graph(spark, d):
+    """Every citation of the norms with its target, by name or by position; paragraph 0 where it cites none."""
+    return citations.references(_citing(spark, d)).withColumn("target_paragraph", F.coalesce("target_paragraph", F.lit(0).cast("long")))
+
+
+@query
+def citation_reach(spark, d):
+    """What each article leads to in at most three citations."""
+    cited = _citing(spark, d)
+    return citations.reachable(citations.article_links(citations.references(cited)), citations.articles(cited), 3)
