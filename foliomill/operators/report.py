@@ -6,11 +6,12 @@ never one string; only a norm's own part, which lists at most 200 issues, is.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions import text as T
+from ..session import cut
 from .driver import split_flag
 from .rules import COUNTERS
 
@@ -27,13 +28,24 @@ def page_totals(pages: DataFrame, key: str = "file") -> DataFrame:
 SUMS = ("pages", "tables", "images", "model_calls", "model_ok", "model_failed")
 
 
-def extraction_totals(records: DataFrame) -> DataFrame:
-    """One row: files by status (ok, failed, any kind of skipped) and the sums of their figures."""
+def _extraction_figures() -> list[Column]:
     is_ = lambda s: F.count_if(F.col("status") == s).alias
-    return records.agg(
+    return [
         F.count("*").alias("files"), is_("ok")("ok"), F.count_if(F.col("status").startswith("skipped")).alias("skipped"), is_("failed")("failed"),
         *[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in SUMS],
-    )
+    ]
+
+
+def extraction_totals(records: DataFrame) -> DataFrame:
+    """One row: files by status (ok, failed, any kind of skipped) and the sums of their figures."""
+    return records.agg(*_extraction_figures())
+
+
+def observed(rows: DataFrame, name: str, *figures: Column) -> tuple[DataFrame, DataFrame]:
+    """rows, stored by one pass over what they are made of, and one row of figures that was taken while they were written."""
+    seen = Observation(name)
+    kept = cut(rows.observe(seen, *figures), name)
+    return kept, rows.sparkSession.range(1).select(*[F.lit(v).alias(c) for c, v in seen.get.items()])
 
 
 def _cells(*columns: Column) -> Column:
@@ -59,7 +71,7 @@ def _table(part: int, totals: DataFrame, title: str, heads: tuple[str, ...], row
 
 def extraction_report(records: DataFrame) -> DataFrame:
     """The report of an extraction run over records (file, kind, status, error, n_chars, SUMS)."""
-    t = extraction_totals(records).cache()
+    records, t = observed(records, "extraction-records", *_extraction_figures())
     n = lambda c: F.col(c).cast("string")
     head = _head(0, t, [
         "# 文档提取运行报告", "", "## 总览", "", "| 指标 | 数值 |", "| --- | --- |",
@@ -84,7 +96,8 @@ RULE_NAMES = (
 def clean_report(cleaned: DataFrame, key: str = "doc_id") -> DataFrame:
     """The report of a cleaning run over the rows of ``driver.clean_documents``."""
     sums = ("chars_before", "chars_after", "chunks", "chunks_ok", "chunks_failed", "tables_recovered", *COUNTERS)
-    t = cleaned.agg(F.count("*").alias("files"), F.count_if(F.col("status") == "ok").alias("ok"), F.count_if(F.col("status") == "failed").alias("failed"), *[F.coalesce(F.sum(c), F.lit(0)).cast("string").alias(c) for c in sums]).cache()
+    figures = (F.count("*").alias("files"), F.count_if(F.col("status") == "ok").alias("ok"), F.count_if(F.col("status") == "failed").alias("failed"), *[F.coalesce(F.sum(c), F.lit(0)).cast("string").alias(c) for c in sums])
+    cleaned, t = observed(cleaned.select(key, "status", "error", *sums), "cleaned", *figures)
     head = _head(0, t, [
         "# Markdown 清洗运行报告", "", "## 总览", "", "| 指标 | 数值 |", "| --- | --- |",
         *[_cells(F.lit(name), F.col(c)) for name, c in (("文件总数", "files"), ("✓ 成功", "ok"), ("✗ 失败", "failed"), ("总字符（清洗前）", "chars_before"), ("总字符（清洗后）", "chars_after"))],
@@ -104,7 +117,7 @@ def clean_report(cleaned: DataFrame, key: str = "doc_id") -> DataFrame:
 
 def split_report(indexes: DataFrame, key: str = "doc_id") -> DataFrame:
     """The report of a split run over the indexes of ``driver.split_documents``; suspicious ratios are marked."""
-    t = indexes.agg(F.count("*").alias("n"))
+    indexes, t = observed(indexes.select(key, "chapters", "files", "src_lines", "body_lines"), "split-indexes", F.count("*").alias("n"))
     d = split_flag(indexes)
     shown = F.concat(F.format_string("%.2f%%", F.coalesce(F.col("ratio"), F.lit(0.0)) * 100), F.when(F.col("flag"), F.lit(" [!]")).otherwise(F.lit("")))
     heads = "| 源文件 | 章数 | 正文文件数 | 源行数 | 拆分行数 | 差值 | 比值 |"
