@@ -1,8 +1,8 @@
 """Model answers that are kept: each distinct text is asked once, however often runs are repeated.
 
 The store is a folder of Parquet files (key, answer) below ``prompt=…``, one for
-each prompt.  Tasks write answers there while they work, a few at a time, so a
-task that is killed loses at most those in flight; a task that is tried again
+each prompt.  Tasks write answers there while they work, every few seconds, so a
+task that is killed loses at most those of the last seconds; a task that is tried again
 reads what its earlier attempts wrote and goes on from there.  Speculative copies
 of a task ask twice and change nothing else.
 
@@ -96,6 +96,14 @@ def kept(spark: SparkSession, store: str, prompt: str = "") -> DataFrame:
     return found.groupBy("key").agg(F.min("answer").alias("answer"))
 
 
+def keep(folder: str, files: fs.FileSystem, answers: list[tuple[str, str]]) -> None:
+    """Write answers (key, answer) as one file, which readers see whole or not at all."""
+    name = f"{folder}/{uuid.uuid4().hex}"
+    keys, texts = zip(*answers, strict=True)
+    pq.write_table(pa.table({"key": pa.array(keys, pa.string()), "answer": pa.array(texts, pa.string())}), f"{name}.part", filesystem=files)
+    files.move(f"{name}.part", f"{name}.parquet")
+
+
 def _asking(folder: str, make: Callable, limits: dict) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """What a task does: ask for the texts (key, text) that none of its attempts has an answer of, some at once; the failures (key, error)."""
 
@@ -112,17 +120,15 @@ def _asking(folder: str, make: Callable, limits: dict) -> Callable[[Iterator[pd.
             left = [(k, t) for k, t in zip(batch["key"], batch["text"], strict=True) if k not in done]
             if left and call is None:
                 call = with_retries(within(make(), limits["seconds"]), limits["attempts"], limits["pause"])
-            failed = []
+            failed, answers, since = [], [], time.monotonic()
             for at in range(0, len(left), limits["flush"]):
                 with ThreadPoolExecutor(limits["at_once"]) as pool:
                     asked = [(k, pool.submit(call, t)) for k, t in left[at : at + limits["flush"]]]
-                answers = [(k, f.result()) for k, f in asked if f.exception() is None]
+                answers += [(k, f.result()) for k, f in asked if f.exception() is None]
                 failed += [(k, str(f.exception()) or type(f.exception()).__name__) for k, f in asked if f.exception() is not None]
-                if answers:
-                    name = f"{mine}/{uuid.uuid4().hex}"
-                    keys, texts = zip(*answers, strict=True)
-                    pq.write_table(pa.table({"key": pa.array(keys, pa.string()), "answer": pa.array(texts, pa.string())}), f"{name}.part", filesystem=files)
-                    files.move(f"{name}.part", f"{name}.parquet")
+                if answers and (time.monotonic() - since >= limits["every"] or at + limits["flush"] >= len(left)):
+                    keep(mine, files, answers)
+                    answers, since = [], time.monotonic()
             yield pd.DataFrame(failed, columns=["key", "error"])
 
     return ask
@@ -130,7 +136,7 @@ def _asking(folder: str, make: Callable, limits: dict) -> Callable[[Iterator[pd.
 
 def ask(
     df: DataFrame, make: Callable[[], Callable[[str], str]], store: str, column: str = "text", prompt: str = "", fallback: str | None = None, tasks: int | None = None,
-    seconds: float | None = 120.0, attempts: int = 3, pause: float = 2.0, at_once: int = 4, flush: int = 32,
+    seconds: float | None = 120.0, attempts: int = 3, pause: float = 2.0, at_once: int = 4, flush: int = 32, every: float = 10.0,
 ) -> DataFrame:
     """df with model_text, model_ok and model_error; the calls are made at once, those for kept answers not at all.
 
@@ -138,7 +144,8 @@ def ask(
     name); ``make`` builds the client once in each task.  Blank texts aren't sent
     and stay as they are.  A call that fails ``attempts`` times, or takes longer
     than ``seconds``, gives the input back, or ``fallback``.  A task has
-    ``at_once`` calls open and keeps answers after every ``flush`` calls.
+    ``at_once`` calls open; after each ``flush`` calls it keeps the answers, if the last
+    time was ``every`` seconds ago or the batch is done, so fast models make few files.
 
     Equal texts are made one before the shuffle.  The join back goes by key:
     a text that very many rows share makes a skewed key there, which adaptive
@@ -152,7 +159,7 @@ def ask(
     pending = wanted.join(kept(spark, store, prompt).select("key"), "key", "left_anti")
     # rows of a stored table are dealt to tasks alike each time a task is tried
     pending = cut(pending.repartition(tasks, "key") if tasks else pending, "model-pending")
-    limits = {"seconds": seconds, "attempts": attempts, "pause": pause, "at_once": at_once, "flush": flush}
+    limits = {"seconds": seconds, "attempts": attempts, "pause": pause, "at_once": at_once, "flush": flush, "every": every}
     failed = cut(pending.mapInPandas(_asking(f"{_folder(store, prompt)}/run={uuid.uuid4().hex}", make, limits), "key string, error string"), "model-failed")
     found = keyed.join(kept(spark, store, prompt), "key", "left").join(failed, "key", "left")
     text = F.when(F.col("key").isNull(), F.col("text")).otherwise(F.coalesce("answer", "text" if fallback is None else F.lit(fallback)))

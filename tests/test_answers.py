@@ -116,7 +116,7 @@ def make():
 
 df = spark.range(80).select(F.concat(F.lit("t"), F.col("id") % 40).alias("text"))
 for _ in range(2):
-    got = answers.ask(df, make, base + "/store", flush=1, at_once=1)
+    got = answers.ask(df, make, base + "/store", flush=1, at_once=1, every=0)
     assert got.where("model_text = text || '!'").count() == 80
 spark.stop()
 """
