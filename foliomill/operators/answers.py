@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..session import cut
+from ..session import cut, remove, scratch
 from ..sources.word import store_of
 
 SCHEMA = "key string, answer string"
@@ -157,10 +157,11 @@ def ask(
     keyed = df.select(key_of(F.col(column)).alias("key"), F.col(column).alias("text"), F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns if c not in added]).alias("row"))
     wanted = keyed.where("key is not null").select("key", "text").distinct()
     pending = wanted.join(kept(spark, store, prompt).select("key"), "key", "left_anti")
-    # rows of a stored table are dealt to tasks alike each time a task is tried
-    pending = cut(pending.repartition(tasks, "key") if tasks else pending, "model-pending")
     limits = {"seconds": seconds, "attempts": attempts, "pause": pause, "at_once": at_once, "flush": flush, "every": every}
-    failed = cut(pending.mapInPandas(_asking(f"{_folder(store, prompt)}/run={uuid.uuid4().hex}", make, limits), "key string, error string"), "model-failed")
+    with scratch(spark):
+        # rows of a stored table are dealt to tasks alike each time a task is tried
+        pending = cut(pending.repartition(tasks, "key") if tasks else pending, "model-pending")
+        failed = cut(pending.mapInPandas(_asking(f"{_folder(store, prompt)}/run={uuid.uuid4().hex}", make, limits), "key string, error string"), "model-failed", stays=1)
     found = keyed.join(kept(spark, store, prompt), "key", "left").join(failed, "key", "left")
     text = F.when(F.col("key").isNull(), F.col("text")).otherwise(F.coalesce("answer", "text" if fallback is None else F.lit(fallback)))
     ok = F.col("key").isNull() | F.col("answer").isNotNull()
@@ -169,8 +170,6 @@ def ask(
 
 def compact(spark: SparkSession, store: str, prompt: str = "") -> None:
     """Put the answers of a prompt into few files; to be run while nobody asks."""
-    from ..session import remove
-
     folder = _folder(store, prompt)
     files, where, _ = store_of(folder)
     old = [f.path for f in files.get_file_info(fs.FileSelector(where)) if f.type == fs.FileType.Directory]
