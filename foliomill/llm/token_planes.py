@@ -89,7 +89,7 @@ def write_token_files(
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = word_encoder(tokenizer_path).encode, np.array([end_id], "<u4").tobytes()
+        encode, end = word_encoder(tokenizer_path).encode_all, np.array([end_id], "<u4").tobytes()
         part, seq, before = TaskContext.get().partitionId(), 0, 0
         keys, counts, held, n = [], [], [], 0
 
@@ -98,8 +98,8 @@ def write_token_files(
             return pa.RecordBatch.from_pylist([{"part": part, "seq": seq, "before": before, "n_docs": len(keys), "n_ids": n, "content": content}], SCHEMA)
 
         for batch in batches:
-            for k, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                held.append(encode(t.as_py()) + end)
+            for k, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist()), strict=True):
+                held.append(ids + end)
                 keys.append(k)
                 counts.append(len(held[-1]) // 4)
                 n += counts[-1]
