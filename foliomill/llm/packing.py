@@ -82,12 +82,12 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, window: int, g
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = word_encoder(tokenizer_path).encode, np.array([end_id], "<u4").tobytes()
+        encode, end = word_encoder(tokenizer_path).encode_all, np.array([end_id], "<u4").tobytes()
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             out = []
-            for k, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = encode(t.as_py()) + end
+            for k, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist()), strict=True):
+                ids += end
                 n = len(ids) // 4
                 for s in range(0, n, window):
                     row += 1

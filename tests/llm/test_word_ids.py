@@ -8,7 +8,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from foliomill.llm import token_planes
+from foliomill.llm import packing, token_planes
 from foliomill.llm.word_ids import WordEncoder
 
 WORD = public_tokenizers.path("word_bpe_49k.json")
@@ -69,3 +69,10 @@ def test_token_files_encode_a_batch_at_once(spark, monkeypatch, batch_sizes):
     docs = spark.createDataFrame([(i, "a b") for i in range(60)], "doc_id long, text string").coalesce(1)
     got = token_planes.read_token_files(token_planes.write_token_files(docs, WORD, 1)).collect()
     assert {r.n_tokens for r in got} == {2} and sum(1 / np.frombuffer(r.ids, "<u4")[0] for r in got) <= spark.sparkContext.defaultParallelism
+
+
+def test_packing_encodes_a_batch_at_once(spark, monkeypatch, batch_sizes):
+    monkeypatch.setattr(packing, "word_encoder", batch_sizes)
+    docs = spark.createDataFrame([(i, "a b") for i in range(60)], "doc_id long, text string").coalesce(1)
+    got = packing.cut_pieces(docs, WORD, 2, window=2, groups=3).collect()
+    assert [(r.length, r.doc_tokens, *np.frombuffer(r.ids, "<u4")) for r in got] == [(2, 2, 60, 2)] * 60
