@@ -119,7 +119,9 @@ def split_report(indexes: DataFrame, key: str = "doc_id") -> DataFrame:
     """The report of a split run over the indexes of ``driver.split_documents``; suspicious ratios are marked."""
     indexes, t = observed(indexes.select(key, "chapters", "files", "src_lines", "body_lines"), "split-indexes", F.count("*").alias("n"))
     d = split_flag(indexes)
-    shown = F.concat(F.format_string("%.2f%%", F.coalesce(F.col("ratio"), F.lit(0.0)) * 100), F.when(F.col("flag"), F.lit(" [!]")).otherwise(F.lit("")))
+    # in whole hundredths of a percent, halves up: a ratio in doubles lies on either side of a half
+    share = F.coalesce(F.expr("(body_lines * 20000L + src_lines) div nullif(2L * src_lines, 0L)"), F.lit(0))
+    shown = F.concat(F.format_string("%d.%02d%%", F.floor(share / 100), share % 100), F.when(F.col("flag"), F.lit(" [!]")).otherwise(F.lit("")))
     heads = "| 源文件 | 章数 | 正文文件数 | 源行数 | 拆分行数 | 差值 | 比值 |"
     head = _head(0, t, ["# Wiki 批量拆分报告", "", F.format_string("- 成功：%d 份", "n"), "", heads, "| --- | ---: | ---: | ---: | ---: | ---: | ---: |"])
     order = F.format_string("%020d", key) if dict(indexes.dtypes)[key] in ("int", "bigint") else F.col(key)

@@ -1,5 +1,7 @@
 """Totals of reports are taken while the rows are stored."""
 
+from decimal import ROUND_HALF_UP, Decimal
+
 from pyspark.sql import functions as F
 
 from foliomill.operators import driver, report
@@ -32,3 +34,12 @@ def test_reports_without_rows(spark):
     assert "| 文件总数 | 0 |" in lines and not any(x.startswith("## 文件明细") for x in lines)
     named = none.withColumn("name", F.lit("n"))
     assert report.text_of(report.split_report(driver.split_documents(named)[1])).count() == 6  # the title, the number of files and the heads
+
+
+def test_halves_of_a_hundredth_of_a_percent_are_shown_upwards(spark):
+    figures = [(169, 160), (171, 160), (7, 32), (1, 3), (2, 3), (0, 5), (0, 0), (3, 1), (1, 20000), (57345, 100000)]
+    rows = [(i, 1, 1, source, body) for i, (body, source) in enumerate(figures)]
+    found = report.split_report(spark.createDataFrame(rows, "doc_id long, chapters int, files int, src_lines int, body_lines long"))
+    shown = [r.line.split(" | ")[-1].split("%")[0] for r in found.where("part = 1").orderBy("ord").collect()]
+    exact = [(Decimal(100 * body) / (source or 1)).quantize(Decimal("0.01"), ROUND_HALF_UP) for body, source in figures]
+    assert shown == [str(x) for x in exact] and shown[:3] == ["105.63", "106.88", "21.88"]
