@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from foliomill.operators import qa
 
 
@@ -63,3 +65,38 @@ def test_verdicts(spark):
     assert got == [(i // 3, i, *c[3:]) for i, c in enumerate(cases)] + [(9, 99, *cases[3][3:])]
     empty = qa.verdicts(spark.createDataFrame(rows[:2], "answer_id int, seq int, path string, article string, excerpt string"), passages.where("path = 'none'"))
     assert [r.verdict for r in empty.collect()] == ["编造", "编造"]
+
+
+def test_edits_of_many_pairs_side_by_side():
+    rnd = random.Random(11)
+    excerpts, texts = [], []
+    for _ in range(120):
+        text = "".join(rnd.choice("abcdefgh é𝒳医") for _ in range(rnd.randint(20, 160)))
+        at, n = rnd.randint(0, len(text) - 15), rnd.randint(13, 60)
+        part = list(text[at : at + n])
+        if len(part) > 13:
+            part[13:13] = rnd.choice(["", "z", "zz"])
+        excerpts.append("".join(part))
+        texts.append(rnd.choice([text, text, texts[-1] if texts else text]))
+    excerpts, texts = [*excerpts, "", "abc"], [*texts, "abc", ""]
+    limits = [len(x) // 5 for x in excerpts]
+    want = [least_edits(x, t) if any(x[i : i + qa.KEY] in t for i in range(max(1, len(x) - qa.KEY + 1))) and x else None for x, t in zip(excerpts, texts, strict=True)]
+    want = [w if w is not None and w <= limit else None for w, limit in zip(want, limits, strict=True)]
+    assert qa.all_edits(excerpts, texts, limits) == want and sum(w is not None for w in want) > 60
+
+
+def test_texts_are_read_once_for_a_million_keys(spark, tmp_path):
+    folder = str(tmp_path)
+
+    @F.udf("string")
+    def read(path):
+        with open(f"{folder}/{path}", "a") as f:
+            f.write("x")
+        return "the quick brown fox " * 3 + path
+
+    bodies = spark.range(6).select(F.col("id").cast("string").alias("path")).withColumn("text", read.asNondeterministic()("path"))
+    wanted = [int(x) for x in qa._windows("quick brown fox", 12).view("int64")]
+    keys = spark.range(1 << 20).select(F.lit(12).alias("n"), F.xxhash64("id").alias("h")).unionByName(spark.createDataFrame([(12, h) for h in wanted], "n int, h long"))
+    found = qa._looked_up(keys, bodies).join(keys.distinct(), ["n", "h"]).select("path", "h").collect()
+    assert sorted((r.path, r.h) for r in found) == sorted((str(p), h) for p in range(6) for h in wanted)
+    assert [len(f.read_text()) for f in tmp_path.iterdir()] == [1] * 6
