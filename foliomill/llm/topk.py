@@ -2,8 +2,8 @@
 
 Vectors are quantised to integers and packed into blocks.  Every query block
 meets every candidate block; a task scores the pair by a matrix product and
-gives back, for each query, only the histogram bins from the top down to its
-own k-th score (the global k-th score can't lie lower).  The summed histograms
+gives back, for each query, only the histogram of its own k best scores (those of
+the k best of all that lie in the block are among them).  The summed histograms
 show the bin that holds the k-th score; the next pass splits that bin, until a
 bin is one score.  A last pass keeps the scores at or above it, in each block
 no more than k by (score, smaller id), and k of those remain.
@@ -31,7 +31,11 @@ from pyspark.sql import functions as F
 from ..session import cut, scratch
 
 BLOCK = "ids binary, vectors binary"
+#: How components are stored, by their bytes.
+KINDS = {2: "<i2", 4: "<f4", 8: "<f8"}
 NONE_BELOW = -(1 << 62)
+#: Less than any score.
+NOBODY = np.iinfo(np.int64).min
 #: Scores beyond it count as it, so that differences of scores fit a long.
 MOST = (1 << 62) - 1
 
@@ -55,6 +59,9 @@ def _blocks(rows: DataFrame, size: int, more: str = "") -> DataFrame:
 
         def out(dim: int) -> pa.RecordBatch:
             ids, vectors, *rest = (np.concatenate(x) for x in zip(*held.pop(dim), strict=True))
+            # whole numbers, in the fewest bytes that hold the block's largest
+            largest = np.abs(vectors).max(initial=0)
+            vectors = vectors.astype(KINDS[2] if largest < 1 << 15 else KINDS[4] if largest < 1 << 24 else KINDS[8])
             packed = [pa.array([dim], pa.int32()), *[pa.array([x.tobytes()], pa.binary()) for x in (ids, vectors, *rest)]]
             return pa.RecordBatch.from_arrays(packed, ["dim", "ids", "vectors", *extra])
 
@@ -77,8 +84,12 @@ def _blocks(rows: DataFrame, size: int, more: str = "") -> DataFrame:
 
 
 def _grid(queries: DataFrame, candidates: DataFrame, n_candidates: int) -> DataFrame:
-    """Every query block beside every candidate block of its dimension, by an equi-join on the block's number."""
-    asked = queries.select("*", F.explode(F.sequence(F.lit(0), F.lit(max(n_candidates - 1, 0)))).alias("block"))
+    """Every query block beside every candidate block of its dimension, by an equi-join on the block's number.
+
+    The planner takes the queries for as small as they are before each goes to
+    every block, and would broadcast all their copies; so it is told to merge.
+    """
+    asked = queries.select("*", F.explode(F.sequence(F.lit(0), F.lit(max(n_candidates - 1, 0)))).alias("block")).hint("merge")
     others = candidates.select("block", F.col("dim").alias("dim_"), F.col("ids").alias("c_ids"), F.col("vectors").alias("c_vectors"))
     return asked.join(others, "block").where("dim = dim_").drop("block", "dim_")
 
@@ -88,6 +99,8 @@ def _scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     dim = max(1, q.shape[1])
     reach = np.sqrt(2.0**52 / dim)  # products of two vectors within it stay below 2^53
     q_big, c_big = (np.abs(x).max(axis=1, initial=0) > reach for x in (q, c))
+    if not (q_big.any() or c_big.any()):
+        return (q @ c.T).astype(np.int64)
     out = np.zeros((len(q), len(c)), np.int64)
     out[np.ix_(~q_big, ~c_big)] = (q[~q_big] @ c[~c_big].T).astype(np.int64)
     whole = np.frompyfunc(int, 1, 1)
@@ -98,6 +111,18 @@ def _scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     return out
 
 
+def _pair(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of queries and candidates and their scores, NOBODY where a query meets its own id."""
+    q_ids, c_ids = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["c_ids"], "<i8")
+    shapes = (("vectors", len(q_ids)), ("c_vectors", len(c_ids)))
+    q, c = (np.frombuffer(row[x], KINDS.get(len(row[x]) // max(1, n * row["dim"]), "<f8")).astype(np.float64).reshape(n, row["dim"]) for x, n in shapes)
+    scores = _scores(q, c)
+    own = np.flatnonzero(np.isin(q_ids, c_ids))
+    who, which = np.nonzero(q_ids[own, None] == c_ids)
+    scores[own[who], which] = NOBODY
+    return q_ids, c_ids, scores
+
+
 def top_k(df: DataFrame, query: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int = 5, scale: int = 256, bins: int = 1024, block: int = 4096, query_block: int = 512) -> DataFrame:
     """query_id, rank, vec_id, score: the k best of df for each row of query, itself left out."""
     with scratch(df.sparkSession):
@@ -126,22 +151,17 @@ def _top_k(df: DataFrame, query: DataFrame, key: str, vector: str, k: int, scale
     def histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                q_ids, c_ids = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["c_ids"], "<i8")
-                scores = _scores(np.frombuffer(row["vectors"]).reshape(len(q_ids), -1), np.frombuffer(row["c_vectors"]).reshape(len(c_ids), -1))
-                lo, width, need = (np.frombuffer(row[x], "<i8") for x in ("lo", "width", "need"))
-                bin_ = (scores - lo[:, None]) // width[:, None]
-                # above the range: counted before, so not again; below it: of no use
-                skip = (bin_ < 0) | (bin_ >= bins) | (q_ids[:, None] == c_ids[None, :])
-                bin_[skip] = -1
-                # a query's own top bins: at least as many as it needs lie in them
-                keep = min(int(need.max(initial=1)), bin_.shape[1])
-                top = -np.partition(-bin_, keep - 1, axis=1)[:, :keep]
-                who = np.repeat(np.arange(len(q_ids)), keep)
-                cells = np.unique(np.stack([who, top.ravel()])[:, top.ravel() >= 0], axis=1)
+                q_ids, _, scores = _pair(row)
+                lo, width = (np.frombuffer(row[x], "<i8")[:, None] for x in ("lo", "width"))
+                # a query's own k best: all of the k best there are that lie in this block
+                rest = max(0, scores.shape[1] - k)
+                top = np.partition(scores, rest, axis=1)[:, rest:] if scores.size else scores
+                # below the range: of no use; above it: counted before, so not again
+                bin_ = np.where(top >= lo, (np.maximum(top, lo) - lo) // width, bins)
+                who, which = np.nonzero(bin_ < bins)
+                cells, counts = np.unique(bin_[who, which] + bins * who, return_counts=True)
                 if cells.size:
-                    flat = np.where(bin_ >= 0, bin_ + bins * np.arange(len(q_ids))[:, None], bins * len(q_ids))
-                    counts = np.bincount(flat.ravel(), minlength=bins * len(q_ids) + 1)[cells[1] + bins * cells[0]]
-                    yield pa.RecordBatch.from_arrays([pa.array(q_ids[cells[0]]), pa.array(cells[1].astype(np.int64)), pa.array(counts.astype(np.int64))], ["id", "bin", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.array(q_ids[cells // bins]), pa.array(cells % bins), pa.array(counts.astype(np.int64))], ["id", "bin", "n"])
 
     down = Window.partitionBy("id").orderBy(F.desc("bin"))
     while width >= 1:
@@ -166,11 +186,8 @@ def _top_k(df: DataFrame, query: DataFrame, key: str, vector: str, k: int, scale
     def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                q_ids, c_ids = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["c_ids"], "<i8")
-                scores = _scores(np.frombuffer(row["vectors"]).reshape(len(q_ids), -1), np.frombuffer(row["c_vectors"]).reshape(len(c_ids), -1))
-                lo = np.frombuffer(row["lo"], "<i8")
-                hit = (scores >= lo[:, None]) & (q_ids[:, None] != c_ids[None, :])
-                who, which = np.nonzero(hit)
+                q_ids, c_ids, scores = _pair(row)
+                who, which = np.nonzero(scores >= np.frombuffer(row["lo"], "<i8")[:, None])
                 if not len(who):
                     continue
                 score = scores[who, which]

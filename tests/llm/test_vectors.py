@@ -4,8 +4,10 @@ import hashlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from foliomill.llm import ann, lists, queries, vector_codes
+from foliomill.llm import ann, lists, queries, topk, vector_codes
+from foliomill.session import cut
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
@@ -171,3 +173,24 @@ def test_graph_finds_what_scans_find():
     scan = lists.squares(points, centroids)
     assert (ids[:, 0] == scan.argmin(axis=1)).mean() > 0.97
     assert np.allclose(dist, np.sqrt(np.take_along_axis(scan, ids.astype(int), axis=1)))
+
+
+def test_copies_of_queries_for_each_block_are_not_broadcast(spark):
+    vectors = cut(spark.createDataFrame([(i, [float(i), 1.0]) for i in range(40)], "vec_id long, embedding array<double>"), "vectors")
+    blocks = topk._blocks(topk.quantise(vectors, "vec_id", "embedding"), 8)
+    grid = topk._grid(blocks, blocks.withColumn("block", F.monotonically_increasing_id()), 3)
+    plan = grid._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
+
+
+def test_topk_of_components_of_any_bytes(spark):
+    rng = np.random.default_rng(3)
+    for largest in (1, 127, 129, 65534, 65540, 2.0**40):
+        v = rng.uniform(-largest, largest, (60, 3))
+        v[0, 0] = -largest
+        df = spark.createDataFrame([(i, [float(y) for y in x]) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+        whole = [[int(y) for y in x] for x in np.floor(256 * v)]
+        score = lambda a, b, w=whole: sum(x * y for x, y in zip(w[a], w[b], strict=True))
+        want = [(q, r + 1, c, min(topk.MOST, score(q, c))) for q in range(0, 60, 7) for r, c in enumerate(sorted((c for c in range(60) if c != q), key=lambda c, q=q: (-max(-topk.MOST, min(topk.MOST, score(q, c))), c))[:3])]
+        got = topk.top_k(df, df.where("vec_id % 7 = 0"), k=3, block=16, query_block=4).orderBy("query_id", "rank").collect()
+        assert [tuple(r) for r in got] == want, largest
