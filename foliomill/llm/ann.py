@@ -9,9 +9,10 @@
    ``ask`` times as far as the nearest one, or as the sample's nearer vectors are
    from theirs (a query that is a centroid itself would ask one list alone); and
    so many of the nearest that they hold k candidates several times over.
-4. A list's vectors and the queries that ask it are dealt into blocks by number
-   and size, so a list that holds a third of all vectors spreads over tasks. A
-   pair of blocks is a matrix product; a task keeps k for each query.
+4. Lists that lie side by side make blocks of about as many vectors each, and a
+   list that holds a third of all vectors is many blocks. A query goes to a block
+   once, with the bits of the lists that it asks there. A block and the queries
+   that ask it are matrix products; a task keeps k for each query.
 
 Largest inner products are nearest: vectors are divided by the greatest norm and
 get the component sqrt(1 - square of the norm), queries get 0, and then the
@@ -48,10 +49,8 @@ SAMPLE, LISTS, PER_LIST = 32768, 4096, 128
 BOUNDARY, COPIES = 1.02, 2
 #: A query asks lists up to so many times as far as its nearest one.
 ASK = 1.2
-#: Vectors and queries in a block, on average.
-BLOCK, QUERY_BLOCK = 2048, 256
-#: Rows of results that a task holds before it reduces them to k a query.
-HELD = 1 << 19
+#: Vectors in a block, on average; queries that meet one at once, and in one group.
+BLOCK, QUERY_BLOCK, ASKING = 8192, 256, 8192
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -131,65 +130,66 @@ def _nearest(df: DataFrame, query: DataFrame, key: str, vector: str, k: int, ask
         held[r["list"]] = r["n"]
     enough = 4 * copies * (k + 1)
     sure = 16 + int(enough / max(1.0, held.mean()))
-    counts = spark.sparkContext.broadcast(held)
+    # the lists' vectors stand in a row, list by list, that is cut into blocks
+    ends = np.cumsum(held)
+    begins = np.arange(0, int(ends[-1]), BLOCK)
+    spans = np.stack([np.searchsorted(ends, begins, "right"), np.searchsorted(ends, np.minimum(begins + BLOCK, ends[-1]) - 1, "right") + 1], axis=1)
+    counts = spark.sparkContext.broadcast((held, spans))
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centroids, neighbours, entries, usual = index.value
+        held, spans = counts.value
         for batch in batches:
             for i in range(0, batch.num_rows, 128):
                 part = batch.slice(i, 128)
                 points = _matrix(part.column(1), dim)
                 points = points / np.abs(points).max(axis=1, keepdims=True)
                 points = np.append(points / np.linalg.norm(points, axis=1, keepdims=True), np.zeros((len(points), 1)), axis=1)
-                ids, dist = walk(points, centroids, neighbours, entries, ask, len(centroids), least=usual, sure=sure)
-                upto = np.cumsum(np.where(ids >= 0, counts.value[ids], 0), axis=1) - np.where(ids >= 0, counts.value[ids], 0)
+                ids, dist = walk(points, centroids, neighbours, entries, ask, len(centroids), steps=64, least=usual, sure=sure)
+                upto = np.cumsum(np.where(ids >= 0, held[ids], 0), axis=1) - np.where(ids >= 0, held[ids], 0)
                 row, at = np.nonzero((ids >= 0) & ((dist <= ask * np.maximum(dist[:, :1], usual)) | (upto < enough)))
-                yield pa.RecordBatch.from_arrays([pa.array(ids[row, at]), *part.take(pa.array(row)).columns], ["list", "id", "v"])
-
-    kind = dict(asked.dtypes)["v"]
-    asks = cut(asked.select("id", "v").mapInArrow(choose, f"list int, id long, v {kind}"), "ann-asks")
-
-    def blocks(of: DataFrame, size: int, by: str, columns: list[str], name: str) -> DataFrame:
-        deals = (sizes if of is postings else of.groupBy("list").agg(F.count("*").alias("n"))).select("list", F.ceil(F.col("n") / size).alias("deals"))
-        dealt = of.join(deals, "list").withColumn("deal", F.pmod(F.xxhash64(by), F.col("deals")))
-        return dealt.groupBy("list", "deal").agg(F.collect_list(F.struct(*columns)).alias(name))
-
-    listed = cut(blocks(postings, BLOCK, "row", ["row", "id", "v"], "x"), "ann-blocks")
-    pairs = listed.join(cut(blocks(asks, QUERY_BLOCK, "id", ["id", "v"], "y"), "ann-query-blocks").withColumnRenamed("deal", "deal_"), "list")
-    # a list of many blocks, asked by many, is many rows: dealt anew by both numbers
-    pairs = pairs.repartition("list", "deal", "deal_").select("x", "y")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in _best(held, k)], ["query_id", "row", "vec_id", "score"])
-
-        for batch in batches:
-            for i in range(batch.num_rows):
-                x, y = batch.column(0)[i].values, batch.column(1)[i].values
-                row, id_ = (x.field(c).to_numpy(zero_copy_only=False) for c in (0, 1))
-                who = y.field(0).to_numpy(zero_copy_only=False)
-                c, q = _matrix(x.field(2), dim), _matrix(y.field(1), dim)
+                asked = np.zeros((len(points), len(held)), bool)
+                asked[row, ids[row, at]] = True
+                asked &= held > 0
+                for block, (first, end) in enumerate(spans.tolist()):
+                    row = np.flatnonzero(asked[:, first:end].any(axis=1))
+                    if len(row):
+                        lists = pa.array([x.tobytes() for x in np.packbits(asked[row, first:end], axis=1)], pa.binary())
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(row), block, np.int32)), lists, *part.take(pa.array(row)).columns], ["block", "lists", "id", "v"])
+
+    # a query goes once to each block that has lists it asks, and tells which
+    asks = cut(asked.select("id", "v").mapInArrow(choose, f"block int, lists binary, id long, v {dict(asked.dtypes)['v']}"), "ann-asks")
+    deals = cut(asks.groupBy("block").agg(F.ceil(F.count("*") / ASKING).alias("deals")), "ann-deals")
+    asks = asks.join(deals, "block").withColumn("deal", F.pmod(F.xxhash64("id"), F.col("deals"))).drop("deals")
+    places = F.broadcast(spark.createDataFrame([(i, int(e - n), int(n)) for i, (e, n) in enumerate(zip(ends, held, strict=True)) if n], "list int, begin long, n long"))
+    placed = postings.join(places, "list").withColumn("block", F.expr(f"cast((begin + pmod(xxhash64(row), n)) div {BLOCK} as int)"))
+    placed = placed.join(deals, "block").select("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("deals") - 1)).alias("deal"), "list", "row", "id", "v")
+
+    def compare(candidates: pa.Table, queries: pa.Table) -> pa.Table:
+        names, found = ["query_id", "row", "vec_id", "score"], []
+        if candidates.num_rows and queries.num_rows:
+            first, _ = counts.value[1][candidates["block"][0].as_py()]
+            lists, row, id_ = (candidates[x].to_numpy() for x in ("list", "row", "id"))
+            c = _matrix(candidates["v"].combine_chunks(), dim)
+            longest = np.linalg.norm(c, axis=1).max()
+            keep = min(copies * k, len(c))  # a row stands in so many lists at most
+            for i in range(0, queries.num_rows, QUERY_BLOCK):
+                part = queries.slice(i, QUERY_BLOCK).combine_chunks()
+                who, q = part["id"].to_numpy(), _matrix(part["v"].combine_chunks(), dim)
+                asked = np.unpackbits(np.frombuffer(b"".join(part["lists"].to_pylist()), np.uint8).reshape(len(who), -1), axis=1).astype(bool)
                 scores = q @ c.T
+                scores[~asked[:, lists - first]] = -np.inf
                 scores[who[:, None] == id_[None, :]] = -np.inf
                 # rows that rounding might put among the k best are scored anew, all in the same order
-                least = -np.partition(-scores, min(k, len(id_)) - 1, axis=1)[:, min(k, len(id_)) - 1]
-                slack = 1e-9 * np.linalg.norm(q, axis=1) * np.linalg.norm(c, axis=1).max()
-                a, b = np.nonzero((scores >= (least - slack)[:, None]) & (scores > -np.inf))
+                least = np.partition(scores, len(c) - keep, axis=1)[:, len(c) - keep]
+                a, b = np.nonzero((scores >= (least - 1e-9 * np.linalg.norm(q, axis=1) * longest)[:, None]) & (scores > -np.inf))
                 exact = np.concatenate([(q[a[s : s + 8192]] * c[b[s : s + 8192]]).sum(axis=1) for s in range(0, len(a), 8192)] or [np.zeros(0)])
-                held.append(_best([(who[a], row[b], id_[b], exact)], k))
-                size += len(held[-1][0])
-                if size > HELD:
-                    held = [_best(held, k)]
-                    size = len(held[0][0])
-                    if size > HELD // 2:  # of many queries: nothing more to gain here
-                        yield out()
-                        held, size = [], 0
-        if size:
-            yield out()
-
-    found = pairs.mapInArrow(compare, "query_id long, row long, vec_id long, score double")
+                found.append(_best([(who[a], row[b], id_[b], exact)], k))
+        kinds = (np.int64, np.int64, np.int64, np.float64)
+        return pa.table([pa.array(np.concatenate([np.zeros(0, kind), *[x[i] for x in found]])) for i, kind in enumerate(kinds)], names)
+
+    both = placed.groupBy("block", "deal").cogroup(asks.groupBy("block", "deal"))
+    found = both.applyInArrow(compare, "query_id long, row long, vec_id long, score double")
     down = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id", "row")
     once = found.withColumn("again", F.coalesce(F.lag("row").over(down) == F.col("row"), F.lit(False))).where("not again")
     return once.withColumn("rank", F.row_number().over(down).cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

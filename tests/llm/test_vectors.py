@@ -194,3 +194,24 @@ def test_topk_of_components_of_any_bytes(spark):
         want = [(q, r + 1, c, min(topk.MOST, score(q, c))) for q in range(0, 60, 7) for r, c in enumerate(sorted((c for c in range(60) if c != q), key=lambda c, q=q: (-max(-topk.MOST, min(topk.MOST, score(q, c))), c))[:3])]
         got = topk.top_k(df, df.where("vec_id % 7 = 0"), k=3, block=16, query_block=4).orderBy("query_id", "rank").collect()
         assert [tuple(r) for r in got] == want, largest
+
+
+def test_a_query_goes_once_to_each_block_of_lists(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    v = rng.normal(size=(600, 8))
+    df = spark.createDataFrame([(i, [float(y) for y in x]) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(ann, "BLOCK", 100, raising=False)
+    monkeypatch.setattr(ann, "ASKING", 16, raising=False)
+    sizes = {}
+
+    def counted(rows, name, **more):
+        out = cut(rows, name, **more)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(ann, "cut", counted)
+    got = ann.nearest(df, df.where("vec_id % 10 = 0"), k=5, ask=100.0, per_list=8).collect()
+    scores = v @ v.T
+    want = {(q, r + 1, c) for q in range(0, 600, 10) for r, c in enumerate(sorted((c for c in range(600) if c != q), key=lambda c, q=q: -scores[q, c])[:5])}
+    assert {(r.query_id, r.rank, r.vec_id) for r in got} == want
+    assert sizes["ann-asks"] <= 60 * -(-sizes["ann-postings"] // 100)  # not queries times lists
